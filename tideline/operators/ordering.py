@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tideline.session import materialise
 
 CHUNK = "_chunk"
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 100_000
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:

@@ -12,7 +12,8 @@ LOADED, EMPTY, REJECTED = "loaded", "empty", "rejected"
 
 def empty_keys(keys_df: DataFrame, landed: DataFrame, key: str) -> DataFrame:
     """Keys for which nothing landed."""
-    return keys_df.select(key).join(landed.select(key), key, "left_anti")
+    # One row per landed key goes into the shuffle, however many rows it has.
+    return keys_df.select(key).join(landed.select(key).distinct(), key, "left_anti")
 
 
 def run_report(keys_df: DataFrame, landed: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
