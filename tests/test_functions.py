@@ -1,0 +1,186 @@
+"""Scalar rules on hand-made rows."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tideline.functions import (
+    blank_to_null,
+    classify_path,
+    document_sections,
+    front_matter_fields,
+    front_matter_parts,
+    lines_of,
+    normalise_text,
+    regex_extract_null,
+    required,
+    safe_divide,
+    sentinel_to_null,
+    short_message,
+    years_before,
+)
+from tideline.plans.models import STATE_PATTERN
+
+
+def one(spark, column, value, kind="string"):
+    return spark.createDataFrame([(value,)], f"c {kind}").select(column).first()[0]
+
+
+def many(spark, column, values, kind="string"):
+    """Results in the order of ``values``."""
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, c {kind}")
+    return [r[1] for r in sorted(rows.select("i", column).collect())]
+
+
+def test_safe_divide(spark):
+    rows = [(6.0, 3.0), (1.0, 0.0), (0.0, 0.0), (None, 2.0), (2.0, None), (1e308, 1e-10), (float("inf"), 2.0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a double, b double")
+    found = [r[1] for r in sorted(df.select("i", safe_divide("a", "b")).collect())]
+    assert found == [2.0, None, None, None, None, None, float("inf")]
+
+
+def test_sentinel_is_null_and_zero_is_zero(spark):
+    assert many(spark, sentinel_to_null("c"), [".", None, "0", "1.5"]) == [None, None, 0.0, 1.5]
+
+
+def test_garbage_number_is_an_error(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        one(spark, sentinel_to_null("c"), "abc")
+
+
+def test_required_raises(spark):
+    assert one(spark, required("c", "c", "string"), "x") == "x"
+    with pytest.raises(Exception, match="required column c"):
+        one(spark, required("c", "c", "string"), None)
+
+
+def test_state_codes(spark):
+    ids = ["ATNHPIUS06000A", "ENUC3640010SA", "ATNHPIUS06A", "xATNHPIUS06000A", "ATNHPIUS06000A\n", "ENUC06000A", ""]
+    assert many(spark, regex_extract_null("c", STATE_PATTERN), ids) == ["06", "36", None, None, None, None, None]
+
+
+def test_leap_day(spark):
+    import datetime as dt
+
+    found = one(spark, years_before("c", 3), dt.date(2024, 2, 29), "date")
+    assert found == dt.date(2021, 2, 28)
+
+
+def test_text_rules(spark):
+    texts = ["  a\t  b \x1fc \n", "", "plain", "\x85x\x1cy"]
+    assert many(spark, normalise_text("c"), texts) == [" ".join(t.split()) for t in texts]
+    assert many(spark, short_message("c", 3), ["　abcdef", " é\x1f"]) == ["abc", "é"]
+    assert many(spark, blank_to_null("c"), ["", "x", None]) == [None, "x", None]
+
+
+def test_classify_path(spark):
+    paths = {
+        ".claude/agents/writer.md": ("agent", "writer"),
+        ".claude/agents/.md": ("agent", ""),
+        ".claude/skills/sql/SKILL.md": ("skill", "sql"),
+        ".claude/agents/deep/writer.md": None,
+        ".claude/skills/SKILL.md": None,
+        ".claude/skills/a/b/SKILL.md": None,
+        "x/.claude/agents/writer.md": None,
+        ".claude/agents/writer.md\n": None,
+        ".claude/settings.json": None,
+        "xclaude/agents/writer.md": None,
+    }
+    found = many(spark, classify_path("c"), list(paths))
+    assert [tuple(f) if f else None for f in found] == list(paths.values())
+
+
+def parts(spark, contents):
+    return [tuple(p) for p in many(spark, front_matter_parts("c"), contents)]
+
+
+def test_front_matter(spark):
+    cases = {
+        "---\nname: a\n---\nbody\n": ("name: a\n", "body\n"),
+        "  --- \r\nname: a\r\n\t---\r\nbody": ("name: a\r\n", "body"),
+        "---\n---\nbody": ("", "body"),
+        "---\nname: a\n---": ("name: a\n", ""),
+        "---\nname: a\n": ("", "---\nname: a\n"),
+        "\n---\nname: a\n---\n": ("", "\n---\nname: a\n---\n"),
+        "----\na\n---\n": ("", "----\na\n---\n"),
+        "---\na ---\nb\n---\n---\n": ("a ---\nb\n", "---\n"),
+        "---\x0ca ---\x1cb": ("a ", "b"),
+        "": ("", ""),
+        "no header": ("", "no header"),
+    }
+    assert parts(spark, list(cases)) == list(cases.values())
+
+
+def test_sections(spark):
+    def sections(text):
+        return [tuple(s) for s in one(spark, document_sections("c"), text)]
+
+    assert sections("intro\n# A \n  body \n\n## B\n") == [("", "intro"), ("# A", "body"), ("## B", "")]
+    assert sections("\n \n# A\nx") == [("# A", "x")]
+    assert sections("```\n# in a fence\n```") == [("", "```"), ("# in a fence", "```")]
+    assert sections("a # b\r\n\t# c\rd\x0b#e") == [("", "a # b"), ("\t# c", "d"), ("#e", "")]
+    assert sections("") == []
+    assert sections("# only") == [("# only", "")]
+
+
+def plain_lines(text):
+    """What document parsing has to agree with, said in terms of Python's own line rules."""
+    found, heading, body = [], "", ""
+    for line in [*text.splitlines(keepends=True), None]:
+        if line is None or line.lstrip()[:1] == "#":
+            if heading or body.strip():
+                found.append((heading, body.strip()))
+            heading, body = ("" if line is None else line.rstrip()), ""
+        else:
+            body += line
+    return found
+
+
+def test_text_functions_on_random_texts(spark):
+    rng = random.Random(7)
+    alphabet = ["#", "-", "---", "a", "é", " ", "\t", "\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", " ", " ", "　"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    assert many(spark, lines_of("c"), texts) == [t.splitlines(keepends=True) for t in texts]
+    assert many(spark, normalise_text("c"), texts) == [" ".join(t.split()) for t in texts]
+    assert [[tuple(s) for s in f] for f in many(spark, document_sections("c"), texts)] == [
+        plain_lines(t) for t in texts
+    ]
+    headed = ["---" + rng.choice(["\n", "\r\n", " ", " \n", "x\n"]) + t for t in texts]
+
+    def split(text):
+        lines = text.splitlines(keepends=True)
+        rules = [i for i, line in enumerate(lines) if line.strip() == "---"]
+        if rules[:1] != [0] or len(rules) < 2:
+            return "", text
+        return "".join(lines[1 : rules[1]]), "".join(lines[rules[1] + 1 :])
+
+    assert parts(spark, headed) == [split(t) for t in headed]
+
+
+def test_front_matter_fields(spark):
+    headers = [
+        "name: a\ndescription: >\n  two\n  lines\ntools:\n  - Read\n  - 7\nskills: one\n",
+        "name: [unclosed",
+        "- a\n- list\n",
+        "",
+        "description:\ntools: []\n",
+    ]
+    nothing = (None, None, [], [])
+    assert [tuple(f) for f in many(spark, front_matter_fields("c"), headers)] == [
+        ("a", "two lines", ["Read", "7"], ["one"]),
+        nothing,
+        nothing,
+        nothing,
+        nothing,
+    ]
+
+
+def test_expressions_stay_in_the_jvm(spark):
+    df = spark.createDataFrame([("x",)], "c string").select(
+        front_matter_parts("c"), document_sections("c"), normalise_text("c"), classify_path("c"), F.col("c")
+    )
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

@@ -1,0 +1,432 @@
+"""Written tables: landing, merging, layers, registry, streaming."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tideline.operators.incremental import merge_upsert, with_load_time
+from tideline.operators.versions import history_list, history_of, latest_of
+from tideline.plans.layers import MODELS, CheckFailed, create_raw_tables, model_rows, raw_checks, run_layers
+from tideline.plans.models import RAW_OBSERVATIONS, RAW_WEATHER
+from tideline.plans.registry import append_versions, ensure_registry, registry_table, sync_registry
+from tideline.session import new_folder, shared_folder
+from tideline.sources.definitions import parse_definitions, read_definitions
+from tideline.sources.dimensions import LOCATIONS, STATE_FIPS, locations, series_catalog
+from tideline.sources.payloads import assemble_pages, decode_observations, decode_parallel_arrays
+from tideline.sources.tables import append_rows, ensure_table, layer_table_name, table_location
+from tideline.streaming.landing import OBSERVATION_PAGES, land_captures
+
+D, TS = dt.date, dt.datetime
+UTC = dt.timezone.utc
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
+
+
+@pytest.fixture
+def prefix():
+    return f"t{uuid.uuid4().hex}_"
+
+
+# Dimensions and names
+
+
+def test_dimensions(spark):
+    ids = [r[0] for r in series_catalog(spark).collect()]
+    assert len(ids) == len(set(ids)) == 118
+    assert {"FEDFUNDS", "ATNHPIUS06000A", "ENUC5640010SA"} <= set(ids)
+    assert len(STATE_FIPS) == 51
+    assert locations(spark).count() == len(LOCATIONS) == 20
+
+
+def test_layer_names():
+    assert layer_table_name("4_marts", "x") == "marts.x"
+    assert layer_table_name("raw", "x", "dev_") == "dev_raw.x"
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+# Payloads
+
+
+def pages_of(spark, payloads, key="series_id"):
+    at = TS(2024, 1, 1)
+    return spark.createDataFrame(
+        [(f"s{i}", p, at) for i, p in enumerate(payloads)], f"{key} string, payload string, extracted_at timestamp"
+    )
+
+
+def test_observations(spark):
+    items = [
+        {"date": "2024-01-01", "value": "."},
+        {"date": "2024-01-02", "value": None},
+        {"date": "2024-01-03", "value": "0"},
+        {"date": "2024-01-04", "value": 1.5},
+        {"date": "2024-01-05"},
+    ]
+    pages = pages_of(spark, [json.dumps({"observations": items, "count": 5}), "{}", '{"observations": []}'])
+    assert rows(decode_observations(pages), "date", "value") == [
+        (D(2024, 1, 1), None),
+        (D(2024, 1, 2), None),
+        (D(2024, 1, 3), 0.0),
+        (D(2024, 1, 4), 1.5),
+        (D(2024, 1, 5), None),
+    ]
+
+
+@pytest.mark.parametrize(
+    "payload",
+    [
+        '{"observations": [{"date": "2024-01-01", "value": "abc"}]}',
+        '{"observations": [{"value": "1"}]}',
+        '{"observations": [{"date": "soon", "value": "1"}]}',
+        '{"observations": [',
+    ],
+)
+def test_bad_payloads_stop_the_job(spark, payload):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|required column date|MALFORMED|FAILFAST"):
+        decode_observations(pages_of(spark, [payload])).collect()
+
+
+def test_parallel_arrays(spark):
+    days = ["2024-01-01", "2024-01-02"]
+    daily = {
+        "time": days,
+        "temperature_2m_max": [1.0],
+        "temperature_2m_min": [1.0, None, 3.0],
+        "wind_speed_10m_max": [7, 8],
+    }
+    payloads = [json.dumps({"daily": daily}), "{}", json.dumps({"daily": {"temperature_2m_max": [1.0]}})]
+    found = decode_parallel_arrays(pages_of(spark, payloads, "location_id"))
+    columns = ["location_id", "date", "temperature_max_c", "temperature_min_c", "precipitation_sum_mm", "wind_speed_max_kmh"]
+    assert rows(found, *columns) == [
+        ("s0", D(2024, 1, 1), 1.0, 1.0, None, 7.0),
+        ("s0", D(2024, 1, 2), None, None, None, 8.0),
+    ]
+
+
+def test_page_sets(spark):
+    def page(key, offset, size):
+        return key, offset, json.dumps({"observations": [{"date": "2024-01-01", "value": "1"}] * size})
+
+    pages = [page("full", o, s) for o, s in ((0, 1000), (1000, 1000), (2000, 7))]
+    pages += [page("full", 1000, 1000), page("empty", 0, 0), page("ends with empty", 0, 1000)]
+    pages += [page("ends with empty", 1000, 0), page("open", 0, 1000)]
+    pages += [page("gap", 0, 1000), page("gap", 2000, 5), page("short first", 0, 10), page("short first", 1000, 10)]
+    df = spark.createDataFrame(pages, "series_id string, page_offset long, payload string")
+    assert rows(assemble_pages(df, "series_id")) == [
+        ("empty", 1, 0, True),
+        ("ends with empty", 2, 1000, True),
+        ("full", 3, 2007, True),
+        ("gap", 2, 1005, False),
+        ("open", 1, 1000, False),
+        ("short first", 2, 20, False),
+    ]
+
+
+# Merges
+
+FACT = T.StructType(
+    [T.StructField("k", T.StringType()), T.StructField("date", T.DateType()), T.StructField("v", T.DoubleType())]
+)
+LOADED = T.StructType([*FACT.fields, T.StructField("_loaded_at", T.TimestampType())])
+
+
+def facts(spark, *data):
+    return spark.createDataFrame(list(data), FACT)
+
+
+@pytest.mark.parametrize("period", ["month", "year"])
+def test_merge(spark, prefix, period):
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, LOADED, period)
+    first = facts(spark, ("a", D(2023, 5, 1), 1.0), ("a", D(2024, 1, 5), 2.0), ("b", D(2024, 1, 6), 3.0))
+    early, late = TS(2024, 2, 1, tzinfo=UTC), TS(2024, 2, 2, tzinfo=UTC)
+    merge_upsert(spark, table, with_load_time(first, early), ["k", "date"], cluster=["k"])
+    untouched = [f for f in spark.table(table).inputFiles() if "2023" in f]
+    second = facts(spark, ("a", D(2024, 1, 5), None), ("c", D(2024, 3, 1), 4.0))
+    for _ in range(2):
+        periods = merge_upsert(spark, table, with_load_time(second, late), ["k", "date"], cluster=["k"])
+        assert periods == ([D(2024, 1, 1), D(2024, 3, 1)] if period == "month" else [D(2024, 1, 1)])
+        assert rows(spark.table(table), "k", "date", "v") == [
+            ("a", D(2023, 5, 1), 1.0),
+            ("a", D(2024, 1, 5), None),
+            ("b", D(2024, 1, 6), 3.0),
+            ("c", D(2024, 3, 1), 4.0),
+        ]
+    assert spark.table(table).where(F.col("_loaded_at") == F.lit(late)).count() == 2
+    assert [f for f in spark.table(table).inputFiles() if "2023" in f] == untouched, "other periods stay as they are"
+
+
+def test_merge_of_nothing_changes_nothing(spark, prefix):
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, FACT, "month")
+    assert merge_upsert(spark, table, facts(spark), ["k", "date"]) == []
+    merge_upsert(spark, table, facts(spark, ("a", D(2024, 1, 1), 1.0)), ["k", "date"])
+    assert merge_upsert(spark, table, facts(spark), ["k", "date"]) == []
+    assert spark.table(table).count() == 1
+
+
+def test_duplicate_source_keys_are_an_error_and_write_nothing(spark, prefix):
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, FACT, "month")
+    merge_upsert(spark, table, facts(spark, ("a", D(2024, 1, 1), 1.0)), ["k", "date"])
+    doubled = facts(spark, ("a", D(2024, 1, 1), 2.0), ("a", D(2024, 1, 1), 3.0))
+    with pytest.raises(ValueError, match="several source rows"):
+        merge_upsert(spark, table, doubled, ["k", "date"])
+    with pytest.raises(ValueError, match="one of the keys"):
+        merge_upsert(spark, table, doubled, ["k"])
+    assert rows(spark.table(table), "v") == [(1.0,)]
+
+
+def test_hot_period_is_written_by_several_tasks(spark, prefix):
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, FACT, "month")
+    hot = spark.range(0, 200_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"),
+        F.lit(D(2024, 1, 1)).alias("date"),
+        F.rand(1).alias("v"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    merge_upsert(spark, table, hot, ["k", "date"], cluster=["k"], unique_source=True)
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(spark.table(table).inputFiles()) > 1
+    assert spark.table(table).count() == 200_000
+
+
+def test_tables_are_found_again_by_a_new_catalog(spark, prefix):
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, FACT, "month")
+    append_rows(facts(spark, ("a", D(2024, 1, 1), 1.0)), table, FACT)
+    location = table_location(spark, table)
+    spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
+    ensure_table(spark, table, FACT, "month")
+    assert table_location(spark, table) == location
+    assert spark.table(table).count() == 1
+
+
+def test_append(spark, prefix):
+    create_raw_tables(spark, prefix)
+    table = f"{prefix}raw.economic_observations"
+    at = TS(2024, 1, 1, tzinfo=UTC)
+    one = spark.createDataFrame([("x", D(2024, 1, 1), 1.0, at)], RAW_OBSERVATIONS)
+    append_rows(one, table, RAW_OBSERVATIONS, cluster=["series_id"])
+    append_rows(one, table, RAW_OBSERVATIONS)
+    append_rows(one.limit(0), table, RAW_OBSERVATIONS)
+    assert spark.table(table).count() == 2, "appending removes no duplicates"
+    missing = one.withColumn("series_id", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="required column series_id"):
+        append_rows(missing, table, RAW_OBSERVATIONS)
+    many = spark.range(100).select(
+        F.lit("y").alias("series_id"), F.lit(D(2025, 1, 1)).alias("date"), F.lit(1.0).alias("value"), F.lit(at).alias("extracted_at")
+    )
+    append_rows(many, table, RAW_OBSERVATIONS, max_records_per_file=30)
+    assert len([f for f in spark.table(table).inputFiles() if "2025" in f]) >= 4
+
+
+# Layers
+
+
+def land_economic(spark, prefix, *data):
+    def land(_):
+        df = spark.createDataFrame([(*d, TS(2024, 1, 1, tzinfo=UTC)) if len(d) == 3 else d for d in data], RAW_OBSERVATIONS)
+        append_rows(df, f"{prefix}raw.economic_observations", RAW_OBSERVATIONS)
+
+    return land
+
+
+NOW = TS(2024, 1, 2, tzinfo=UTC)
+
+
+def test_economic_layers(spark, prefix):
+    day = D(2023, 12, 1)
+    land = land_economic(
+        spark,
+        prefix,
+        ("DGS10", day, 4.0),
+        ("DGS2", day, 3.0),
+        ("DGS10", D(2023, 12, 2), 4.5),
+        ("MSPUS", day, 4160.0),
+        ("AHETPI", day, 1.0),
+        ("AHETPI", D(2023, 12, 2), 0.0),
+        ("MSPUS", D(2023, 12, 2), 1.0),
+        ("UNRATE", D(2023, 11, 1), None),
+        ("ATNHPIUS06000A", D(2023, 1, 1), 200.0),
+        ("ENUC0640010SA", D(2023, 1, 1), 50.0),
+        ("ENUC0640010SA", D(2023, 4, 1), 60.0),
+        ("ATNHPIUS07A", D(2023, 1, 1), 1.0),
+    )
+    run_layers(spark, sources=["economic"], gate=True, now=NOW, prefix=prefix, land=[land])
+    national = model_rows(spark, "4_marts", "national_indicators", prefix)
+    assert rows(national, "date", "yield_curve_spread", "housing_affordability_ratio") == [
+        (D(2023, 11, 1), None, None),
+        (day, 1.0, 2.0),
+        (D(2023, 12, 2), None, None),
+    ]
+    state = model_rows(spark, "4_marts", "state_affordability", prefix)
+    assert rows(state.drop("_loaded_at", "date_year")) == [
+        ("06", D(2023, 1, 1), 200.0, 50.0, 4.0),
+        ("06", D(2023, 4, 1), None, 60.0, None),
+    ]
+    assert not spark.catalog.tableExists(f"{prefix}warehouses.daily_weather"), "only the chosen source is built"
+    staged = spark.table(f"{prefix}stg_warehouses__economic_observations")
+    assert staged.count() == 12
+
+    # A later run revises one value and adds a row more than 90 days old.
+    later = TS(2024, 1, 2, tzinfo=UTC)
+    again = land_economic(
+        spark, prefix, ("DGS2", day, 3.5, later), ("GDP", D(2023, 1, 1), 9.0, later), ("DGS2", D(2023, 12, 2), 4.0, later)
+    )
+    run_layers(spark, sources=["economic"], now=NOW, prefix=prefix, land=[again])
+    found = rows(model_rows(spark, "4_marts", "national_indicators", prefix), "date", "yield_curve_spread")
+    assert found == [(D(2023, 11, 1), None), (day, 0.5), (D(2023, 12, 2), 0.5)]
+
+    # Measured per series the late quarterly row is taken in as well.
+    run_layers(spark, layers=["2_warehouses"], sources=["economic"], now=NOW, prefix=prefix, scope="per_key")
+    warehouse = spark.table(f"{prefix}warehouses.economic_observations")
+    assert warehouse.where("series_id = 'GDP'").count() == 1
+
+
+def test_weather_layers(spark, prefix):
+    def land(_):
+        shared = ("london", "London", "GB", 51.5, -0.1)
+        df = spark.createDataFrame(
+            [
+                (*shared, D(2023, 12, 1), 9.0, 2.0, 0.0, 10.0, NOW),
+                (*shared, D(2023, 12, 1), 8.0, 2.0, 0.0, 10.0, NOW - dt.timedelta(days=1)),
+                (*shared, D(2023, 12, 2), 9.0, None, 0.0, 10.0, NOW),
+            ],
+            RAW_WEATHER,
+        )
+        append_rows(df, f"{prefix}raw.daily_weather", RAW_WEATHER, cluster=["location_id"])
+
+    written = run_layers(spark, sources=["weather"], gate=True, now=NOW, prefix=prefix, land=[land])
+    assert written[f"{prefix}marts.daily_weather"] == [D(2023, 12, 1)]
+    mart = spark.table(f"{prefix}marts.daily_weather")
+    assert rows(mart, "date", "temperature_range_c") == [(D(2023, 12, 1), 7.0), (D(2023, 12, 2), None)]
+    assert mart.columns[-2:] == ["_loaded_at", "date_month"]
+
+
+def test_the_gate_stops_the_run(spark, prefix):
+    land = land_economic(spark, prefix, ("DGS10", D(2023, 12, 1), 4.0))
+    with pytest.raises(CheckFailed, match="freshness"):
+        run_layers(spark, sources=["economic"], gate=True, now=TS(2024, 6, 1, tzinfo=UTC), prefix=prefix, land=[land])
+    assert not spark.catalog.tableExists(f"{prefix}warehouses.economic_observations")
+    status = raw_checks(spark, ["economic"], prefix, now=TS(2024, 1, 4, tzinfo=UTC))
+    assert [df.first()["status"] for df in status.values()] == ["warn"]
+
+
+def test_models_are_in_dependency_order():
+    seen = {("raw", "economic_observations"), ("raw", "daily_weather")}
+    for model in MODELS:
+        assert model.reads in seen
+        seen.add((model.layer, model.name))
+    assert len(MODELS) == 10
+
+
+# Registry
+
+
+def definition(project, path, text, encoding="utf-8"):
+    file = project / path
+    file.parent.mkdir(parents=True, exist_ok=True)
+    file.write_bytes(text.encode(encoding))
+
+
+AGENT = "---\nname: writer\ndescription: >\n  Writes\n  things.\ntools:\n  - Read\n---\nintro\n## How\r\n\r\nBody.\n"
+
+
+def test_read_definitions(spark, tmp_path):
+    definition(tmp_path, ".claude/agents/data writer+100%.md", AGENT)
+    definition(tmp_path, ".claude/skills/sql/SKILL.md", "# Only a body\n")
+    definition(tmp_path, ".claude/skills/sql/notes/SKILL.md", "too deep")
+    definition(tmp_path, ".claude/README.md", "no definition")
+    definition(tmp_path, ".claude/agents/broken.md", "é", "latin-1")
+    found = {r["name"]: r for r in parse_definitions(read_definitions(spark, str(tmp_path))).collect()}
+    assert set(found) == {"data writer+100%", "sql", "broken"}
+    agent = found["data writer+100%"]
+    assert (agent["kind"], agent["path"]) == ("agent", ".claude/agents/data writer+100%.md")
+    assert agent["content"] == AGENT.replace("\r\n", "\n")
+    assert agent["description"] == "Writes things."
+    assert (agent["tools"], agent["skills"]) == (["Read"], [])
+    assert [tuple(s) for s in agent["sections"]] == [("", "intro"), ("## How", "Body.")]
+    assert found["broken"]["error"] == "not valid UTF-8"
+
+
+def test_sync(spark, prefix, tmp_path):
+    project = str(tmp_path)
+    definition(tmp_path, ".claude/agents/writer.md", AGENT)
+    definition(tmp_path, ".claude/agents/broken.md", "é", "latin-1")
+    definition(tmp_path, ".claude/skills/sql/SKILL.md", "one\n")
+
+    def sync(day, **options):
+        report = sync_registry(spark, project, prefix, TS(2024, 1, day, tzinfo=UTC), **options)
+        return rows(report, "kind", "checked", "appended", "errors")
+
+    assert sync(1) == [("agent", 2, 1, 1), ("skill", 1, 1, 0)]
+    assert sync(2) == [("agent", 2, 0, 1), ("skill", 1, 0, 0)], "nothing changed, nothing appended"
+    definition(tmp_path, ".claude/skills/sql/SKILL.md", "two\n")
+    definition(tmp_path, ".claude/agents/writer.md", AGENT + "More.\n")
+    assert sync(3, names=["sql"], notes="second") == [("agent", 0, 0, 0), ("skill", 1, 1, 0)]
+    skills = registry_table("skill", prefix)
+    assert rows(spark.table(skills), "name", "version", "content", "notes", "description") == [
+        ("sql", 1, "one\n", None, None),
+        ("sql", 2, "two\n", "second", None),
+    ]
+    assert "tools" not in spark.table(skills).columns
+    assert [r["version"] for r in history_of(spark, skills, "sql").collect()] == [2, 1]
+    assert history_of(spark, skills, "sql", limit=1).count() == 1
+    assert history_of(spark, skills, "nobody").isEmpty()
+    assert latest_of(spark, skills, "sql").first()["content"] == "two\n"
+    assert history_list(spark.table(skills), 1).first()["version"] == 2
+
+
+def test_append_versions(spark, prefix):
+    ensure_registry(spark, prefix)
+    row = spark.createDataFrame(
+        [("a", "", "text", 1, TS(2024, 1, 1))],
+        "name string, description string, content string, version long, snapshotted_at timestamp",
+    ).withColumn("sections", F.lit(None))
+    append_versions(row, "skill", prefix)
+    found = spark.table(registry_table("skill", prefix)).first()
+    assert (found["description"], found["sections"], found["notes"]) == (None, [], None)
+    with pytest.raises(Exception, match="required column content"):
+        append_versions(row.withColumn("content", F.lit(None).cast("string")), "skill", prefix)
+
+
+# Streaming
+
+
+def test_landing_reads_each_capture_once(spark, prefix, tmp_path):
+    create_raw_tables(spark, prefix)
+    table = f"{prefix}raw.economic_observations"
+    captures, checkpoint = new_folder(spark, "captures"), str(tmp_path / "checkpoint")
+
+    def capture(series, value):
+        payload = json.dumps({"observations": [{"date": "2024-01-01", "value": value}]})
+        page = spark.createDataFrame([(series, 0, payload, TS(2024, 1, 1))], OBSERVATION_PAGES)
+        page.write.mode("append").parquet(captures)
+
+    def land():
+        land_captures(
+            spark, captures, OBSERVATION_PAGES, decode_observations, table, RAW_OBSERVATIONS, ["series_id"],
+            checkpoint, max_files=1,
+        )
+
+    capture("a", "1")
+    capture("b", ".")
+    land()
+    land()
+    assert rows(spark.table(table), "series_id", "value") == [("a", 1.0), ("b", None)]
+    capture("c", "3")
+    land()
+    assert spark.table(table).count() == 3

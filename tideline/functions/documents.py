@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.patterns import BREAKS, INLINE, LINE, ONE_BREAK
+from tideline.functions.patterns import INLINE_SPACE, LINE_END, NO_BREAK, WHOLE_LINE
 from tideline.functions.scalars import _col, normalise_text, rstrip_text, starts_with_mark, strip_text
 
 # Folder names, file suffix and file name that mark a definition.
@@ -26,18 +26,37 @@ SKILL_FOLDER, SKILL_FILE = "skills", "SKILL.md"
 TOO_FEW = "(fewer than 2 snapshots exist for '%s' — nothing to diff)"
 NO_CHANGE = "(no text changes between last two snapshots)"
 
-_RULE = rf"[{INLINE}]*---[{INLINE}]*"
-# Header lines between two rules, then everything after the second rule's line.
-_FRONT_MATTER = rf"(?s)\A{_RULE}(?>{ONE_BREAK})((?:.*?{ONE_BREAK})??){_RULE}(?:{ONE_BREAK}|\z)(.*)\z"
+_RULE = rf"{INLINE_SPACE}*---{INLINE_SPACE}*"
+# From the opening rule to the end of the closing rule's line.
+_HEADER = rf"(?s)\A{_RULE}(?>{LINE_END})(?:.*?{LINE_END})??{_RULE}(?:{LINE_END}|\z)"
+# The lines between the two rules of such a header.
+_HEADER_LINES = rf"(?s)\A{NO_BREAK}*(?>{LINE_END})(.*?){_RULE}(?:{LINE_END}|\z)\z"
+_FIRST_LINE = rf"\A{NO_BREAK}*"
+# A line start with a heading ahead; the lookbehind also holds at the very start.
+_HEADING_AHEAD = rf"(?<!{NO_BREAK})(?={INLINE_SPACE}*#)"
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _after(text: Column, start: Column) -> Column:
+    """What follows ``start`` at the beginning of ``text``."""
+    return F.substr(text, F.char_length(start) + 1)
 
 
 def front_matter_parts(content: Column | str) -> Column:
     """``struct(front_matter, body)``; without a closed header all is body."""
     content = _col(content)
-    closed = content.rlike(_FRONT_MATTER)
-    return F.struct(
-        F.when(closed, F.regexp_extract(content, _FRONT_MATTER, 1)).otherwise("").alias("front_matter"),
-        F.when(closed, F.regexp_extract(content, _FRONT_MATTER, 2)).otherwise(content).alias("body"),
+    opened = starts_with_mark(content, "---")
+    header = F.when(opened, F.regexp_extract(content, _HEADER, 0)).otherwise("")
+    return _once(
+        header,
+        lambda h: F.struct(
+            F.when(h != "", F.regexp_extract(h, _HEADER_LINES, 1)).otherwise("").alias("front_matter"),
+            F.when(h != "", _after(content, h)).otherwise(content).alias("body"),
+        ),
     )
 
 
@@ -48,17 +67,15 @@ def document_sections(body: Column | str) -> Column:
     included.  Text before the first heading gets a blank heading, and is left
     out when it is empty.
     """
-    heading_ahead = rf"(?<=\A|[{BREAKS}])(?=[{INLINE}]*#)"
-    pieces = F.split(_col(body), heading_ahead)
+    pieces = F.split(_col(body), _HEADING_AHEAD)
 
     def section(piece: Column) -> Column:
-        first_line = F.regexp_extract(piece, rf"\A[^{BREAKS}]*", 0)
-        headed = starts_with_mark(piece)
-        return F.struct(
-            F.when(headed, rstrip_text(first_line)).otherwise("").alias("heading"),
-            F.when(headed, strip_text(F.regexp_replace(piece, rf"\A[^{BREAKS}]*", "")))
-            .otherwise(strip_text(piece))
-            .alias("body"),
+        line = F.when(starts_with_mark(piece), F.regexp_extract(piece, _FIRST_LINE, 0)).otherwise("")
+        return _once(
+            line,
+            lambda first: F.struct(
+                rstrip_text(first).alias("heading"), strip_text(_after(piece, first)).alias("body")
+            ),
         )
 
     return F.filter(
@@ -87,7 +104,7 @@ def classify_path(path: Column | str, root: str = DEFINITION_ROOT) -> Column:
 
 def lines_of(content: Column | str) -> Column:
     """The lines of a text, each with its own break."""
-    return F.regexp_extract_all(_col(content), F.lit(f"({LINE})"), 1)
+    return F.regexp_extract_all(_col(content), F.lit(f"({WHOLE_LINE})"), 1)
 
 
 def front_matter_fields(front_matter: Column | str) -> Column:
@@ -118,9 +135,11 @@ def _yaml_to_json(headers: pd.Series) -> pd.Series:
     except ImportError as missing:  # pragma: no cover
         raise RuntimeError("reading definition headers needs PyYAML on the executors") from missing
 
+    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
     def to_json(header: str | None) -> str:
         try:
-            mapping = yaml.safe_load(header or "")
+            mapping = yaml.load(header or "", Loader=loader)
         except yaml.YAMLError:
             mapping = None
         pairs = mapping.items() if isinstance(mapping, dict) else ()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tideline.functions.patterns import INLINE, SPACE
+from tideline.functions.patterns import ANY_SPACE, INLINE_CHARS, SPACE_CHARS
 
 INFINITY = float("inf")
 
@@ -38,16 +38,16 @@ def regex_extract_null(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 def normalise_text(c: Column | str) -> Column:
     """Runs of whitespace become one space; none is left at either end."""
-    return F.trim(F.regexp_replace(_col(c), f"[{SPACE}]+", " "))
+    return F.trim(F.regexp_replace(_col(c), f"{ANY_SPACE}+", " "))
 
 
 def strip_text(c: Column | str) -> Column:
     """Whitespace of any kind removed from both ends."""
-    return F.regexp_replace(_col(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(_col(c), F.lit(SPACE_CHARS))
 
 
 def rstrip_text(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), rf"[{SPACE}]+\z", "")
+    return F.rtrim(_col(c), F.lit(SPACE_CHARS))
 
 
 def short_message(c: Column | str, length: int = 200) -> Column:
@@ -61,7 +61,7 @@ def blank_to_null(c: Column | str) -> Column:
 
 def starts_with_mark(c: Column | str, mark: str = "#") -> Column:
     """True where the first character of a line that is no whitespace is ``mark``."""
-    return _col(c).rlike(rf"\A[{INLINE}]*{mark}")
+    return F.startswith(F.ltrim(_col(c), F.lit(INLINE_CHARS)), F.lit(mark))
 
 
 def required(c: Column | str, name: str, data_type: str) -> Column:

@@ -10,6 +10,7 @@ carried over by a small join.  Both ways give the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,10 +48,10 @@ def split_groups(
 def _carry_join(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     # At most one row per chunk border, as a border cuts through one key only.
     # No hint: the carried values may be wide, and rows already lie by key and chunk.
-    same = F.lit(True)
-    for c in (*keys, CHUNK):
-        same = same & rows[c].eqNullSafe(carry[c])
-    return rows.join(carry, same, "left").drop(*[carry[c] for c in (*keys, CHUNK)])
+    names = [*keys, CHUNK]
+    renamed = carry.select(*[F.col(c).alias(f"_carry_{c}") for c in names], "_carry")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_carry_{c}")) for c in names])
+    return rows.join(renamed, same, "left").drop(*[f"_carry_{c}" for c in names])
 
 
 def previous_row(

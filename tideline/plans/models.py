@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.scalars import regex_extract_null, safe_divide
+from tideline.functions.scalars import safe_divide
 from tideline.operators.latest import latest_per_key
 from tideline.operators.reshape import pivot_conditional, spine_pivot
 from tideline.sources.dimensions import HOUSE_PRICE_ID, NATIONAL_SERIES, WEEKLY_WAGE_ID
@@ -48,9 +48,14 @@ STATE_KEYS = ["state_fips", "date"]
 # Hours worked in a year: 40 a week, 52 weeks.
 HOURS_PER_YEAR = 2080
 
-# The state code inside each state series id; \z because $ would accept a final newline.
-HOUSE_PRICE_PATTERN = r"\A" + HOUSE_PRICE_ID.replace("%s", r"(\d{2})") + r"\z"
-WEEKLY_WAGE_PATTERN = r"\A" + WEEKLY_WAGE_ID.replace("%s", r"(\d{2})") + r"\z"
+# The state code inside a state series id of either kind; \z because $ would accept a
+# final newline.
+HOUSE_PRICE_PREFIX, HOUSE_PRICE_SUFFIX = HOUSE_PRICE_ID.split("%s")
+WEEKLY_WAGE_PREFIX, WEEKLY_WAGE_SUFFIX = WEEKLY_WAGE_ID.split("%s")
+STATE_PATTERN = (
+    rf"\A(?:{HOUSE_PRICE_PREFIX}(?=\d{{2}}{HOUSE_PRICE_SUFFIX}\z)"
+    rf"|{WEEKLY_WAGE_PREFIX}(?=\d{{2}}{WEEKLY_WAGE_SUFFIX}\z))(\d{{2}})"
+)
 
 INDICATOR_COLUMNS = ["date", *NATIONAL_SERIES.values(), "yield_curve_spread", "housing_affordability_ratio"]
 INDICATOR_FACT_COLUMNS = [
@@ -100,15 +105,15 @@ def national_indicators(observations: DataFrame) -> DataFrame:
 
 def state_affordability(observations: DataFrame) -> DataFrame:
     """House price index and weekly wage of each state on every date either was reported."""
-    price_state = regex_extract_null("series_id", HOUSE_PRICE_PATTERN)
-    wage_state = regex_extract_null("series_id", WEEKLY_WAGE_PATTERN)
     period = [c for c in [partition_column(observations)] if c]
-    parts = observations.select(
-        F.coalesce(price_state, wage_state).alias("state_fips"),
+    of_state = F.col("series_id").rlike(STATE_PATTERN)
+    is_price = F.startswith("series_id", F.lit(HOUSE_PRICE_PREFIX))
+    parts = observations.where(of_state).select(
+        F.regexp_extract("series_id", STATE_PATTERN, 1).alias("state_fips"),
         "date",
         *period,
-        F.when(price_state.isNotNull(), F.col("value")).alias("house_price_index"),
-        F.when(wage_state.isNotNull(), F.col("value")).alias("avg_weekly_wage"),
+        F.when(is_price, F.col("value")).alias("house_price_index"),
+        F.when(~is_price, F.col("value")).alias("avg_weekly_wage"),
     )
     measures = {m: F.col(m) for m in ("house_price_index", "avg_weekly_wage")}
     return spine_pivot(parts, [*STATE_KEYS, *period], measures).select(

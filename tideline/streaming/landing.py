@@ -56,3 +56,5 @@ def land_captures(
         .start()
     )
     query.awaitTermination()
+    # Batches ran in a session of their own; this one still knows the old files.
+    spark.catalog.refreshTable(table)
