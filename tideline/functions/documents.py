@@ -28,10 +28,10 @@ NO_CHANGE = "(no text changes between last two snapshots)"
 
 _RULE = rf"{INLINE_SPACE}*---{INLINE_SPACE}*"
 # From the opening rule to the end of the closing rule's line.
-_HEADER = rf"(?s)\A{_RULE}(?>{LINE_END})(?:.*?{LINE_END})??{_RULE}(?:{LINE_END}|\z)"
+_HEADER = rf"(?s)\A{_RULE}(?>{LINE_END}).*?(?<!{NO_BREAK}){_RULE}(?:{LINE_END}|\z)"
 # The lines between the two rules of such a header.
-_HEADER_LINES = rf"(?s)\A{NO_BREAK}*(?>{LINE_END})(.*?){_RULE}(?:{LINE_END}|\z)\z"
-_FIRST_LINE = rf"\A{NO_BREAK}*"
+_HEADER_LINES = rf"(?s)\A{NO_BREAK}*+(?>{LINE_END})(.*?){_RULE}(?:{LINE_END}|\z)\z"
+_FIRST_LINE = rf"\A{NO_BREAK}*+"
 # A line start with a heading ahead; the lookbehind also holds at the very start.
 _HEADING_AHEAD = rf"(?<!{NO_BREAK})(?={INLINE_SPACE}*#)"
 

@@ -25,7 +25,7 @@ INLINE_SPACE = rf"[[^{_ORDINARY}]&&[{INLINE}]]"
 BREAK = rf"[[^ {_ORDINARY}]&&[{BREAKS}]]"
 NO_BREAK = rf"[ {_ORDINARY}[^{BREAKS}]]"
 LINE_END = rf"(?:\r\n|{BREAK})"
-WHOLE_LINE = rf"{NO_BREAK}*{LINE_END}|{NO_BREAK}+"
+WHOLE_LINE = rf"{NO_BREAK}++{LINE_END}?|{LINE_END}"
 
 # The same classes as plain characters, for trimming without a regular expression.
 SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())

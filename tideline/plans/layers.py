@@ -105,7 +105,7 @@ MODELS = [
     Model(
         _MART, "state_affordability", ECONOMIC, (_MART_STAGE, "state_affordability"),
         _same, models.STATE_KEYS, ["state_fips", "date"],
-        columns=[*models.STATE_KEYS, "house_price_index", "avg_weekly_wage", "housing_affordability_ratio"],
+        columns=models.STATE_FACT_COLUMNS,
         period="year", cluster=["state_fips"], years=3,
     ),
     Model(

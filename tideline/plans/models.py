@@ -57,19 +57,47 @@ STATE_PATTERN = (
     rf"|{WEEKLY_WAGE_PREFIX}(?=\d{{2}}{WEEKLY_WAGE_SUFFIX}\z))(\d{{2}})"
 )
 
-INDICATOR_COLUMNS = ["date", *NATIONAL_SERIES.values(), "yield_curve_spread", "housing_affordability_ratio"]
+# Columns of the marts in their order.
 INDICATOR_FACT_COLUMNS = [
     "date",
-    *list(NATIONAL_SERIES.values())[:3],
+    "fed_funds_rate",
+    "treasury_yield_10y",
+    "treasury_yield_2y",
     "yield_curve_spread",
-    *list(NATIONAL_SERIES.values())[3:],
+    "mortgage_rate_30y",
+    "unemployment_rate",
+    "nonfarm_payrolls",
+    "cpi_all_urban",
+    "core_cpi",
+    "pce_price_index",
+    "gdp_nominal",
+    "gdp_real",
+    "housing_starts",
+    "consumer_sentiment",
+    "industrial_production",
+    "median_home_price_national",
+    "avg_hourly_earnings",
+    "housing_affordability_ratio",
+]
+STATE_FACT_COLUMNS = [
+    "state_fips",
+    "date",
+    "house_price_index",
+    "avg_weekly_wage",
     "housing_affordability_ratio",
 ]
-WEATHER_COLUMNS = [f for f in RAW_WEATHER.fieldNames() if f != "extracted_at"]
 WEATHER_FACT_COLUMNS = [
-    *WEATHER_COLUMNS[: WEATHER_COLUMNS.index("temperature_min_c") + 1],
+    "location_id",
+    "location_name",
+    "country",
+    "latitude",
+    "longitude",
+    "date",
+    "temperature_max_c",
+    "temperature_min_c",
     "temperature_range_c",
-    *WEATHER_COLUMNS[WEATHER_COLUMNS.index("temperature_min_c") + 1 :],
+    "precipitation_sum_mm",
+    "wind_speed_max_kmh",
 ]
 
 
@@ -100,7 +128,7 @@ def national_indicators(observations: DataFrame) -> DataFrame:
     ratio = safe_divide("median_home_price_national", F.col("avg_hourly_earnings") * HOURS_PER_YEAR)
     return wide.withColumns(
         {"yield_curve_spread": spread, "housing_affordability_ratio": ratio}
-    ).select(*INDICATOR_COLUMNS, *period)
+    ).select("date", *NATIONAL_SERIES.values(), "yield_curve_spread", "housing_affordability_ratio", *period)
 
 
 def state_affordability(observations: DataFrame) -> DataFrame:
@@ -128,4 +156,5 @@ def weather_metrics(weather: DataFrame) -> DataFrame:
     """Daily weather with its temperature range."""
     period = [c for c in [partition_column(weather)] if c]
     spread = F.col("temperature_max_c") - F.col("temperature_min_c")
-    return weather.select(*WEATHER_COLUMNS, spread.alias("temperature_range_c"), *period)
+    columns = [c for c in RAW_WEATHER.fieldNames() if c != "extracted_at"]
+    return weather.select(*columns, spread.alias("temperature_range_c"), *period)

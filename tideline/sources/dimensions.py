@@ -25,9 +25,15 @@ NATIONAL_SERIES = {
     "AHETPI": "avg_hourly_earnings",
 }
 
-# The 2-digit FIPS codes of the states and DC are 01 to 56 but for these.
-NO_STATE = (3, 7, 14, 43, 52)
-STATE_FIPS = [f"{code:02d}" for code in range(1, 57) if code not in NO_STATE]
+# 2-digit FIPS codes of the 50 states and DC.
+STATE_FIPS = [
+    "01", "02", "04", "05", "06", "08", "09", "10", "11", "12",
+    "13", "15", "16", "17", "18", "19", "20", "21", "22", "23",
+    "24", "25", "26", "27", "28", "29", "30", "31", "32", "33",
+    "34", "35", "36", "37", "38", "39", "40", "41", "42", "44",
+    "45", "46", "47", "48", "49", "50", "51", "53", "54", "55",
+    "56",
+]
 
 # Id templates of the state series.
 HOUSE_PRICE_ID = "ATNHPIUS%s000A"

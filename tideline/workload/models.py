@@ -49,8 +49,8 @@ def _affordability(source: str) -> str:
 
 def _metrics(source: str) -> str:
     return (
-        f"SELECT {', '.join(models.WEATHER_COLUMNS)}, temperature_max_c - temperature_min_c AS "
-        f"temperature_range_c FROM {source}"
+        "SELECT * EXCLUDE (extracted_at), temperature_max_c - temperature_min_c AS temperature_range_c "
+        f"FROM {source}"
     )
 
 
