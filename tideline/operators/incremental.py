@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions.scalars import days_before, years_before
 from tideline.operators.checks import check_unique
 from tideline.session import materialise
-from tideline.sources.tables import PERIOD_COLUMNS, insert_rows, partition_column
+from tideline.sources.tables import PERIOD_COLUMNS, insert_rows, partition_column, table_periods
 
 # Earlier than any date kept, so it lets every row through.
 BEGINNING = "0001-01-01"
@@ -160,11 +160,11 @@ def merge_upsert(
         raise ValueError(f"several source rows for one key of {table}")
     if first_load:
         insert_rows(staged, table, cluster, overwrite=True)
-        return sorted(r[0] for r in spark.table(table).select(period_col).distinct().collect())
+        return table_periods(spark, table)
 
     # As many values as the calendar has periods, never as many as there are keys.
     periods = sorted(r[0] for r in staged.select(period_col).distinct().collect())
     if periods:
         touched = target.where(F.col(period_col).isin(periods))
-        insert_rows(merged_view(touched, staged, keys), table, cluster, overwrite=True)
+        insert_rows(merged_view(touched, staged, keys), table, cluster, overwrite=True, periods=periods)
     return periods

@@ -18,7 +18,7 @@ from tideline.operators.checks import (
     summarise,
 )
 from tideline.operators.incremental import incremental_tail, merge_upsert, with_load_time
-from tideline.plans import models
+from tideline.plans import models as layer_models
 from tideline.sources.tables import (
     LAYERS,
     ensure_table,
@@ -63,61 +63,62 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
-_OBSERVATION_COLUMNS = models.RAW_OBSERVATIONS.fieldNames()
+_OBSERVATION_COLUMNS = layer_models.RAW_OBSERVATIONS.fieldNames()
 _RAW, _STAGE, _WAREHOUSE, _MART_STAGE, _MART = LAYERS
 
 MODELS = [
     Model(
         _STAGE, "economic_observations", ECONOMIC, (_RAW, "economic_observations"),
-        models.staged_observations, models.OBSERVATION_KEYS, ["series_id", "date", "extracted_at"],
+        layer_models.staged_observations,
+        layer_models.OBSERVATION_KEYS, ["series_id", "date", "extracted_at"],
     ),
     Model(
         _STAGE, "daily_weather", WEATHER, (_RAW, "daily_weather"),
-        models.staged_weather, models.WEATHER_KEYS, ["location_id", "date", "extracted_at"],
+        layer_models.staged_weather, layer_models.WEATHER_KEYS, ["location_id", "date", "extracted_at"],
     ),
     Model(
         _WAREHOUSE, "economic_observations", ECONOMIC, (_STAGE, "economic_observations"),
-        _same, models.OBSERVATION_KEYS, ["series_id", "date", "extracted_at"],
+        _same, layer_models.OBSERVATION_KEYS, ["series_id", "date", "extracted_at"],
         columns=_OBSERVATION_COLUMNS, cluster=["series_id"], days=90,
     ),
     Model(
         _WAREHOUSE, "daily_weather", WEATHER, (_STAGE, "daily_weather"),
-        _same, models.WEATHER_KEYS, ["location_id", "date", "extracted_at"],
-        columns=models.RAW_WEATHER.fieldNames(), cluster=["location_id"], days=90,
+        _same, layer_models.WEATHER_KEYS, ["location_id", "date", "extracted_at"],
+        columns=layer_models.RAW_WEATHER.fieldNames(), cluster=["location_id"], days=90,
     ),
     Model(
         _MART_STAGE, "national_indicators", ECONOMIC, (_WAREHOUSE, "economic_observations"),
-        models.national_indicators, ["date"], ["date"],
+        layer_models.national_indicators, ["date"], ["date"],
     ),
     Model(
         _MART_STAGE, "state_affordability", ECONOMIC, (_WAREHOUSE, "economic_observations"),
-        models.state_affordability, models.STATE_KEYS, ["state_fips", "date"],
+        layer_models.state_affordability, layer_models.STATE_KEYS, ["state_fips", "date"],
     ),
     Model(
         _MART_STAGE, "weather_metrics", WEATHER, (_WAREHOUSE, "daily_weather"),
-        models.weather_metrics, models.WEATHER_KEYS, ["location_id", "date"],
+        layer_models.weather_metrics, layer_models.WEATHER_KEYS, ["location_id", "date"],
     ),
     Model(
         _MART, "national_indicators", ECONOMIC, (_MART_STAGE, "national_indicators"),
         _same, ["date"], ["date"],
-        columns=models.INDICATOR_FACT_COLUMNS, days=90, rule=SPREAD_RULE,
+        columns=layer_models.INDICATOR_FACT_COLUMNS, days=90, rule=SPREAD_RULE,
     ),
     Model(
         _MART, "state_affordability", ECONOMIC, (_MART_STAGE, "state_affordability"),
-        _same, models.STATE_KEYS, ["state_fips", "date"],
-        columns=models.STATE_FACT_COLUMNS,
+        _same, layer_models.STATE_KEYS, ["state_fips", "date"],
+        columns=layer_models.STATE_FACT_COLUMNS,
         period="year", cluster=["state_fips"], years=3,
     ),
     Model(
         _MART, "daily_weather", WEATHER, (_MART_STAGE, "weather_metrics"),
-        _same, models.WEATHER_KEYS, ["location_id", "date"],
-        columns=models.WEATHER_FACT_COLUMNS, cluster=["location_id"], days=90,
+        _same, layer_models.WEATHER_KEYS, ["location_id", "date"],
+        columns=layer_models.WEATHER_FACT_COLUMNS, cluster=["location_id"], days=90,
     ),
 ]
 
 RAW_TABLES = {
-    ECONOMIC: ("economic_observations", models.RAW_OBSERVATIONS, "series_id"),
-    WEATHER: ("daily_weather", models.RAW_WEATHER, "location_id"),
+    ECONOMIC: ("economic_observations", layer_models.RAW_OBSERVATIONS, "series_id"),
+    WEATHER: ("daily_weather", layer_models.RAW_WEATHER, "location_id"),
 }
 
 
@@ -189,6 +190,7 @@ def run_layers(
     spark: SparkSession,
     layers: Sequence[str] | None = None,
     sources: Sequence[str] | None = None,
+    models: Sequence[str] | None = None,
     gate: bool = False,
     now: dt.datetime | None = None,
     prefix: str = "",
@@ -196,12 +198,16 @@ def run_layers(
     root: str | None = None,
     land: Sequence[Callable[[SparkSession], None]] = (),
 ) -> dict[str, list[dt.date]]:
-    """Land new rows, then build the layers one after the other for the chosen sources.
+    """Land new rows, then build the layers one after the other for the chosen sources or models.
 
     Returns the periods rewritten for each table.  With ``gate`` the raw tables'
     freshness and every layer's rules are checked before the next layer is built.
     """
-    chosen = [m for m in MODELS if sources is None or m.source in sources]
+    chosen = [
+        m
+        for m in MODELS
+        if (sources is None or m.source in sources) and (models is None or m.name in models)
+    ]
     create_raw_tables(spark, prefix, root)
     for step in land:
         step(spark)

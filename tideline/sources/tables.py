@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,9 +120,12 @@ def insert_rows(
     cluster: Sequence[str] = (),
     overwrite: bool = False,
     max_records_per_file: int | None = None,
+    periods: Sequence[dt.date] | None = None,
 ) -> None:
     """Write rows into a table, or swap the periods they belong to.
 
+    ``periods`` says which periods the rows have, where that is known.
+
     Rows are gathered by period and sorted by the cluster columns, so files are
     few and their row groups can be skipped.  The rebalance splits a period that
     holds much of the data over as many tasks as its size asks for.
@@ -138,9 +142,18 @@ def insert_rows(
     if period_col:
         writer = writer.partitionBy(period_col).option("partitionOverwriteMode", "dynamic")
     writer.save(table_location(spark, table))
-    spark.catalog.refreshTable(table)
-    if period_col:
+    if period_col and periods is None:
         spark.catalog.recoverPartitions(table)
+    elif period_col:
+        added = " ".join(f"PARTITION (`{period_col}` = DATE '{p}')" for p in periods)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    spark.catalog.refreshTable(table)
+
+
+def table_periods(spark: SparkSession, table: str) -> list[dt.date]:
+    """The periods a partitioned table has, from the catalog alone."""
+    named = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return sorted(dt.date.fromisoformat(r["partition"].split("=")[1]) for r in named)
 
 
 def table_location(spark: SparkSession, table: str) -> str:

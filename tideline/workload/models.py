@@ -110,7 +110,7 @@ def _layers_sql(raw: str, raw_name: str, order: str, keys: str, mart, mart_keys:
     )
 
 
-def _two_runs(spark: SparkSession, source: str, raw: DataFrame, mart: str) -> DataFrame:
+def _two_runs(spark: SparkSession, source: str, raw: DataFrame, mart: str, *others: str) -> DataFrame:
     prefix = f"run_{uuid.uuid4().hex}_"
     name, schema, cluster = RAW_TABLES[source]
     table = layer_table_name("raw", name, prefix)
@@ -120,8 +120,9 @@ def _two_runs(spark: SparkSession, source: str, raw: DataFrame, mart: str) -> Da
     def land(rows: DataFrame):
         return lambda _: append_rows(rows, table, schema, cluster=[cluster])
 
-    run_layers(spark, sources=[source], prefix=prefix, land=[land(raw.where(early))])
-    run_layers(spark, sources=[source], prefix=prefix, land=[land(raw.where(~early))])
+    chosen = {"sources": [source], "models": [mart, *others], "prefix": prefix}
+    run_layers(spark, land=[land(raw.where(early))], **chosen)
+    run_layers(spark, land=[land(raw.where(~early))], **chosen)
     rows = model_rows(spark, "4_marts", mart, prefix)
     return rows.drop("_loaded_at", "date_month", "date_year")
 
@@ -131,12 +132,12 @@ _ECONOMIC = (inputs.RAW_OBSERVATIONS, "raw_obs", inputs.OBSERVATION_ORDER, "seri
 
 @query("layered_national_indicators", _layers_sql(*_ECONOMIC, _indicators, "date", _DAYS))
 def layered_national(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_runs(spark, "economic", inputs.raw_observations(spark, sf_dir), "national_indicators")
+    return _two_runs(spark, "economic", inputs.raw_observations(spark, sf_dir), "national_indicators", "economic_observations")
 
 
 @query("layered_state_affordability", _layers_sql(*_ECONOMIC, _affordability, "state_fips, date", _YEARS))
 def layered_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_runs(spark, "economic", inputs.raw_observations(spark, sf_dir), "state_affordability")
+    return _two_runs(spark, "economic", inputs.raw_observations(spark, sf_dir), "state_affordability", "economic_observations")
 
 
 @query(
@@ -147,4 +148,4 @@ def layered_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def layered_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_runs(spark, "weather", inputs.raw_weather(spark, sf_dir), "daily_weather")
+    return _two_runs(spark, "weather", inputs.raw_weather(spark, sf_dir), "daily_weather", "weather_metrics")

@@ -147,12 +147,12 @@ def expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "check_freshness",
-    "SELECT max(ts) AS newest, CASE WHEN max(ts) IS NULL OR max(ts) < TIMESTAMP '2024-02-02' - INTERVAL 7 DAY "
-    "THEN 'error' WHEN max(ts) < TIMESTAMP '2024-02-02' - INTERVAL 2 DAY THEN 'warn' ELSE 'pass' END AS status "
+    "SELECT max(ts) AS newest, CASE WHEN max(ts) IS NULL OR max(ts) < TIMESTAMP '2024-02-04' - INTERVAL 7 DAY "
+    "THEN 'error' WHEN max(ts) < TIMESTAMP '2024-02-04' - INTERVAL 2 DAY THEN 'warn' ELSE 'pass' END AS status "
     "FROM events",
 )
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc)
+    now = dt.datetime(2024, 2, 4, tzinfo=dt.timezone.utc)
     return check_freshness(read(spark, sf_dir, "events"), "ts", now=now)
 
 
