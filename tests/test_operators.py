@@ -63,11 +63,15 @@ def test_latest_is_cut_down_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_top_n_past_the_rank_limit(spark):
-    df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"))
-    found = top_n_per_key(df, ["k"], "at", 1500)
-    assert found.count() == 3000
-    assert found.agg(F.min("at")).first()[0] == 2000
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_top_n_past_the_rank_limit(spark, small_chunks, bound):
+    df = spark.range(6000).select((F.col("id") % 3).alias("k"), F.col("id").alias("at")).where("k < 2")
+    found = top_n_per_key(df, ["k"], "at", 1500, max_group_rows=bound)
+    assert found.columns == ["k", "at"]
+    assert found.distinct().count() == 3000
+    assert found.agg(F.min("at")).first()[0] == 1500
+    few = top_n_per_key(df.where("at < 9"), ["k"], "at", 1500, max_group_rows=bound)
+    assert few.count() == 6
 
 
 @pytest.mark.parametrize("bound", [1_000_000, 0])

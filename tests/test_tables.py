@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tideline.operators.incremental import merge_upsert, with_load_time
 from tideline.operators.versions import history_list, history_of, latest_of
+from tideline.plans.landing import NothingLanded, land_pages, request_plan
 from tideline.plans.layers import MODELS, CheckFailed, create_raw_tables, model_rows, raw_checks, run_layers
 from tideline.plans.models import RAW_OBSERVATIONS, RAW_WEATHER
 from tideline.plans.registry import append_versions, ensure_registry, registry_table, sync_registry
@@ -233,6 +234,45 @@ def test_append(spark, prefix):
     assert len([f for f in spark.table(table).inputFiles() if "2025" in f]) >= 4
 
 
+# The landing job
+
+
+def test_landing_job(spark, prefix):
+    create_raw_tables(spark, prefix)
+    now = TS(2024, 1, 10, tzinfo=UTC)
+    plan = {r["location_id"]: r for r in request_plan(spark, "weather", prefix, now).collect()}
+    assert len(plan) == 20
+    assert (plan["paris"]["start_date"], plan["paris"]["end_date"]) == (D(2015, 1, 1), D(2024, 1, 4))
+
+    def pages(payloads, key):
+        return spark.createDataFrame(
+            [(k, json.dumps(p), NOW) for k, p in payloads.items()], f"{key} string, payload string, extracted_at timestamp"
+        )
+
+    daily = {"time": ["2024-01-03", "2024-01-05"], "temperature_2m_max": [1.0, 2.0]}
+    weather = pages({"paris": {"daily": daily}, "tokyo": {}}, "location_id")
+    report = {r["location_id"]: (r["rows"], r["status"]) for r in land_pages(spark, "weather", weather, prefix=prefix).collect()}
+    assert len(report) == 20
+    assert (report["paris"], report["tokyo"]) == ((2, "loaded"), (0, "empty"))
+    landed = spark.table(f"{prefix}raw.daily_weather")
+    assert rows(landed, "location_name", "country", "date", "temperature_max_c", "temperature_min_c")[0] == (
+        "Paris", "FR", D(2024, 1, 3), 1.0, None,
+    )
+    # Paris is ahead of the archive now, so there is nothing to ask for.
+    assert "paris" not in {r["location_id"] for r in request_plan(spark, "weather", prefix, now).collect()}
+
+    rejected = spark.createDataFrame([("GDP",)], "series_id string")
+    with pytest.raises(NothingLanded, match="1 keys were rejected"):
+        land_pages(spark, "economic", pages({"DGS2": {}}, "series_id"), rejected, prefix)
+    observed = {"observations": [{"date": "2024-01-01", "value": "1"}]}
+    report = land_pages(spark, "economic", pages({"DGS2": observed}, "series_id"), rejected, prefix)
+    assert {r["status"]: r["count"] for r in report.groupBy("status").count().collect()} == {
+        "loaded": 1, "rejected": 1, "empty": 116,
+    }
+    plan = {r["series_id"]: r["start_date"] for r in request_plan(spark, "economic", prefix).collect()}
+    assert (plan["DGS2"], plan["GDP"], len(plan)) == (D(2024, 1, 1), None, 118)
+
+
 # Layers
 
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.ordering import CHUNK, MAX_GROUP_ROWS, number_rows, split_groups
+
 # Up to this many rows per key Spark cuts each map task's rows down to the
 # wanted ranks before the shuffle (its default for rank limits).
 RANK_LIMIT = 1000
 
 _RANK = "_rank"
-_SALT = "_salt"
 
 
 def top_n_per_key(
@@ -21,26 +22,23 @@ def top_n_per_key(
     order_col: str,
     n: int,
     tie_break: Sequence[str] = (),
-    salts: int = 64,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """The ``n`` rows of each key that come last by ``order_col``.
 
     Equal order values are settled by ``tie_break``, largest first.  A key that
-    holds much of the table costs each map task ``n`` rows in the shuffle.  For
-    ``n`` past Spark's rank limit the rows of a key are first ranked in salted
-    parts, so no task sorts a whole hot key.
+    holds much of the table costs each map task ``n`` rows in the shuffle.  Past
+    Spark's rank limit rows are numbered in chunks instead, so that no task
+    sorts a whole hot key.
     """
+    order = [order_col, *tie_break]
     if n > RANK_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in (order_col, *tie_break)]), F.lit(salts))
-        parts = _top(df.withColumn(_SALT, salt), [*keys, _SALT], order_col, n, tie_break)
-        df = parts.drop(_SALT)
-    return _top(df, keys, order_col, n, tie_break)
-
-
-def _top(df: DataFrame, keys: Sequence[str], order_col: str, n: int, tie_break: Sequence[str]) -> DataFrame:
-    order: list[Column] = [F.col(c).desc() for c in (order_col, *tie_break)]
-    newest_first = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(newest_first)).where(F.col(_RANK) <= n).drop(_RANK)
+        rows = split_groups(df, keys, order, max_group_rows, descending=True)
+        ranked = number_rows(rows, keys, order, _RANK, descending=True)
+    else:
+        newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        ranked = df.withColumn(_RANK, F.row_number().over(newest_first))
+    return ranked.where(F.col(_RANK) <= n).drop(_RANK, CHUNK)
 
 
 def latest_per_key(

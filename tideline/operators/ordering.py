@@ -32,6 +32,7 @@ def split_groups(
     keys: Sequence[str],
     order_by: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
+    descending: bool = False,
 ) -> DataFrame:
     """``df`` as it is, or with a chunk column where some key is too large.
 
@@ -41,10 +42,14 @@ def split_groups(
     """
     if largest_group(df, keys) <= max_group_rows:
         return df
-    ranged = df.repartitionByRange(*[F.col(c) for c in (*keys, *order_by)])
+    ranged = df.repartitionByRange(*[F.col(c) for c in keys], *_ordered(order_by, descending))
     return materialise(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
+def _ordered(order_by: Sequence[str], descending: bool) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
+
+
 def _carry_join(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     # At most one row per chunk border, as a border cuts through one key only.
     # No hint: the carried values may be wide, and rows already lie by key and chunk.
@@ -79,14 +84,16 @@ def previous_row(
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str) -> DataFrame:
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str, descending: bool = False
+) -> DataFrame:
     """Adds ``out``: 1, 2, 3 ... along each key's order."""
-    ascending: list[Column] = [F.col(c) for c in order_by]
+    order = _ordered(order_by, descending)
     if CHUNK not in df.columns:
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*ascending))
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn(out, number.cast("long"))
 
-    in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*ascending)
+    in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     rows = df.withColumn(out, F.row_number().over(in_chunk).cast("long"))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (

@@ -19,6 +19,7 @@ from tideline.operators.checks import (
 )
 from tideline.operators.incremental import incremental_tail, merge_upsert, with_load_time
 from tideline.plans import models as layer_models
+from tideline.plans.landing import ECONOMIC, RAW_TABLES, WEATHER
 from tideline.sources.tables import (
     LAYERS,
     ensure_table,
@@ -27,8 +28,6 @@ from tideline.sources.tables import (
     view_name,
 )
 
-ECONOMIC, WEATHER = "economic", "weather"
-
 # The spread may only be there when both yields are.
 SPREAD_RULE = (
     "yield_curve_spread IS NULL OR (treasury_yield_10y IS NOT NULL AND treasury_yield_2y IS NOT NULL)"
@@ -116,19 +115,13 @@ MODELS = [
     ),
 ]
 
-RAW_TABLES = {
-    ECONOMIC: ("economic_observations", layer_models.RAW_OBSERVATIONS, "series_id"),
-    WEATHER: ("daily_weather", layer_models.RAW_WEATHER, "location_id"),
-}
-
-
 class CheckFailed(RuntimeError):
     """A check of a layer found violations; later layers were not built."""
 
 
 def create_raw_tables(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
-    for name, schema, _ in RAW_TABLES.values():
-        ensure_table(spark, layer_table_name("raw", name, prefix), schema, "month", root=root)
+    for raw in RAW_TABLES.values():
+        ensure_table(spark, layer_table_name("raw", raw.name, prefix), raw.schema, "month", root=root)
 
 
 def model_rows(spark: SparkSession, layer: str, name: str, prefix: str = "") -> DataFrame:
@@ -236,8 +229,8 @@ def raw_checks(
 ) -> dict[str, DataFrame]:
     """Freshness of the raw tables."""
     named = {
-        layer_table_name("raw", name, prefix): source
-        for source, (name, _, _) in RAW_TABLES.items()
+        layer_table_name("raw", raw.name, prefix): source
+        for source, raw in RAW_TABLES.items()
         if sources is None or source in sources
     }
     return {f"{t} freshness": check_freshness(spark.table(t), "extracted_at", now=now) for t in named}

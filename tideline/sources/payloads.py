@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import required, sentinel_to_null
+from tideline.sources.dimensions import locations
 
 # The mark for a missing value, and the most observations in a page.
 MISSING_VALUE = "."
@@ -62,6 +63,13 @@ def decode_parallel_arrays(
     return dated.select(*others, date, *values)
 
 
+def decode_weather(pages: DataFrame) -> DataFrame:
+    """Weather rows of pages keyed by ``location_id``, with what is known of the location."""
+    # The dimension is 20 rows kept in code, so it can go to every task.
+    places = locations(pages.sparkSession).withColumnRenamed("name", "location_name")
+    return decode_parallel_arrays(pages.join(F.broadcast(places), "location_id"))
+
+
 def assemble_pages(pages: DataFrame, key: Sequence[str] | str, page_limit: int = PAGE_LIMIT) -> DataFrame:
     """Per page set: pages, rows, and whether the set is complete.
 
@@ -70,7 +78,8 @@ def assemble_pages(pages: DataFrame, key: Sequence[str] | str, page_limit: int =
     captured twice counts once.
     """
     key = [key] if isinstance(key, str) else list(key)
-    size = F.coalesce(F.json_array_length(F.get_json_object("payload", "$.observations")), F.lit(0))
+    observations = F.from_json("payload", "observations ARRAY<STRING>", _STRICT)["observations"]
+    size = F.coalesce(F.array_size(observations), F.lit(0))
     # Grouped by page first, so a key with very many pages is not counted in one task.
     by_page = pages.groupBy(*key, "page_offset").agg(F.max(size.cast("long")).alias("size"))
     full = F.col("size") >= page_limit

@@ -44,7 +44,6 @@ def ensure_table(
     name: str,
     schema: T.StructType,
     period: str | None = None,
-    date_col: str = "date",
     root: str | None = None,
 ) -> None:
     """Create a parquet table if there is none, partitioned by month or year of its date.

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.sources.payloads import assemble_pages, decode_observations, decode_parallel_arrays
+from tideline.sources.payloads import (
+    DAILY_VARIABLES,
+    assemble_pages,
+    decode_observations,
+    decode_parallel_arrays,
+    decode_weather,
+)
+from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
 
@@ -65,6 +72,23 @@ def parallel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_parallel_arrays(pages)
 
 
+@query(
+    "decode_weather",
+    f"WITH {inputs.RAW_WEATHER} SELECT * EXCLUDE (date, i), date + CAST(i AS INTEGER) AS date "
+    "FROM raw_weather, range(2) AS r(i)",
+)
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as two days of the same weather, with its location looked up."""
+    rows = inputs.raw_weather(spark, sf_dir)
+    days = [F.date_format(F.date_add("date", i), "yyyy-MM-dd") for i in range(2)]
+    block = F.struct(
+        F.array(*days).alias("time"),
+        *[F.array(column, column).alias(field) for field, column in DAILY_VARIABLES.items()],
+    )
+    payload = F.to_json(F.struct(block.alias("daily"))).alias("payload")
+    return decode_weather(rows.select("location_id", payload, "extracted_at"))
+
+
 @query(
     "assemble_pages",
     "WITH by_page AS (SELECT l_orderkey AS series_id, (l_linenumber - 1) * 3 AS page_offset, "

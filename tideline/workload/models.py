@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.plans import models
-from tideline.plans.layers import RAW_TABLES, create_raw_tables, model_rows, run_layers
+from tideline.plans.landing import RAW_TABLES
+from tideline.plans.layers import create_raw_tables, model_rows, run_layers
 from tideline.sources.dimensions import NATIONAL_SERIES
 from tideline.sources.tables import append_rows, layer_table_name
 from tideline.workload import inputs
@@ -112,13 +113,13 @@ def _layers_sql(raw: str, raw_name: str, order: str, keys: str, mart, mart_keys:
 
 def _two_runs(spark: SparkSession, source: str, raw: DataFrame, mart: str, *others: str) -> DataFrame:
     prefix = f"run_{uuid.uuid4().hex}_"
-    name, schema, cluster = RAW_TABLES[source]
-    table = layer_table_name("raw", name, prefix)
+    landed = RAW_TABLES[source]
+    table = layer_table_name("raw", landed.name, prefix)
     early = F.col("extracted_at") <= F.lit(FIRST_RUN).cast("timestamp_ntz")
     create_raw_tables(spark, prefix)
 
     def land(rows: DataFrame):
-        return lambda _: append_rows(rows, table, schema, cluster=[cluster])
+        return lambda _: append_rows(rows, table, landed.schema, cluster=[landed.key])
 
     chosen = {"sources": [source], "models": [mart, *others], "prefix": prefix}
     run_layers(spark, land=[land(raw.where(early))], **chosen)
