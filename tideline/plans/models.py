@@ -134,14 +134,16 @@ def national_indicators(observations: DataFrame) -> DataFrame:
 def state_affordability(observations: DataFrame) -> DataFrame:
     """House price index and weekly wage of each state on every date either was reported."""
     period = [c for c in [partition_column(observations)] if c]
-    of_state = F.col("series_id").rlike(STATE_PATTERN)
     is_price = F.startswith("series_id", F.lit(HOUSE_PRICE_PREFIX))
+    is_wage = F.startswith("series_id", F.lit(WEEKLY_WAGE_PREFIX))
+    # The prefixes reach the scan, where files sorted by series skip what has neither.
+    of_state = (is_price | is_wage) & F.col("series_id").rlike(STATE_PATTERN)
     parts = observations.where(of_state).select(
         F.regexp_extract("series_id", STATE_PATTERN, 1).alias("state_fips"),
         "date",
         *period,
         F.when(is_price, F.col("value")).alias("house_price_index"),
-        F.when(~is_price, F.col("value")).alias("avg_weekly_wage"),
+        F.when(is_wage, F.col("value")).alias("avg_weekly_wage"),
     )
     measures = {m: F.col(m) for m in ("house_price_index", "avg_weekly_wage")}
     return spine_pivot(parts, [*STATE_KEYS, *period], measures).select(
