@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,5 +69,32 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    # Nothing reads the shuffles of a finished write again, so their files can go at once.
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a frame that ``materialise`` gave, once nothing reads it any more."""
+    files = df.inputFiles()
+    if not files:
+        return
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    if f"{shared_folder(df.sparkSession)}/tideline/".split("://")[-1] not in f"{folder.toString()}/":
+        raise ValueError(f"{folder.toString()} is not a folder of this library")
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
