@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import simhash_dedup, substring_dedup
+from tideline.llm import piece_encoding, quality, simhash_dedup, substring_dedup, token_output
+from tideline.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +35,24 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digest(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-ids")
+    token_output.write_tokens(_read(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.read_tokens(spark, folder, with_ids=False)
+
+
+@query
+def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding.encode_pieces(
+        _read(spark, sf_dir, "documents"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        outputs=("n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"),
+    )
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
