@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import piece_encoding, quality, simhash_dedup, substring_dedup, token_output
+from tideline.llm import license_scan, mixing, piece_encoding, quality, simhash_dedup, substring_dedup, token_output
 from tideline.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,13 @@ def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_read(spark, sf_dir, "documents")).drop("notices")
