@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import license_scan, mixing, piece_encoding, quality, simhash_dedup, substring_dedup, token_output
+from tideline.llm import (
+    fingerprints,
+    license_scan,
+    mixing,
+    piece_encoding,
+    quality,
+    simhash_dedup,
+    substring_dedup,
+    token_output,
+)
 from tideline.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +75,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_read(spark, sf_dir, "documents")).drop("notices")
+
+
+@query
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_edits(_read(spark, sf_dir, "documents"))
+    shown = {c: fingerprints.hexadecimal(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(shown)
