@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
+    embedding_dedup,
     fingerprints,
     license_scan,
     mixing,
@@ -16,6 +17,7 @@ from tideline.llm import (
     quality,
     simhash_dedup,
     substring_dedup,
+    surrogates,
     token_output,
 )
 from tideline.session import new_folder
@@ -82,3 +84,14 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.compare_edits(_read(spark, sf_dir, "documents"))
     shown = {c: fingerprints.hexadecimal(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
     return found.withColumns(shown)
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return surrogates.replace_entities(docs, report="entities").select("doc_id", "text", "entities")
