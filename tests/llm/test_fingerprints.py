@@ -68,7 +68,8 @@ def test_query_against_votes_term_by_term(spark, sf_dir, documents):
 
 def test_long_texts_fill_several_chunks(spark):
     rng = random.Random(3)
-    texts = [" ".join(rng.choices(["alpha", "beta", "supercalifragilistic", "x"], k=n)) for n in (0, 1, 4095, 4096, 4097, 20_000)]
+    texts = [" ".join(rng.choices(["alpha", "beta", "supercalifragilistic", "x"], k=n)) for n in (0, 1, 2047, 2048, 2049, 20_000)]
+    texts += [f"{w} " * 5000 for w in ("supercalifragilistic", "incomprehensibilities", "counterrevolutionaries")]
     docs = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
     rows = S.fingerprints(docs, ["k"]).collect()
     want = slow_prints(spark, texts)

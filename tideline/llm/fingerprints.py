@@ -15,8 +15,9 @@ from tideline.session import materialise
 BITS = 64
 #: A term's votes: the bytes of its words, at most this many, so that short common words count for little.
 MOST_WEIGHT = 15
-#: Terms summed in 16-bit lanes before the sums go to wider ones; 4096 x 15 fits 16 bits.
-CHUNK_SHIFT = 12
+#: Terms summed in 16-bit lanes before the sums go to wider ones; 2048 x 15 is below half of what 16 bits
+#: hold, so that the highest lane stays clear of the sign.
+CHUNK_SHIFT = 11
 #: The fingerprint is cut into blocks; a table is sorted by the bits of three of them.
 BLOCK_WIDTHS = (11, 11, 11, 11, 10, 10)
 RADIUS = 3
@@ -39,7 +40,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text_col: str = "text") -> D
     alone. Each casts its weight for or against every bit by its hash; a bit is set if
     more is cast for it than against it. A text without words has fingerprint 0. The
     votes for four bits share one sum, so a text of any length is summed in its task in
-    sixteen numbers for every 4096 terms, and only those are shuffled.
+    sixteen numbers for every 2048 terms, and only those are shuffled.
     """
     trimmed = F.btrim(F.lower(F.col(text_col)), F.lit(_SPACE))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[ \t-\r]+"))
@@ -153,31 +154,24 @@ def compare_edits(
     order of their texts' hashes; rows alike in id and text are one document, and each gets its row.
     A table of one document follows itself; an empty one gives no rows.
     """
-    key = ["doc_id", "hash"]
+    # Columns without NULLs, so that all joins and groups below share one way to deal out the texts.
+    key = ["present", "id", "hash"]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), F.length(text).alias("n_chars"))
-    sizes = rows.groupBy(*key).agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("n_rows"))
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(0))
+    base = docs.select(F.col(id_col).isNotNull().alias("present"), number.alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    sizes = base.select(*key, F.length("text").alias("n_chars")).groupBy(*key).agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("n_rows"))
     order = materialise(following(sizes, key), "order")
 
-    def same(a: str, b: str, names: list[tuple[str, str]]) -> Column:
-        found = F.lit(True)
-        for x, y in names:
-            found = found & F.col(f"{a}.{x}").eqNullSafe(F.col(f"{b}.{y}"))
-        return found
-
     whole = base.dropDuplicates(key)
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    heads = (
-        whole.alias("w")
-        .join(order.alias("o"), same("w", "o", [("doc_id", "next_doc_id"), ("hash", "next_hash")]))
-        .select("o.doc_id", "o.hash", "o.n_chars", F.substring("w.text", F.lit(1), quarter).alias("head"))
+    wanted = order.select(*[F.col(f"next_{c}").alias(c) for c in key], *[F.col(c).alias(f"for_{c}") for c in key], "n_chars")
+    heads = whole.join(wanted, key).select(
+        *[F.col(f"for_{c}").alias(c) for c in key], "n_chars", F.substring("text", F.lit(1), quarter).alias("head")
     )
-    edited = F.concat(F.substring("w.text", F.lit(1), F.col("n_chars") - quarter), F.col("head"))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), F.col("head"))
     both = (
-        whole.alias("w")
-        .join(heads.alias("h"), same("w", "h", [("doc_id", "doc_id"), ("hash", "hash")]))
-        .select("w.doc_id", "w.hash", "w.text", edited.alias("edited"))
+        whole.join(heads, key)
+        .select(*key, "text", edited.alias("edited"))
         .withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
     )
     versions = both.select(
@@ -191,19 +185,9 @@ def compare_edits(
     prints = materialise(fingerprints(versions, [*key, "sha"]), "fingerprints")
     own = prints.where("sha = ''").select(*key, "fingerprint")
     edits = prints.where("sha <> ''").select(*key, F.col("sha").alias("edited_sha256"), F.col("fingerprint").alias("edited_fingerprint"))
-    after = own.select(F.col("doc_id").alias("a_id"), F.col("hash").alias("a_hash"), F.col("fingerprint").alias("next_fingerprint"))
-    joined = (
-        order.alias("o")
-        .join(own.alias("p"), same("o", "p", [("doc_id", "doc_id"), ("hash", "hash")]))
-        .select("o.*", "p.fingerprint")
-        .alias("o")
-        .join(edits.alias("e"), same("o", "e", [("doc_id", "doc_id"), ("hash", "hash")]))
-        .select("o.*", "e.edited_sha256", "e.edited_fingerprint")
-        .alias("o")
-        .join(after.alias("a"), same("o", "a", [("next_doc_id", "a_id"), ("next_hash", "a_hash")]))
-        .select("o.*", "a.next_fingerprint")
-    )
-    joined = materialise(joined, "compared")
+    after = own.select(*[F.col(c).alias(f"next_{c}") for c in key], F.col("fingerprint").alias("next_fingerprint"))
+    joined = order.join(own, key).join(edits, key).join(after, [f"next_{c}" for c in key])
+    joined = materialise(joined.withColumn("doc_id", F.when(F.col("present"), F.col("id"))), "compared")
     asked = (F.col("doc_id") % every) == 0
     counts = joined.groupBy("fingerprint").agg(F.sum("n_rows").alias("n"))
     near = (
