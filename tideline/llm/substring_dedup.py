@@ -159,8 +159,9 @@ def repeated_runs(docs: DataFrame, window: int) -> DataFrame:
     shared = (
         seeds.select("anchor", "doc_id").groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     )
-    shared = shared.where("low < high").select("anchor").hint("shuffle_hash")
-    runs = materialise(seeds.join(shared, "anchor", "left_semi"), "runs")
+    # Aggregates are written before they are joined, so that a join reads two shuffles and AQE can split a hot key.
+    shared = materialise(shared.where("low < high").select("anchor"), "shared")
+    runs = materialise(seeds.join(shared.hint("shuffle_hash"), "anchor", "left_semi"), "runs")
     discard(seeds)
 
     classes = materialise(
@@ -171,7 +172,7 @@ def repeated_runs(docs: DataFrame, window: int) -> DataFrame:
     several = several.where("low < high").select("anchor")
     firsts = classes.join(several, "anchor", "left_semi").select("at.doc_id", "at.place")
     windows = materialise(_windows(docs, firsts, window), "windows")
-    owners = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("owner"))
+    owners = materialise(windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("owner")), "owners")
     owned = (
         windows.join(owners, ["anchor", "window"])
         .where("owner < doc_id")
@@ -183,6 +184,7 @@ def repeated_runs(docs: DataFrame, window: int) -> DataFrame:
     known = classes.join(owned, ["anchor", "run"], "left").select(
         "anchor", "run", "first_doc", F.coalesce("early", F.lit(0)).alias("early")
     )
+    known = materialise(known, "known")
     marks = F.when(F.col("doc_id") > F.col("first_doc"), every).otherwise(F.col("early"))
     start = F.col("place").bitwiseAND(0xFFFFFFFF)
     return (
