@@ -63,29 +63,25 @@ def test_latest_is_cut_down_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_top_n_past_the_rank_limit(spark, small_chunks, bound):
+def test_top_n_past_the_rank_limit(spark, small_chunks):
     df = spark.range(6000).select((F.col("id") % 3).alias("k"), F.col("id").alias("at")).where("k < 2")
-    found = top_n_per_key(df, ["k"], "at", 1500, max_group_rows=bound)
+    found = top_n_per_key(df, ["k"], "at", 1500)
     assert found.columns == ["k", "at"]
     assert found.distinct().count() == 3000
     assert found.agg(F.min("at")).first()[0] == 1500
-    few = top_n_per_key(df.where("at < 9"), ["k"], "at", 1500, max_group_rows=bound)
+    few = top_n_per_key(df.where("at < 9"), ["k"], "at", 1500)
     assert few.count() == 6
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_previous_and_number_for_groups_of_any_size(spark, small_chunks, bound):
+def test_previous_and_number_for_groups_of_any_size(spark, small_chunks):
     rng = random.Random(1)
     data = [("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 40)}", i, rng.randint(0, 3)) for i in range(3000)]
     data += [(None, i, 0) for i in range(50)]
     rng.shuffle(data)
     df = spark.createDataFrame(data, "k string, t int, v int").repartition(8)
-    split = split_groups(df, ["k"], ["t"], bound)
-    if bound == 0:
-        assert CHUNK in split.columns
-        spread = split.where("k = 'hot'").select(CHUNK).distinct().count()
-        assert spread > 1, "the hot key must not lie in one chunk"
+    split = split_groups(df, ["k"], ["t"])
+    spread = split.where("k = 'hot'").select(CHUNK).distinct().count()
+    assert spread > 1, "the hot key must not lie in one chunk"
     found = number_rows(previous_row(split, ["k"], ["t"], ["v"]), ["k"], ["t"], "n")
     expected, seen = [], {}
     for k, t, v in sorted(data, key=lambda r: r[1]):
@@ -95,9 +91,24 @@ def test_previous_and_number_for_groups_of_any_size(spark, small_chunks, bound):
     assert rows(found, "k", "t", "v", "prev.v", "n") == sorted(expected, key=repr)
 
 
+def test_few_shuffles_and_no_window_over_whole_keys(spark):
+    df = split_groups(spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("t")), ["k"], ["t"])
+    for found in (previous_row(df, ["k"], ["t"], ["t"]), number_rows(df, ["k"], ["t"], "n")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") <= 4
+        assert "hashpartitioning(k#" not in plan
+
+
+def test_a_hot_key_is_ranked_in_parts(spark):
+    df = spark.range(1000).select(F.format_string("hot%d", F.col("id") % 1).alias("k"), F.col("id").alias("at"))
+    assert rows(top_n_per_key(df, ["k"], "at", 3)) == [("hot0", 997), ("hot0", 998), ("hot0", 999)]
+    plan = top_n_per_key(df, ["k"], "at", 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_number_rows_without_keys(spark, small_chunks):
     df = spark.range(1000).repartition(8)
-    found = number_rows(split_groups(df, [], ["id"], 0), [], ["id"], "n")
+    found = number_rows(split_groups(df, [], ["id"]), [], ["id"], "n")
     assert found.where(F.col("n") != F.col("id") + 1).isEmpty()
     assert found.count() == 1000
 
@@ -233,29 +244,26 @@ def test_run_verdict(spark, landed, rejected, expected):
     assert rows(empty_keys(keys(["a", "b"]), keys(landed), "k"))[:1] == [("a",)]
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_key_lists_hold_every_key(spark, small_chunks, bound):
+def test_key_lists_hold_every_key(spark, small_chunks):
     report = spark.range(250).select(F.format_string("%03d", "id").alias("k"), F.lit("empty").alias("status"))
-    lines = sorted(key_lists(report, "k", per_line=100, max_group_rows=bound).collect(), key=lambda r: r["line"])
+    lines = sorted(key_lists(report, "k", per_line=100).collect(), key=lambda r: r["line"])
     assert [r["keys"] for r in lines] == [
         ", ".join(f"{i:03d}" for i in range(start, min(start + 100, 250))) for start in (0, 100, 200)
     ]
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_version_history(spark, small_chunks, bound):
+def test_version_history(spark, small_chunks):
     loads = spark.createDataFrame(
         [("x", i, c) for i, c in enumerate("AABA")] + [("y", 0, None), ("y", 1, None), ("y", 2, "A")],
         "name string, t int, content string",
     )
-    found = version_history(loads, ["name"], ["t"], "content", bound)
+    found = version_history(loads, ["name"], ["t"], "content")
     assert rows(found, "name", "t", "version") == [("x", 0, 1), ("x", 2, 2), ("x", 3, 3), ("y", 0, 1), ("y", 2, 2)]
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_version_pairs(spark, small_chunks, bound):
+def test_version_pairs(spark, small_chunks):
     history = spark.createDataFrame([("x", v, f"text {v}") for v in (1, 2, 5)] + [("y", 1, "t")], "name string, version long, content string")
-    found = version_pairs(history, ["name"], ["version"], max_group_rows=bound)
+    found = version_pairs(history, ["name"], ["version"])
     assert rows(found) == [("x", 1, 2, "text 1", "text 2"), ("x", 2, 5, "text 2", "text 5")]
 
 

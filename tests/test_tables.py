@@ -19,7 +19,13 @@ from tideline.plans.registry import append_versions, ensure_registry, registry_t
 from tideline.session import new_folder, shared_folder
 from tideline.sources.definitions import parse_definitions, read_definitions
 from tideline.sources.dimensions import LOCATIONS, STATE_FIPS, locations, series_catalog
-from tideline.sources.payloads import assemble_pages, decode_observations, decode_parallel_arrays
+from tideline.sources.payloads import (
+    assemble_pages,
+    assembled,
+    decode_observations,
+    decode_parallel_arrays,
+    decode_weather,
+)
 from tideline.sources.tables import append_rows, ensure_table, layer_table_name, table_location
 from tideline.streaming.landing import OBSERVATION_PAGES, land_captures
 
@@ -115,6 +121,19 @@ def test_parallel_arrays(spark):
     ]
 
 
+def test_the_later_capture_of_a_page_counts(spark):
+    def page(size, day):
+        return "a", 0, json.dumps({"observations": [{"date": "2024-01-01", "value": "1"}] * size}), TS(2024, 1, day)
+
+    df = spark.createDataFrame([page(1000, 1), page(3, 2)], "series_id string, page_offset long, payload string, extracted_at timestamp")
+    assert rows(assemble_pages(df, "series_id")) == [("a", 1, 3, True)]
+
+
+def test_unknown_locations_stop_the_job(spark):
+    with pytest.raises(Exception, match="required column location_name"):
+        decode_weather(pages_of(spark, [json.dumps({"daily": {"time": ["2024-01-01"]}})], "location_id")).collect()
+
+
 def test_page_sets(spark):
     def page(key, offset, size):
         return key, offset, json.dumps({"observations": [{"date": "2024-01-01", "value": "1"}] * size})
@@ -123,8 +142,11 @@ def test_page_sets(spark):
     pages += [page("full", 1000, 1000), page("empty", 0, 0), page("ends with empty", 0, 1000)]
     pages += [page("ends with empty", 1000, 0), page("open", 0, 1000)]
     pages += [page("gap", 0, 1000), page("gap", 2000, 5), page("short first", 0, 10), page("short first", 1000, 10)]
-    df = spark.createDataFrame(pages, "series_id string, page_offset long, payload string")
-    assert rows(assemble_pages(df, "series_id")) == [
+    df = spark.createDataFrame([(*p, TS(2024, 1, 1)) for p in pages], "series_id string, page_offset long, payload string, extracted_at timestamp")
+    sets, landed = assembled(df, "series_id")
+    assert rows(landed.groupBy("series_id").count()) == [("ends with empty", 1000), ("full", 2007)]
+    assert rows(landed.where("series_id = 'full'").select("at")) == sorted([(k,) for k in range(2007)], key=repr)
+    assert rows(sets) == rows(assemble_pages(df, "series_id")) == [
         ("empty", 1, 0, True),
         ("ends with empty", 2, 1000, True),
         ("full", 3, 2007, True),
@@ -261,14 +283,29 @@ def test_landing_job(spark, prefix):
     # Paris is ahead of the archive now, so there is nothing to ask for.
     assert "paris" not in {r["location_id"] for r in request_plan(spark, "weather", prefix, now).collect()}
 
+    def captured(*sets):
+        return spark.createDataFrame(
+            [(k, o, json.dumps({"observations": [{"date": "2024-01-01", "value": "1"}] * n}), NOW) for k, o, n in sets],
+            "series_id string, page_offset long, payload string, extracted_at timestamp",
+        )
+
     rejected = spark.createDataFrame([("GDP",)], "series_id string")
-    with pytest.raises(NothingLanded, match="1 keys were rejected"):
-        land_pages(spark, "economic", pages({"DGS2": {}}, "series_id"), rejected, prefix)
-    observed = {"observations": [{"date": "2024-01-01", "value": "1"}]}
-    report = land_pages(spark, "economic", pages({"DGS2": observed}, "series_id"), rejected, prefix)
+    table = spark.table(f"{prefix}raw.economic_observations")
+    with pytest.raises(NothingLanded, match="1 keys were rejected and 0 incomplete"):
+        land_pages(spark, "economic", captured(("DGS2", 0, 0)), rejected, prefix)
+    # A series with a gap lands nothing and is asked for again; an unlisted one lands and is reported.
+    with pytest.raises(NothingLanded, match="0 keys were rejected and 1 incomplete"):
+        land_pages(spark, "economic", captured(("DGS10", 0, 1000), ("DGS10", 2000, 5)), None, prefix)
+    assert table.isEmpty()
+    sets = captured(("DGS2", 0, 1), ("DGS10", 0, 1000), ("DGS10", 2000, 5), ("UNLISTED", 0, 3))
+    report = land_pages(spark, "economic", sets, rejected, prefix, batch_rows=2)
     assert {r["status"]: r["count"] for r in report.groupBy("status").count().collect()} == {
-        "loaded": 1, "rejected": 1, "empty": 116,
+        "loaded": 2, "rejected": 1, "incomplete": 1, "empty": 115,
     }
+    spark.catalog.refreshTable(f"{prefix}raw.economic_observations")
+    landed = spark.table(f"{prefix}raw.economic_observations")
+    assert rows(landed.groupBy("series_id").count()) == [("DGS2", 1), ("UNLISTED", 3)]
+    assert len(landed.inputFiles()) >= 2
     plan = {r["series_id"]: r["start_date"] for r in request_plan(spark, "economic", prefix).collect()}
     assert (plan["DGS2"], plan["GDP"], len(plan)) == (D(2024, 1, 1), None, 118)
 

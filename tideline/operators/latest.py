@@ -7,44 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.ordering import CHUNK, MAX_GROUP_ROWS, number_rows, split_groups
+# Parts that a key's rows are ranked in before they meet.
+SALTS = 64
 
-# Up to this many rows per key Spark cuts each map task's rows down to the
-# wanted ranks before the shuffle (its default for rank limits).
-RANK_LIMIT = 1000
-
-_RANK = "_rank"
+_RANK, _SALT = "_rank", "_salt"
 
 
 def top_n_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_col: str,
-    n: int,
-    tie_break: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order_col: str, n: int, tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """The ``n`` rows of each key that come last by ``order_col``.
 
-    Equal order values are settled by ``tie_break``, largest first.  A key that
-    holds much of the table costs each map task ``n`` rows in the shuffle.  Past
-    Spark's rank limit rows are numbered in chunks instead, so that no task
-    sorts a whole hot key.
+    Equal order values are settled by ``tie_break``, largest first.  Rows are ranked
+    in parts of a key first, so a key that holds much of the table is sorted in
+    many tasks, and at most ``SALTS * n`` of its rows meet in one.
     """
-    order = [order_col, *tie_break]
-    if n > RANK_LIMIT:
-        rows = split_groups(df, keys, order, max_group_rows, descending=True)
-        ranked = number_rows(rows, keys, order, _RANK, descending=True)
-    else:
-        newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-        ranked = df.withColumn(_RANK, F.row_number().over(newest_first))
-    return ranked.where(F.col(_RANK) <= n).drop(_RANK, CHUNK)
+    order = [F.col(c).desc() for c in (order_col, *tie_break)]
+    salt = F.pmod(F.xxhash64(order_col, *tie_break), F.lit(SALTS))
+    in_part = Window.partitionBy(*keys, _SALT).orderBy(*order)
+    newest_first = Window.partitionBy(*keys).orderBy(*order)
+    parts = df.withColumn(_SALT, salt).withColumn(_RANK, F.row_number().over(in_part))
+    ranked = parts.where(F.col(_RANK) <= n).withColumn(_RANK, F.row_number().over(newest_first))
+    return ranked.where(F.col(_RANK) <= n).drop(_RANK, _SALT)
 
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key, the last by ``order_col``; rows with a NULL key are dropped."""
+    """One row per key, the last by ``order_col``; rows with a NULL key are dropped.
+
+    Spark keeps each map task's first rank only before the shuffle, so a hot key
+    sends one row for each map task.
+    """
     for key in keys:
         df = df.where(F.col(key).isNotNull())
-    return top_n_per_key(df, keys, order_col, 1, tie_break)
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in (order_col, *tie_break)])
+    return df.withColumn(_RANK, F.row_number().over(newest_first)).where(F.col(_RANK) == 1).drop(_RANK)

@@ -1,16 +1,15 @@
 """Previous row and running number per key, for keys of any size.
 
-A window sorts each key in one task.  That is fine until one key holds a large
-part of the table.  ``split_groups`` measures the largest key first: within the
-bound the windows run as they are; beyond it every key is cut into consecutive
-chunks by a range shuffle, and what a chunk needs from the chunk before it is
-carried over by a small join.  Both ways give the same rows.
+A window sorts each key in one task, which fails where one key holds a large part
+of the table. Here rows are first cut into consecutive chunks by a range shuffle on
+keys and order, so a hot key lies over as many chunks as its share of the rows; the
+windows run inside chunks, and the last row of each chunk, one row for each task,
+carries over what the next chunk's first key needs from the chunks before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,30 +17,15 @@ from pyspark.sql import functions as F
 from tideline.session import materialise
 
 CHUNK = "_chunk"
-MAX_GROUP_ROWS = 100_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key: one number, counted with map-side partial sums."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
 
 
 def split_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
-    descending: bool = False,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], descending: bool = False
 ) -> DataFrame:
-    """``df`` as it is, or with a chunk column where some key is too large.
+    """``df`` with the number of its chunk, chunks in order of keys and ``order_by``.
 
-    Chunks are the partitions of a range shuffle on keys and order, so a hot key
-    spreads over as many tasks as its share of the rows.  They are written once
-    because every later step has to see the same chunk borders.
+    They are written once because every later step has to see the same borders.
     """
-    if largest_group(df, keys) <= max_group_rows:
-        return df
     ranged = df.repartitionByRange(*[F.col(c) for c in keys], *_ordered(order_by, descending))
     return materialise(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
@@ -50,35 +34,37 @@ def _ordered(order_by: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
 
 
-def _carry_join(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # At most one row per chunk border, as a border cuts through one key only.
-    # No hint: the carried values may be wide, and rows already lie by key and chunk.
-    names = [*keys, CHUNK]
-    renamed = carry.select(*[F.col(c).alias(f"_carry_{c}") for c in names], "_carry")
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_carry_{c}")) for c in names])
-    return rows.join(renamed, same, "left").drop(*[f"_carry_{c}" for c in names])
+def _key(keys: Sequence[str]) -> Column:
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _with_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_carry`` to the rows of each chunk's first key, where ``carry (chunk, key, carry)`` has one for it."""
+    renamed = carry.select(
+        F.col("chunk").alias("_carry_chunk"), F.col("key").alias("_carry_key"), F.col("carry").alias("_carry")
+    )
+    same = (F.col(CHUNK) == F.col("_carry_chunk")) & _key(keys).eqNullSafe(F.col("_carry_key"))
+    # One row for each chunk, but it may be wide, so its size decides how it is joined.
+    return rows.join(renamed, same, "left").drop("_carry_chunk", "_carry_key")
 
 
 def previous_row(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], values: Sequence[str], out: str = "prev"
 ) -> DataFrame:
-    """Adds ``out``: a struct of ``values`` from the row before, NULL on a key's first row."""
-    packed = F.struct(*[F.col(v) for v in values])
-    ascending = [F.col(c) for c in order_by]
-    if CHUNK not in df.columns:
-        return df.withColumn(out, F.lag(packed).over(Window.partitionBy(*keys).orderBy(*ascending)))
+    """Adds ``out``: a struct of ``values`` from the row before, NULL on a key's first row.
 
-    in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*ascending)
+    ``df`` comes from ``split_groups``.
+    """
+    packed = F.struct(*[F.col(v) for v in values])
+    in_chunk = Window.partitionBy(CHUNK, *keys).orderBy(*order_by)
     rows = df.withColumn(out, F.lag(packed).over(in_chunk))
-    ends = df.groupBy(*keys, CHUNK).agg(F.max_by(packed, F.struct(*ascending)).alias("_end"))
-    over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)
-    carry = (
-        ends.withColumn("_carry", F.lag("_end").over(over_chunks))
-        .where(F.col("_carry").isNotNull())
-        .drop("_end")
-    )
+    last = F.max_by(F.struct(_key(keys).alias("key"), packed.alias("carry")), F.struct(*keys, *order_by))
+    ends = df.groupBy(CHUNK).agg(last.alias("last"))
+    # Numbers only meet in one task, the values they stand for do not.
+    after = df.select(CHUNK).distinct().withColumn("chunk", F.lead(CHUNK).over(Window.orderBy(CHUNK)))
+    carry = ends.join(after.where(F.col("chunk").isNotNull()), CHUNK).select("chunk", "last.key", "last.carry")
     return (
-        _carry_join(rows, carry, keys)
+        _with_carry(rows, carry, keys)
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
         .drop("_carry")
     )
@@ -87,24 +73,17 @@ def previous_row(
 def number_rows(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str, descending: bool = False
 ) -> DataFrame:
-    """Adds ``out``: 1, 2, 3 ... along each key's order."""
-    order = _ordered(order_by, descending)
-    if CHUNK not in df.columns:
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumn(out, number.cast("long"))
-
-    in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    """Adds ``out``: 1, 2, 3 ... along each key's order; ``df`` comes from ``split_groups``, in that order."""
+    in_chunk = Window.partitionBy(CHUNK, *keys).orderBy(*_ordered(order_by, descending))
     rows = df.withColumn(out, F.row_number().over(in_chunk).cast("long"))
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        df.groupBy(*keys, CHUNK)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_carry", F.sum("_n").over(before))
-        .where(F.col("_carry").isNotNull())
-        .drop("_n")
-    )
+    # How many rows each chunk has of its last key; a key's chunks but the last all end with it.
+    sizes = df.groupBy(CHUNK, *keys).agg(F.count(F.lit(1)).alias("n"))
+    ends = sizes.groupBy(CHUNK).agg(F.max(F.struct(_key(keys).alias("key"), "n")).alias("last"))
+    before = ends.select(F.col(CHUNK).alias("chunk"), F.lag("last").over(Window.orderBy(CHUNK)).alias("last"))
+    so_far = F.sum("last.n").over(Window.partitionBy("last.key").orderBy("chunk"))
+    carry = before.where(F.col("last").isNotNull()).select("chunk", "last.key", so_far.alias("carry"))
     return (
-        _carry_join(rows, carry, keys)
+        _with_carry(rows, carry, keys)
         .withColumn(out, F.col(out) + F.coalesce(F.col("_carry"), F.lit(0)))
         .drop("_carry")
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.ordering import MAX_GROUP_ROWS, CHUNK, number_rows, split_groups
+from tideline.operators.ordering import CHUNK, number_rows, split_groups
 
-LOADED, EMPTY, REJECTED = "loaded", "empty", "rejected"
+LOADED, EMPTY, REJECTED, INCOMPLETE = "loaded", "empty", "rejected", "incomplete"
 
 
 def empty_keys(keys_df: DataFrame, landed: DataFrame, key: str) -> DataFrame:
@@ -16,53 +16,59 @@ def empty_keys(keys_df: DataFrame, landed: DataFrame, key: str) -> DataFrame:
     return keys_df.select(key).join(landed.select(key).distinct(), key, "left_anti")
 
 
-def run_report(keys_df: DataFrame, landed: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
-    """One row per key: rows landed and whether it was loaded, empty or rejected."""
+def run_report(
+    keys_df: DataFrame, landed: DataFrame, rejected: DataFrame, key: str, incomplete: DataFrame | None = None
+) -> DataFrame:
+    """One row per key: rows landed and whether it was loaded, empty, rejected or incomplete.
+
+    Keys that landed without being asked for are listed like the others.
+    """
     counts = landed.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     turned_down = rejected.select(key).distinct().withColumn("_rejected", F.lit(True))
+    report = keys_df.select(key).distinct().join(counts, key, "full").join(turned_down, key, "full")
+    open_ = F.lit(None).cast("boolean")
+    if incomplete is not None:
+        report = report.join(incomplete.select(key).distinct().withColumn("_incomplete", F.lit(True)), key, "full")
+        open_ = F.col("_incomplete")
     status = (
-        F.when(F.col("_rejected"), REJECTED).when(F.col("rows") > 0, LOADED).otherwise(EMPTY)
-    )
-    return (
-        keys_df.select(key)
-        .join(counts, key, "left")
-        .join(turned_down, key, "left")
-        .select(key, F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"))
+        F.when(F.col("_rejected"), REJECTED).when(open_, INCOMPLETE).when(F.col("rows") > 0, LOADED).otherwise(EMPTY)
     )
+    return report.select(key, F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"))
 
 
 def run_verdict(report: DataFrame) -> DataFrame:
     """One row of totals and the verdict of the run.
 
-    It failed only if keys were rejected and nothing landed at all; a run
-    without new rows is fine.
+    It failed only if keys were rejected or left incomplete and nothing landed at
+    all; a run without new rows is fine.
     """
     totals = report.agg(
         F.count(F.lit(1)).alias("keys"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
         F.count_if(F.col("status") == EMPTY).alias("empty_keys"),
         F.count_if(F.col("status") == REJECTED).alias("rejected_keys"),
+        F.count_if(F.col("status") == INCOMPLETE).alias("incomplete_keys"),
     )
-    nothing, turned_down = F.col("total_rows") == 0, F.col("rejected_keys") > 0
+    nothing = F.col("total_rows") == 0
+    turned_down, open_ = F.col("rejected_keys") > 0, F.col("incomplete_keys") > 0
     verdict = (
-        F.when(nothing & turned_down, "failed")
+        F.when(nothing & (turned_down | open_), "failed")
         .when(turned_down, "loaded with rejected keys")
+        .when(open_, "loaded with incomplete keys")
         .when(nothing, "nothing new")
         .otherwise("loaded")
     )
     return totals.withColumn("verdict", verdict)
 
 
-def key_lists(
-    report: DataFrame, key: str, per_line: int = 100, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def key_lists(report: DataFrame, key: str, per_line: int = 100) -> DataFrame:
     """Empty and rejected keys as joined lists, in key order, ``per_line`` keys a line.
 
     Every key is listed; long lists run over several lines, so no line grows
     with the number of keys.
     """
     listed = report.where(F.col("status") != LOADED).select("status", F.col(key).cast("string").alias("key"))
-    rows = split_groups(listed, ["status"], ["key"], max_group_rows)
+    rows = split_groups(listed, ["status"], ["key"])
     numbered = number_rows(rows, ["status"], ["key"], "n").drop(CHUNK)
     line = F.floor((F.col("n") - 1) / per_line).cast("long").alias("line")
     return numbered.groupBy("status", line).agg(

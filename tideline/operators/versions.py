@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.documents import NO_CHANGE, TOO_FEW, lines_of, unified_diff
 from tideline.operators.latest import latest_per_key, top_n_per_key
-from tideline.operators.ordering import CHUNK, MAX_GROUP_ROWS, number_rows, previous_row, split_groups
+from tideline.operators.ordering import CHUNK, number_rows, previous_row, split_groups
 
 HISTORY_COLUMNS = ["version", "snapshotted_at", "notes", "performance_tag"]
 
@@ -35,19 +35,13 @@ def next_versions(current: DataFrame, history: DataFrame, now: dt.datetime | Non
     )
 
 
-def version_history(
-    loads: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    content: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def version_history(loads: DataFrame, keys: Sequence[str], order_by: Sequence[str], content: str) -> DataFrame:
     """Versions from many loads at once: unchanged loads drop out, the rest count from 1.
 
     Contents are compared by digest, so the previous text is never carried along.
     """
     rows = loads.withColumn("_digest", F.sha2(F.col(content).cast("string"), 256))
-    rows = split_groups(rows, keys, order_by, max_group_rows)
+    rows = split_groups(rows, keys, order_by)
     rows = previous_row(rows, keys, order_by, ["_digest"], "_prev")
     changed = rows.where(
         F.col("_prev").isNull() | ~F.col("_digest").eqNullSafe(F.col("_prev._digest"))
@@ -61,11 +55,10 @@ def version_pairs(
     order_by: Sequence[str],
     content: str = "content",
     version: str = "version",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every version beside the one before it: keys, both version marks, both texts."""
     columns = list(dict.fromkeys([*keys, *order_by, version, content]))
-    rows = split_groups(history.select(*columns), keys, order_by, max_group_rows)
+    rows = split_groups(history.select(*columns), keys, order_by)
     paired = previous_row(rows, keys, order_by, [version, content], "_older")
     return paired.where(F.col("_older").isNotNull()).select(
         *keys,

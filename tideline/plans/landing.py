@@ -15,7 +15,7 @@ from tideline.operators.report import run_report, run_verdict
 from tideline.plans.models import RAW_OBSERVATIONS, RAW_WEATHER
 from tideline.session import materialise
 from tideline.sources.dimensions import locations, series_catalog
-from tideline.sources.payloads import decode_observations, decode_weather
+from tideline.sources.payloads import assembled, decode_weather
 from tideline.sources.tables import append_rows, layer_table_name
 
 ECONOMIC, WEATHER = "economic", "weather"
@@ -32,20 +32,29 @@ class RawTable:
     name: str
     schema: T.StructType
     key: str
-    decode: Callable[[DataFrame], DataFrame]
+    decode: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
     keys: Callable[[SparkSession], DataFrame]
 
 
+def _complete_series(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the page sets that are complete, and the series of those that are not."""
+    sets, rows = assembled(pages, "series_id")
+    return rows.drop("at"), sets.where(~F.col("complete")).select("series_id")
+
+
+def _whole_pages(pages: DataFrame) -> tuple[DataFrame, None]:
+    """A weather page is a whole answer."""
+    return decode_weather(pages), None
+
+
 RAW_TABLES = {
-    ECONOMIC: RawTable(
-        "economic_observations", RAW_OBSERVATIONS, "series_id", decode_observations, series_catalog
-    ),
-    WEATHER: RawTable("daily_weather", RAW_WEATHER, "location_id", decode_weather, locations),
+    ECONOMIC: RawTable("economic_observations", RAW_OBSERVATIONS, "series_id", _complete_series, series_catalog),
+    WEATHER: RawTable("daily_weather", RAW_WEATHER, "location_id", _whole_pages, locations),
 }
 
 
 class NothingLanded(RuntimeError):
-    """Keys were turned down and not one row came in."""
+    """Keys were turned down or left incomplete, and not one row came in."""
 
 
 def request_plan(
@@ -75,19 +84,34 @@ def land_pages(
     pages: DataFrame,
     rejected: DataFrame | None = None,
     prefix: str = "",
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Decode captured pages, append them to the raw table, and report on every key.
 
-    ``rejected`` holds the keys the source turned down.  They do not stop the
-    others; only a run in which nothing landed at all is an error.
+    ``rejected`` holds the keys the source turned down.  Neither they nor page sets
+    with a gap stop the others: a series lands whole or not at all, so its watermark
+    never passes rows that are missing.  A run in which nothing landed for such
+    reasons is an error, found before anything is appended.  ``batch_rows`` bounds
+    the rows of a file.
     """
     raw = RAW_TABLES[source]
+    rows, incomplete = raw.decode(pages)
     # Decoded once; the counts then read nothing but the key column.
-    landed = materialise(raw.decode(pages).select(*raw.schema.fieldNames()), "landed")
-    append_rows(landed, layer_table_name("raw", raw.name, prefix), raw.schema, cluster=[raw.key])
+    landed = materialise(rows.select(*raw.schema.fieldNames()), "landed")
     keys = raw.keys(spark).select(raw.key)
-    report = run_report(keys, landed, keys.limit(0) if rejected is None else rejected, raw.key)
+    report = run_report(keys, landed, keys.limit(0) if rejected is None else rejected, raw.key, incomplete)
+    report = materialise(report, "report")
     totals = run_verdict(report).where(F.col("verdict") == "failed").collect()
     if totals:
-        raise NothingLanded(f"no rows landed and {totals[0]['rejected_keys']} keys were rejected")
+        total = totals[0]
+        raise NothingLanded(
+            f"no rows landed, {total['rejected_keys']} keys were rejected and {total['incomplete_keys']} incomplete"
+        )
+    append_rows(
+        landed,
+        layer_table_name("raw", raw.name, prefix),
+        raw.schema,
+        cluster=[raw.key],
+        max_records_per_file=batch_rows,
+    )
     return report

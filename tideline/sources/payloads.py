@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import required, sentinel_to_null
+from tideline.session import materialise
 from tideline.sources.dimensions import locations
 
 # The mark for a missing value, and the most observations in a page.
@@ -64,26 +65,67 @@ def decode_parallel_arrays(
 
 
 def decode_weather(pages: DataFrame) -> DataFrame:
-    """Weather rows of pages keyed by ``location_id``, with what is known of the location."""
+    """Weather rows of pages keyed by ``location_id``, with what is known of the location.
+
+    A page of a location that is not known stops the job.
+    """
     # The dimension is 20 rows kept in code, so it can go to every task.
     places = locations(pages.sparkSession).withColumnRenamed("name", "location_name")
-    return decode_parallel_arrays(pages.join(F.broadcast(places), "location_id"))
+    located = pages.join(F.broadcast(places), "location_id", "left")
+    name = required(F.col("location_name"), "location_name", "string")
+    return decode_parallel_arrays(located.withColumn("location_name", name))
 
 
 def assemble_pages(pages: DataFrame, key: Sequence[str] | str, page_limit: int = PAGE_LIMIT) -> DataFrame:
     """Per page set: pages, rows, and whether the set is complete.
 
     A set is complete when its offsets run 0, limit, 2 x limit ... without a
-    gap, every page before the last is full, and the last one is short.  A page
-    captured twice counts once.
+    gap, every page before the last is full, and the last one is short.  Of a page
+    captured twice the later capture counts, of equal times the larger payload in order.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    return _sets(_captured(pages, key).drop("observations"), key, page_limit)
+
+
+def assembled(
+    pages: DataFrame, key: Sequence[str] | str, page_limit: int = PAGE_LIMIT, sentinel: str = MISSING_VALUE
+) -> tuple[DataFrame, DataFrame]:
+    """The sets as ``assemble_pages`` gives them, and the rows of the complete ones from the same parse.
+
+    Rows have the key, ``at`` (their place in the set from 0), date, value and extracted_at.
     """
     key = [key] if isinstance(key, str) else list(key)
-    observations = F.from_json("payload", "observations ARRAY<STRING>", _STRICT)["observations"]
-    size = F.coalesce(F.array_size(observations), F.lit(0))
-    # Grouped by page first, so a key with very many pages is not counted in one task.
-    by_page = pages.groupBy(*key, "page_offset").agg(F.max(size.cast("long")).alias("size"))
+    captured = materialise(_captured(pages, key), "pages")
+    sets = _sets(captured.drop("observations"), key, page_limit)
+    items = captured.select(*key, "page_offset", "extracted_at", F.posexplode("observations").alias("_pos", "_item"))
+    rows = items.join(sets.where("complete").select(*key), key, "left_semi").select(
+        *key,
+        (F.col("page_offset") + F.col("_pos")).alias("at"),
+        required(F.col("_item.date").cast("date"), "date", "date").alias("date"),
+        sentinel_to_null("_item.value", sentinel).alias("value"),
+        "extracted_at",
+    )
+    return sets, rows
+
+
+def _captured(pages: DataFrame, key: list[str]) -> DataFrame:
+    """The capture of each page that counts, parsed, with its number of observations."""
+    # Grouped by page, so a key with very many pages is not gathered in one task.
+    last = pages.groupBy(*key, "page_offset").agg(
+        F.max(F.struct("extracted_at", "payload")).alias("_last")
+    )
+    parsed = F.from_json("_last.payload", "observations ARRAY<STRUCT<date: STRING, value: STRING>>", _STRICT)
+    return last.select(
+        *key,
+        F.col("page_offset").cast("long").alias("page_offset"),
+        F.col("_last.extracted_at").alias("extracted_at"),
+        F.coalesce(parsed["observations"], F.array()).alias("observations"),
+    ).withColumn("size", F.array_size("observations").cast("long"))
+
+
+def _sets(captured: DataFrame, key: list[str], page_limit: int) -> DataFrame:
     full = F.col("size") >= page_limit
-    sets = by_page.groupBy(*key).agg(
+    sets = captured.groupBy(*key).agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("size").alias("rows"),
         F.max("page_offset").alias("_last"),

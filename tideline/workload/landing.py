@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.sources.payloads import (
     DAILY_VARIABLES,
     assemble_pages,
+    assembled,
     decode_observations,
     decode_parallel_arrays,
     decode_weather,
@@ -89,23 +90,45 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_weather(rows.select("location_id", payload, "extracted_at"))
 
 
-@query(
-    "assemble_pages",
-    "WITH by_page AS (SELECT l_orderkey AS series_id, (l_linenumber - 1) * 3 AS page_offset, "
-    "max(CASE WHEN l_linenumber < 3 THEN 3 ELSE CAST(l_quantity AS BIGINT) % 4 END) AS size "
-    "FROM lineitem GROUP BY 1, 2), last_page AS (SELECT series_id, max(page_offset) AS last FROM by_page GROUP BY 1) "
-    "SELECT series_id, count(*) AS pages, CAST(sum(size) AS BIGINT) AS rows, "
+_PAGES = (
+    "captures AS (SELECT l_orderkey AS series_id, (l_linenumber - 1) * 3 AS page_offset, l_shipdate AS extracted_at, "
+    "CASE WHEN l_linenumber < 3 THEN 3 ELSE CAST(l_quantity AS BIGINT) % 4 END AS size, l_suppkey FROM lineitem), "
+    "pages AS (" + inputs.ranked_first("captures", "series_id, page_offset", "extracted_at DESC, size DESC, l_suppkey DESC")
+    + "), last_page AS (SELECT series_id, max(page_offset) AS last FROM pages GROUP BY 1), "
+    "sets AS (SELECT series_id, count(*) AS pages, CAST(sum(size) AS BIGINT) AS rows, "
     "last = (count(*) - 1) * 3 AND count(*) FILTER (size < 3) = 1 "
     "AND bool_or(page_offset = last AND size < 3) AS complete "
-    "FROM by_page JOIN last_page USING (series_id) GROUP BY series_id, last",
+    "FROM pages JOIN last_page USING (series_id) GROUP BY series_id, last)"
 )
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of an order as its pages of at most three observations."""
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as captures of its pages of at most three observations, some of a page more than once.
+
+    The payload begins with its size and supplier in fixed width, so that captures of one time are
+    ordered alike here and in SQL.
+    """
     size = F.when(F.col("l_linenumber") < 3, 3).otherwise(F.pmod(F.col("l_quantity").cast("int"), F.lit(4)))
-    item = F.struct(F.lit("2024-01-01").alias("date"), F.col("l_extendedprice").cast("string").alias("value"))
-    captured = read(spark, sf_dir, "lineitem").select(
+    item = F.struct(F.lit("2024-01-01").alias("date"), F.col("l_suppkey").cast("string").alias("value"))
+    mark = F.concat(size.cast("string"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
+    return read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("series_id"),
         ((F.col("l_linenumber") - 1) * 3).alias("page_offset"),
-        F.to_json(F.struct(F.array_repeat(item, size).alias("observations"))).alias("payload"),
+        F.to_json(F.struct(mark.alias("mark"), F.array_repeat(item, size).alias("observations"))).alias("payload"),
+        F.col("l_shipdate").alias("extracted_at"),
     )
-    return assemble_pages(captured, "series_id", page_limit=3)
+
+
+@query("assemble_pages", f"WITH {_PAGES} SELECT * FROM sets")
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble_pages(_captures(spark, sf_dir), "series_id", page_limit=3)
+
+
+@query(
+    "assembled_rows",
+    f"WITH {_PAGES} SELECT series_id, page_offset + i AS at, DATE '2024-01-01' AS date, "
+    "CAST(l_suppkey AS DOUBLE) AS value, extracted_at "
+    "FROM pages JOIN sets USING (series_id), range(3) AS r(i) WHERE i < size AND complete",
+)
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assembled(_captures(spark, sf_dir), "series_id", page_limit=3)[1]

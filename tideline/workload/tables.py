@@ -204,8 +204,8 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "run_verdict",
     _RUN + ", totals AS (SELECT count(*) AS keys, CAST(sum(rows) AS BIGINT) AS total_rows, "
-    "count(*) FILTER (status = 'empty') AS empty_keys, count(*) FILTER (status = 'rejected') AS rejected_keys "
-    "FROM report) SELECT *, CASE WHEN total_rows = 0 AND rejected_keys > 0 THEN 'failed' WHEN rejected_keys > 0 "
+    "count(*) FILTER (status = 'empty') AS empty_keys, count(*) FILTER (status = 'rejected') AS rejected_keys, "
+    "count(*) FILTER (status = 'incomplete') AS incomplete_keys FROM report) SELECT *, CASE WHEN total_rows = 0 AND rejected_keys > 0 THEN 'failed' WHEN rejected_keys > 0 "
     "THEN 'loaded with rejected keys' WHEN total_rows = 0 THEN 'nothing new' ELSE 'loaded' END AS verdict "
     "FROM totals",
 )
