@@ -29,26 +29,3 @@ def test_entry_gives_rows(spark):
 
 def test_every_sql_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-
-
-def test_unified_diff_query_against_difflib(spark):
-    import difflib
-
-    import pyarrow.parquet as pq
-
-    by_name: dict[str, list[tuple[int, str]]] = {}
-    for row in pq.read_table(f"{SF_DIR}/conversations.parquet").to_pylist():
-        by_name.setdefault(f"{row['conv_id']}/{row['role']}", []).append((row["turn"], row["text"]))
-    expected = {}
-    for name, turns in by_name.items():
-        turns.sort()
-        if len(turns) < 2:
-            expected[name] = f"(fewer than 2 snapshots exist for '{name}' — nothing to diff)"
-            continue
-        (a, old), (b, new) = turns[-2:]
-        labels = [f"v{t + 1} (2024-01-{t + 1:02d} 00:00:00+00:00)" for t in (a, b)]
-        expected[name] = "".join(
-            difflib.unified_diff(old.splitlines(keepends=True), new.splitlines(keepends=True), *labels, n=5)
-        )
-    rows = contract.queries()["unified_diff"](spark, SF_DIR).collect()
-    assert {r["name"]: r["diff"] for r in rows} == expected

@@ -15,32 +15,50 @@ from tideline.operators.ordering import CHUNK, number_rows, previous_row, split_
 HISTORY_COLUMNS = ["version", "snapshotted_at", "notes", "performance_tag"]
 
 
-def next_versions(current: DataFrame, history: DataFrame, now: dt.datetime | None = None) -> DataFrame:
-    """The current documents whose content differs from their latest version.
+def next_versions(
+    current: DataFrame,
+    history: DataFrame,
+    now: dt.datetime | None = None,
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """The loads whose content differs from the one before, numbered on from the recorded versions.
 
-    ``current`` has one row per ``name``.  Each row kept gets the next version
-    number and its time, so a second run over the same documents gives none.
+    ``current`` has the loads of each ``name`` in the order ``order_by``; with one load
+    for each name no order is needed.  The first load is compared with the name's
+    latest recorded version, so a second run over the same loads gives none.  Contents
+    are compared by digest, and only digests are ranked and carried along.
     """
-    last = latest_per_key(history, ["name"], "snapshotted_at", ["version"]).select(
-        "name", F.col("version").alias("_version"), F.col("content").alias("_content")
-    )
-    known = F.col("_version").isNotNull()
+    last = latest_per_key(
+        history.select("name", "snapshotted_at", "version", _digest("content").alias("_recorded")),
+        ["name"],
+        "snapshotted_at",
+        ["version"],
+    ).select("name", F.col("version").alias("_version"), "_recorded")
     at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    order = list(order_by) or ["_digest"]
+    loads = split_groups(current.withColumn("_digest", _digest("content")), ["name"], order)
+    loads = previous_row(loads, ["name"], order, ["_digest"], "_prev").join(last, "name", "left")
+    before = F.when(F.col("_prev").isNotNull(), F.col("_prev._digest")).otherwise(F.col("_recorded"))
+    known = F.col("_prev").isNotNull() | F.col("_version").isNotNull()
+    changed = loads.where(~(known & F.col("_digest").eqNullSafe(before)))
     return (
-        current.join(last, "name", "left")
-        .where(~(known & F.col("content").eqNullSafe(F.col("_content"))))
-        .withColumn("version", F.coalesce(F.col("_version"), F.lit(0)).cast("long") + 1)
+        number_rows(changed, ["name"], order, "_step")
+        .withColumn("version", F.coalesce(F.col("_version"), F.lit(0)).cast("long") + F.col("_step"))
         .withColumn("snapshotted_at", at)
-        .drop("_version", "_content")
+        .drop("_version", "_recorded", "_digest", "_prev", "_step", CHUNK)
     )
 
 
+def _digest(content: str) -> Column:
+    return F.sha2(F.col(content).cast("string"), 256)
+
+
 def version_history(loads: DataFrame, keys: Sequence[str], order_by: Sequence[str], content: str) -> DataFrame:
     """Versions from many loads at once: unchanged loads drop out, the rest count from 1.
 
     Contents are compared by digest, so the previous text is never carried along.
     """
-    rows = loads.withColumn("_digest", F.sha2(F.col(content).cast("string"), 256))
+    rows = loads.withColumn("_digest", _digest(content))
     rows = split_groups(rows, keys, order_by)
     rows = previous_row(rows, keys, order_by, ["_digest"], "_prev")
     changed = rows.where(

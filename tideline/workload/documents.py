@@ -17,7 +17,6 @@ from tideline.functions.patterns import BREAKS, INLINE, LINE, ONE_BREAK, SPACE
 from tideline.functions.scalars import blank_to_null, normalise_text, short_message
 from tideline.operators.latest import latest_per_key, top_n_per_key
 from tideline.operators.versions import (
-    diff_last_two,
     history_of,
     line_changes,
     next_versions,
@@ -28,13 +27,15 @@ from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
 
-@query(
-    "version_history",
+_VERSIONS = (
     f"WITH {inputs.LOADS}, marked AS (SELECT *, lag(parity) OVER w AS before, row_number() OVER w AS rn "
     "FROM loads WINDOW w AS (PARTITION BY name ORDER BY turn)) "
     "SELECT name, turn, parity, row_number() OVER (PARTITION BY name ORDER BY turn) AS version "
-    "FROM marked WHERE rn = 1 OR parity IS DISTINCT FROM before",
+    "FROM marked WHERE rn = 1 OR parity IS DISTINCT FROM before"
 )
+
+
+@query("version_history", _VERSIONS)
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads whose content is a parity, so about half of them change nothing."""
     loads = inputs.loads(spark, sf_dir).select("name", "turn", "parity")
@@ -70,25 +71,10 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_changes(_pairs(spark, sf_dir), ["name", "newer_version"])
 
 
-@query("unified_diff")
-def diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return diff_last_two(_snapshots(spark, sf_dir))
-
-
-def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn as a recorded version, a day apart."""
-    start = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
-    return inputs.loads(spark, sf_dir).select(
-        "name",
-        F.col("text").alias("content"),
-        (F.col("turn") + 1).alias("version"),
-        (start + F.make_dt_interval(days=F.col("turn").cast("int"))).alias("snapshotted_at"),
-    )
-
-
 @query(
     "changed_content",
-    f"WITH {inputs.LOADS}, history AS (SELECT name, turn + 1 AS version, parity FROM loads WHERE turn < 4), "
+    f"WITH {inputs.LOADS}, ends AS (SELECT name AS n, max(turn) AS last FROM loads GROUP BY 1), history AS "
+    "(SELECT name, turn + 1 AS version, parity FROM loads JOIN ends ON name = n WHERE turn < last), "
     "last AS (" + inputs.ranked_first("history", "name", "version DESC") + "), "
     "current AS (" + inputs.ranked_first("loads", "name", "turn DESC") + ") "
     "SELECT current.name, current.parity AS content, coalesce(last.version, 0) + 1 AS version FROM current "
@@ -96,17 +82,32 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     "OR current.parity IS DISTINCT FROM last.parity",
 )
 def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recorded versions end before turn 4; the last turn of each name is its current content."""
-    loads = inputs.loads(spark, sf_dir)
+    """The last turn of each name is its current content, all turns before it are recorded versions."""
+    loads = _parities(spark, sf_dir)
+    current = latest_per_key(loads, ["name"], "turn")
+    recorded = loads.join(current.select("name", "turn"), ["name", "turn"], "left_anti")
+    return next_versions(current.select("name", "content"), recorded).select("name", "content", "version")
+
+
+def _parities(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
-    recorded = loads.where(F.col("turn") < 4).select(
+    return inputs.loads(spark, sf_dir).select(
         "name",
+        "turn",
         F.col("parity").alias("content"),
         (F.col("turn") + 1).alias("version"),
         (start + F.make_dt_interval(days=F.col("turn").cast("int"))).alias("snapshotted_at"),
     )
-    current = latest_per_key(loads, ["name"], "turn").select("name", F.col("parity").alias("content"))
-    return next_versions(current, recorded).select("name", "content", "version")
+
+
+@query("continued_versions", _VERSIONS)
+def continued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three turns are recorded, the others come in at once and are numbered on from there."""
+    loads = _parities(spark, sf_dir).drop("version")
+    recorded = version_history(loads.where(F.col("turn") < 3), ["name"], ["turn"], "content")
+    later = next_versions(loads.where(F.col("turn") >= 3).drop("snapshotted_at"), recorded, order_by=["turn"])
+    both = recorded.drop("snapshotted_at").unionByName(later.drop("snapshotted_at"))
+    return both.withColumnRenamed("content", "parity")
 
 
 @query(
@@ -219,19 +220,27 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "normalise_text",
     f"SELECT doc_id, trim(regexp_replace(text, '[{SPACE}]+', ' ', 'g'), ' ') AS normalised, "
-    f"substring(regexp_replace(text, '\\A[{SPACE}]+|[{SPACE}]+\\z', '', 'g'), 1, 200) AS message, "
     "nullif(CASE WHEN lang = 'en' THEN '' ELSE source END, '') AS source FROM documents",
 )
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     blanked = F.when(F.col("lang") == "en", "").otherwise(F.col("source"))
     return read(spark, sf_dir, "documents").select(
-        "doc_id",
-        normalise_text("text").alias("normalised"),
-        short_message("text").alias("message"),
-        blank_to_null(blanked).alias("source"),
+        "doc_id", normalise_text("text").alias("normalised"), blank_to_null(blanked).alias("source")
     )
 
 
+@query(
+    "error_messages",
+    "SELECT event_id, substring(trim('  could not read ' || repeat(props || ' ', CAST(event_id % 40 AS INTEGER)), ' '), 1, 200) "
+    "AS message FROM events",
+)
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of failed requests are reported up to 200 characters."""
+    repeated = F.repeat(F.concat("props", F.lit(" ")), F.pmod("event_id", F.lit(40)).cast("int"))
+    message = F.concat(F.lit("  could not read "), repeated)
+    return read(spark, sf_dir, "events").select("event_id", short_message(message).alias("message"))
+
+
 _PATH = (
     "CASE doc_id % 6 WHEN 0 THEN '.claude/agents/' || source || '.md' WHEN 1 THEN '.claude/skills/' || source || "
     "'/SKILL.md' WHEN 2 THEN '.claude/skills/a/' || source || '/SKILL.md' WHEN 3 THEN '.claude/agents/' || source "

@@ -17,6 +17,16 @@ from tideline.workload.catalogue import read
 SERIES_IDS = [*NATIONAL_SERIES] + [t % f for t in (HOUSE_PRICE_ID, WEEKLY_WAGE_ID) for f in STATE_FIPS]
 
 
+# Orders of every third customer go to the next one, so that some customers have none.
+
+def other_customer() -> Column:
+    key = F.col("o_custkey")
+    return F.when(F.pmod(key, F.lit(3)) == 0, key + 1).otherwise(key)
+
+
+OTHER_CUSTOMER = "(CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END)"
+
+
 # Events as observations: one series per user and event type, revised within the day.
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

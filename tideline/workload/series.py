@@ -141,11 +141,11 @@ def regex_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Two series per user, named like the state series, with the user id inside the name.
+# Two series per user, named like the state series, with the user id inside the name: what went well, and the rest.
 _SERIES_SQL = (
-    f"WITH {inputs.OBSERVATIONS}, named AS (SELECT CASE event_type WHEN 'purchase' THEN 'PUR' || user_id || '000A' "
-    "WHEN 'error' THEN 'ERR' || user_id || '10SA' END AS series_id, date, max(value) AS value FROM obs "
-    "WHERE event_type IN ('purchase', 'error') GROUP BY ALL), "
+    f"WITH {inputs.OBSERVATIONS}, named AS (SELECT CASE WHEN event_type IN ('purchase', 'signup') "
+    "THEN 'PUR' || user_id || '000A' ELSE 'ERR' || user_id || '10SA' END AS series_id, date, max(value) AS value "
+    "FROM obs GROUP BY ALL), "
     "p AS (SELECT date, value AS purchases, regexp_extract(series_id, '^PUR([0-9]+)000A$', 1) AS user_key "
     "FROM named WHERE regexp_matches(series_id, '^PUR[0-9]+000A$') AND value IS NOT NULL), "
     "e AS (SELECT date, value AS errors, regexp_extract(series_id, '^ERR([0-9]+)10SA$', 1) AS user_key "
@@ -160,10 +160,10 @@ PURCHASE_SERIES, ERROR_SERIES = r"\APUR(\d+)000A\z", r"\AERR(\d+)10SA\z"
 
 def named_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.col("user_id").cast("string")
-    name = F.when(F.col("event_type") == "purchase", F.concat(F.lit("PUR"), user, F.lit("000A"))).when(
-        F.col("event_type") == "error", F.concat(F.lit("ERR"), user, F.lit("10SA"))
-    )
-    obs = inputs.observations(spark, sf_dir).where(F.col("event_type").isin("purchase", "error"))
+    name = F.when(
+        F.col("event_type").isin("purchase", "signup"), F.concat(F.lit("PUR"), user, F.lit("000A"))
+    ).otherwise(F.concat(F.lit("ERR"), user, F.lit("10SA")))
+    obs = inputs.observations(spark, sf_dir)
     return obs.groupBy(name.alias("series_id"), "date").agg(F.max("value").alias("value"))
 
 
@@ -219,18 +219,18 @@ def order_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermarks(orders, "o_custkey", "date")
 
 
-# Orders landed before the last weeks of the table, so some customers have no watermark past the end date.
+# Orders go to customers 1, 2, 4, 5, ..., so that every third customer has no watermark.
 @query(
     "request_plan",
-    "WITH wm AS (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS max_date FROM orders "
-    "WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey), plan AS (SELECT c_custkey, "
+    f"WITH wm AS (SELECT {inputs.OTHER_CUSTOMER} AS o_custkey, max(CAST(o_orderdate AS DATE)) AS max_date FROM orders "
+    "GROUP BY 1), plan AS (SELECT c_custkey, "
     "coalesce(max_date - 3, DATE '1995-01-01') AS start_date, DATE '2001-03-01' AS end_date "
     "FROM customer LEFT JOIN wm ON c_custkey = o_custkey) SELECT * FROM plan WHERE start_date <= end_date",
 )
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = read(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    orders = read(spark, sf_dir, "orders")
     marks = watermarks(
-        urgent.select(F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")),
+        orders.select(inputs.other_customer().alias("c_custkey"), F.to_date("o_orderdate").alias("date")),
         "c_custkey",
         "date",
     )

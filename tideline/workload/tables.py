@@ -75,11 +75,17 @@ def _fact_table(spark: SparkSession) -> str:
     return name
 
 
-@query("merge_first_run", f"WITH {_FIRST} SELECT * FROM tgt")
+@query(
+    "merge_first_run",
+    f"WITH {inputs.OBSERVATIONS} SELECT user_id, event_type, date, value FROM ("
+    + inputs.ranked_first("obs", "user_id, event_type, date", "extracted_at DESC, event_id DESC")
+    + ")",
+)
 def merge_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An empty table takes the whole source."""
     table = _fact_table(spark)
-    tail = incremental_tail(_first_load(spark, sf_dir), spark.table(table), days=7)
+    source = latest_per_key(inputs.observations(spark, sf_dir), KEYS, "extracted_at", ["event_id"])
+    tail = incremental_tail(source.select(*FACT.fieldNames()), spark.table(table), days=7)
     merge_upsert(spark, table, tail, KEYS, cluster=["user_id"])
     return spark.table(table).select(*FACT.fieldNames())
 
@@ -178,21 +184,21 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# A run over all customers: orders since June 2001 landed, customers in debt were turned down.
+# A run over all customers: all orders landed, customers in debt were turned down.
 _RUN = (
-    "WITH landed AS (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '2001-06-01' AND NOT EXISTS "
+    f"WITH landed AS (SELECT o_custkey FROM (SELECT {inputs.OTHER_CUSTOMER} AS o_custkey FROM orders) WHERE NOT EXISTS "
     "(SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal < 0)), "
     "counts AS (SELECT o_custkey, count(*) AS n FROM landed GROUP BY 1), "
-    "report AS (SELECT c_custkey, coalesce(n, 0) AS rows, CASE WHEN c_acctbal < 0 THEN 'rejected' "
-    "WHEN n > 0 THEN 'loaded' ELSE 'empty' END AS status FROM customer LEFT JOIN counts ON c_custkey = o_custkey) "
+    "report AS (SELECT coalesce(c_custkey, o_custkey) AS c_custkey, coalesce(n, 0) AS rows, "
+    "CASE WHEN c_acctbal < 0 THEN 'rejected' WHEN n > 0 THEN 'loaded' ELSE 'empty' END AS status "
+    "FROM customer FULL JOIN counts ON c_custkey = o_custkey) "
 )
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     rejected = customers.where(F.col("c_acctbal") < 0).select("c_custkey")
-    since = F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz")
-    orders = read(spark, sf_dir, "orders").where(since).select(F.col("o_custkey").alias("c_custkey"))
+    orders = read(spark, sf_dir, "orders").select(inputs.other_customer().alias("c_custkey"))
     return customers.select("c_custkey"), orders.join(rejected, "c_custkey", "left_anti"), rejected
 
 
