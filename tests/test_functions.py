@@ -167,6 +167,8 @@ def test_front_matter_fields(spark):
         "- a\n- list\n",
         "",
         "description:\ntools: []\n",
+        "name: 'q'  # why\ndescription: 0\nother: x\ntools: [a, \"b\", ]\nskills:\n- one # first\n- 'two'\nlast: 1",
+        "name: a: b\ndescription: first\n  second\n\n  third\ntools: 2024-13-45\n",
     ]
     nothing = (None, None, [], [])
     assert [tuple(f) for f in many(spark, front_matter_fields("c"), headers)] == [
@@ -175,12 +177,14 @@ def test_front_matter_fields(spark):
         nothing,
         nothing,
         nothing,
+        ("q", "0", ["a", "b"], ["one", "two"]),
+        ("a: b", "first second third", ["2024-13-45"], []),
     ]
 
 
 def test_expressions_stay_in_the_jvm(spark):
     df = spark.createDataFrame([("x",)], "c string").select(
-        front_matter_parts("c"), document_sections("c"), normalise_text("c"), classify_path("c"), F.col("c")
+        front_matter_parts("c"), front_matter_fields("c"), document_sections("c"), normalise_text("c"), classify_path("c"), F.col("c")
     )
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan

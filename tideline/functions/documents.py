@@ -1,13 +1,12 @@
 """Column functions on whole definition documents, one document per row.
 
-A document never leaves its row, so splitting needs no shuffle.  Only the YAML
-header and the unified diff text use Python, in Arrow batches.
+A document never leaves its row, so splitting needs no shuffle.  Only the unified
+diff text uses Python, in Arrow batches.
 """
 
 from __future__ import annotations
 
 import difflib
-import json
 
 import pandas as pd
 from pyspark.sql import Column
@@ -108,16 +107,24 @@ def lines_of(content: Column | str) -> Column:
 
 
 def front_matter_fields(front_matter: Column | str) -> Column:
-    """``struct(name, description, tools, skills)`` of a YAML header.
+    """``struct(name, description, tools, skills)`` of a header of ``key: value`` lines.
 
-    Text that is no YAML, or no mapping, gives empty fields.  Only the header
-    text is sent to Python; the fields are taken apart in Spark.
+    A value is plain or quoted text, text on indented lines, or a list in brackets or on
+    dashed lines; one text counts as a list of one.  Keys that are missing, empty or
+    not closed give empty fields.  Nested mappings, anchors and tags are not read.
     """
-    fields = F.from_json(_yaml_to_json(_col(front_matter)), "MAP<STRING, ARRAY<STRING>>")
-    nothing = F.array().cast("array<string>")
+    header = F.regexp_replace(_col(front_matter), r"\r\n?", "\n")
 
     def values(field: str) -> Column:
-        return F.coalesce(F.try_element_at(fields, F.lit(field)), nothing)
+        line = rf"(?m)^{field}:(?:[ \t]+([^\n]*?))?[ \t]*$"
+        below = rf"(?m)^{field}:[^\n]*\n((?:[ \t]+[^\n]*(?:\n|\z)|-(?:[ \t][^\n]*)?(?:\n|\z)|\n)*)"
+        return _once(
+            F.struct(
+                F.regexp_replace(F.regexp_extract(header, line, 1), r"(?:^|[ \t]+)#.*$", "").alias("inline"),
+                F.regexp_extract(header, below, 1).alias("below"),
+            ),
+            lambda found: _listed(found["inline"], found["below"]),
+        )
 
     return F.struct(
         F.get(values("name"), F.lit(0)).alias("name"),
@@ -127,27 +134,25 @@ def front_matter_fields(front_matter: Column | str) -> Column:
     )
 
 
-@F.pandas_udf(T.StringType())
-def _yaml_to_json(headers: pd.Series) -> pd.Series:
-    """Each YAML mapping as JSON, every value a list of strings."""
-    try:
-        import yaml
-    except ImportError as missing:  # pragma: no cover
-        raise RuntimeError("reading definition headers needs PyYAML on the executors") from missing
-
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-
-    def to_json(header: str | None) -> str:
-        try:
-            mapping = yaml.load(header or "", Loader=loader)
-        except yaml.YAMLError:
-            mapping = None
-        pairs = mapping.items() if isinstance(mapping, dict) else ()
-        return json.dumps(
-            {str(k): [str(x) for x in (v if isinstance(v, list) else [v])] for k, v in pairs if v}
-        )
+def _listed(inline: Column, below: Column) -> Column:
+    bracketed = F.transform(F.split(F.substr(inline, F.lit(2), F.length(inline) - 2), ","), lambda x: _unquoted(strip_text(x)))
+    dashed = F.transform(
+        F.regexp_extract_all(below, F.lit(r"(?m)^[ \t]*-[ \t]+([^\n]*)$"), F.lit(1)),
+        lambda x: _unquoted(strip_text(F.regexp_replace(x, r"(?:^|[ \t]+)#.*$", ""))),
+    )
+    text = F.when(inline.rlike(r"^[>|][+-]?$"), "").otherwise(inline)
+    folded = F.array(_unquoted(strip_text(F.concat_ws("\n", text, below))))
+    found = (
+        F.when(inline.rlike(r"^\[.*\]$"), bracketed)
+        .when(inline.startswith("[") | inline.startswith("{"), F.array().cast("array<string>"))
+        .when((inline == "") & (F.size(dashed) > 0), dashed)
+        .otherwise(folded)
+    )
+    return F.filter(found, lambda x: (x != "") & ~x.isin("~", "null"))
+
 
-    return headers.map(to_json)
+def _unquoted(text: Column) -> Column:
+    return F.when(text.rlike(r"(?s)^(?:'.*'|\".*\")$"), F.substr(text, F.lit(2), F.length(text) - 2)).otherwise(text)
 
 
 def unified_diff(
