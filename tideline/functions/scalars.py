@@ -25,10 +25,11 @@ def safe_divide(a: Column | str, b: Column | str) -> Column:
 def sentinel_to_null(c: Column | str, sentinel: str = ".") -> Column:
     """Text to double, with the missing-value mark as NULL.
 
-    Any other text that is no number raises under ANSI; it never becomes NULL.
+    Any other text that is no number raises, whatever the session's settings; it never becomes NULL.
     """
     c = _col(c)
-    return F.when(c != sentinel, c).cast("double")
+    wrong = F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT: no number: "), c)).cast("double")
+    return F.when(c != sentinel, F.coalesce(c.try_cast("double"), wrong))
 
 
 def regex_extract_null(c: Column | str, pattern: str, group: int = 1) -> Column:
@@ -70,6 +71,11 @@ def required(c: Column | str, name: str, data_type: str) -> Column:
     return F.coalesce(_col(c), missing.cast(data_type))
 
 
+def utc(at: Column) -> Column:
+    """An instant's wall time in UTC, whatever the session's time zone."""
+    return F.to_utc_timestamp(at, F.current_timezone())
+
+
 def days_before(c: Column | str, days: int) -> Column:
     return F.date_sub(_col(c), days)
 

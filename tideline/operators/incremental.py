@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions.scalars import days_before, years_before
+from tideline.functions.scalars import days_before, required, utc, years_before
 from tideline.operators.checks import check_unique
-from tideline.session import materialise
-from tideline.sources.tables import PERIOD_COLUMNS, insert_rows, partition_column, table_periods
+from tideline.session import discard, materialise
+from tideline.sources.tables import PERIOD_COLUMNS, partition_column, replace_periods
 
 # Earlier than any date kept, so it lets every row through.
 BEGINNING = "0001-01-01"
@@ -53,8 +53,8 @@ def plan_requests(
 
 def lagged_end(days: int, now: dt.datetime | None = None) -> Column:
     """Today in UTC less the days the archive lags behind."""
-    today = F.current_date() if now is None else F.to_date(F.lit(now))
-    return days_before(today, days)
+    at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    return days_before(F.to_date(utc(at)), days)
 
 
 def newest_date(df: DataFrame, date_col: str) -> DataFrame:
@@ -141,8 +141,10 @@ def merge_upsert(
     ``date_col`` is one of the keys, so a key never moves to another period and
     only the periods found in the source are read and rewritten.
 
-    Every period is swapped as a whole when the job commits.  Two writers must
-    not merge into one table at a time.
+    New periods are written beside the old ones, then the catalogue is pointed at
+    them one after the other, and the old files go last: a reader sees each period
+    whole, old or new, and a write that fails leaves the table as it was.  Two writers
+    must not merge into one table at a time.
     """
     if date_col not in keys:
         raise ValueError("the partitioning date must be one of the keys")
@@ -150,21 +152,19 @@ def merge_upsert(
     period_col = partition_column(target)
     period = PERIOD_COLUMNS[period_col]
     columns = [c for c in target.columns if c != period_col]
-    staged = source.select(*columns).withColumn(period_col, F.trunc(F.col(date_col), period))
-
-    first_load = target.isEmpty()
-    if not (first_load and unique_source):
-        # Worked out once: the checks below read only its key and period columns.
-        staged = materialise(staged, "tail")
-    if not unique_source and not check_unique(staged, keys).isEmpty():
-        raise ValueError(f"several source rows for one key of {table}")
-    if first_load:
-        insert_rows(staged, table, cluster, overwrite=True)
-        return table_periods(spark, table)
-
-    # As many values as the calendar has periods, never as many as there are keys.
-    periods = sorted(r[0] for r in staged.select(period_col).distinct().collect())
-    if periods:
-        touched = target.where(F.col(period_col).isin(periods))
-        insert_rows(merged_view(touched, staged, keys), table, cluster, overwrite=True, periods=periods)
+    date = required(F.col(date_col), date_col, "date")
+    staged = source.select(*columns).withColumn(period_col, F.trunc(date, period))
+
+    # Worked out once: the checks below read only its key and period columns.
+    staged = materialise(staged, "tail")
+    try:
+        if not unique_source and not check_unique(staged, keys).isEmpty():
+            raise ValueError(f"several source rows for one key of {table}")
+        # As many values as the calendar has periods, never as many as there are keys.
+        periods = sorted(r[0] for r in staged.select(period_col).distinct().collect())
+        if periods:
+            touched = target.where(F.col(period_col).isin(periods))
+            replace_periods(merged_view(touched, staged, keys), table, periods, cluster)
+    finally:
+        discard(staged)
     return periods

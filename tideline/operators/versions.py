@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.documents import NO_CHANGE, TOO_FEW, lines_of, unified_diff
+from tideline.functions.scalars import utc
 from tideline.operators.latest import latest_per_key, top_n_per_key
 from tideline.operators.ordering import CHUNK, number_rows, previous_row, split_groups
 
@@ -115,7 +116,7 @@ def line_changes(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def snapshot_label(version: Column, at: Column) -> Column:
     """Version and UTC time as printed in a diff header."""
-    whole = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    whole = F.date_format(utc(at), "yyyy-MM-dd HH:mm:ss")
     micros = F.date_format(at, "SSSSSS")
     stamp = F.concat(whole, F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)))
     return F.concat(F.lit("v"), version.cast("string"), F.lit(" ("), stamp, F.lit("+00:00)"))
@@ -157,12 +158,3 @@ def history_of(spark, table: str, name: str, limit: int = 20) -> DataFrame:
         "WHERE name = :name ORDER BY snapshotted_at DESC, version DESC LIMIT :limit",
         args={"name": name, "limit": limit},
     )
-
-
-def latest_of(spark, table: str, name: str) -> DataFrame:
-    """The latest version of one name: version, content and time."""
-    return spark.sql(
-        f"SELECT version, content, snapshotted_at FROM {table} "
-        "WHERE name = :name ORDER BY snapshotted_at DESC, version DESC LIMIT 1",
-        args={"name": name},
-    )

@@ -13,32 +13,29 @@ from tideline.sources.dimensions import HOUSE_PRICE_ID, NATIONAL_SERIES, WEEKLY_
 from tideline.sources.tables import partition_column
 
 
-def _schema(required: dict[str, T.DataType], optional: dict[str, T.DataType], order: str) -> T.StructType:
-    types = {**required, **optional}
-    return T.StructType([T.StructField(n, types[n], n in optional) for n in order.split()])
-
-
-_TEXT, _DATE, _NUMBER, _TIME = T.StringType(), T.DateType(), T.DoubleType(), T.TimestampType()
-
-RAW_OBSERVATIONS = _schema(
-    {"series_id": _TEXT, "date": _DATE, "extracted_at": _TIME},
-    {"value": _NUMBER},
-    "series_id date value extracted_at",
+# Columns of the raw tables, with their types and whether they may be NULL.
+RAW_OBSERVATIONS = T.StructType(
+    [
+        T.StructField("series_id", T.StringType(), False),
+        T.StructField("date", T.DateType(), False),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("extracted_at", T.TimestampType(), False),
+    ]
 )
-
-RAW_WEATHER = _schema(
-    {"location_id": _TEXT, "location_name": _TEXT, "date": _DATE, "extracted_at": _TIME},
-    {
-        "country": _TEXT,
-        "latitude": _NUMBER,
-        "longitude": _NUMBER,
-        "temperature_max_c": _NUMBER,
-        "temperature_min_c": _NUMBER,
-        "precipitation_sum_mm": _NUMBER,
-        "wind_speed_max_kmh": _NUMBER,
-    },
-    "location_id location_name country latitude longitude date temperature_max_c"
-    " temperature_min_c precipitation_sum_mm wind_speed_max_kmh extracted_at",
+RAW_WEATHER = T.StructType(
+    [
+        T.StructField("location_id", T.StringType(), False),
+        T.StructField("location_name", T.StringType(), False),
+        T.StructField("country", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("date", T.DateType(), False),
+        T.StructField("temperature_max_c", T.DoubleType()),
+        T.StructField("temperature_min_c", T.DoubleType()),
+        T.StructField("precipitation_sum_mm", T.DoubleType()),
+        T.StructField("wind_speed_max_kmh", T.DoubleType()),
+        T.StructField("extracted_at", T.TimestampType(), False),
+    ]
 )
 
 OBSERVATION_KEYS = ["series_id", "date"]

@@ -70,25 +70,44 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     # Nothing reads the shuffles of a finished write again, so their files can go at once.
-    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Remove the folder of a frame that ``materialise`` gave, once nothing reads it any more."""
+    spark = df.sparkSession
     files = df.inputFiles()
     if not files:
         return
-    jvm = df.sparkSession._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-    if f"{shared_folder(df.sparkSession)}/tideline/".split("://")[-1] not in f"{folder.toString()}/":
-        raise ValueError(f"{folder.toString()} is not a folder of this library")
-    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+    folder = files[0].rsplit("/", 1)[0]
+    if f"{shared_folder(spark)}/tideline/".split("://")[-1] not in f"{folder}/":
+        raise ValueError(f"{folder} is not a folder of this library")
+    remove_folder(spark, folder)
+
+
+def _folder(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    found, system = _folder(spark, path)
+    system.delete(found, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if it is not there."""
+    found, system = _folder(spark, path)
+    if not system.exists(found):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(found) if f.isDirectory()]
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session for as long as the block runs."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import required
-from tideline.session import shared_folder
+from tideline.session import remove_folder, setting, shared_folder, subfolders
 
 # Layers of the pipeline and the database each one belongs to.
 LAYERS = {
@@ -70,7 +72,7 @@ def ensure_table(
         f"LOCATION '{location}'"
     )
     if period:
-        spark.catalog.recoverPartitions(name)
+        _recover(spark, name, _COLUMN_OF[period], location)
 
 
 def source(spark: SparkSession, name: str) -> DataFrame:
@@ -110,43 +112,77 @@ def append_rows(
     period_col = partition_column(df.sparkSession.table(table))
     if period_col:
         rows = rows.withColumn(period_col, F.trunc(F.col(date_col), PERIOD_COLUMNS[period_col]))
-    insert_rows(rows, table, cluster, max_records_per_file=max_records_per_file)
+    insert_rows(rows, table, cluster, max_records_per_file)
 
 
 def insert_rows(
     rows: DataFrame,
     table: str,
     cluster: Sequence[str] = (),
-    overwrite: bool = False,
     max_records_per_file: int | None = None,
-    periods: Sequence[dt.date] | None = None,
 ) -> None:
-    """Write rows into a table, or swap the periods they belong to.
+    """Append rows to a table through the catalogue, which takes up new periods by itself."""
+    spark = rows.sparkSession
+    with setting(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file or 0)):
+        _laid_out(rows, spark.table(table), cluster).write.insertInto(table)
+
 
-    ``periods`` says which periods the rows have, where that is known.
+def _laid_out(rows: DataFrame, target: DataFrame, cluster: Sequence[str]) -> DataFrame:
+    """Rows gathered by period and sorted by the cluster columns, so that files are few and can be skipped in part.
 
-    Rows are gathered by period and sorted by the cluster columns, so files are
-    few and their row groups can be skipped.  The rebalance splits a period that
-    holds much of the data over as many tasks as its size asks for.
+    The rebalance splits a period that holds much of the data over as many tasks as its size asks for.
     """
-    spark = rows.sparkSession
-    target = spark.table(table)
     period_col = partition_column(target)
     rows = rows.select(*target.columns)
     if period_col:
         rows = rows.hint("rebalance", period_col).sortWithinPartitions(period_col, *cluster)
-    writer = rows.write.mode("overwrite" if overwrite else "append").format("parquet")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if period_col:
-        writer = writer.partitionBy(period_col).option("partitionOverwriteMode", "dynamic")
-    writer.save(table_location(spark, table))
-    if period_col and periods is None:
-        spark.catalog.recoverPartitions(table)
-    elif period_col:
-        added = " ".join(f"PARTITION (`{period_col}` = DATE '{p}')" for p in periods)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    return rows
+
+
+def replace_periods(rows: DataFrame, table: str, periods: Sequence[dt.date], cluster: Sequence[str] = ()) -> None:
+    """Put ``rows``, all rows of ``periods``, in place of what these periods hold.
+
+    They are written to a folder of their own first; then each period is pointed at
+    it in the catalogue, and what it held before is removed.
+    """
+    spark = rows.sparkSession
+    target = spark.table(table)
+    period_col = partition_column(target)
+    folder = f"{table_location(spark, table)}/{_SWAP}{time.time_ns():020d}-{uuid.uuid4().hex}"
+    _laid_out(rows, target, cluster).write.partitionBy(period_col).parquet(folder)
+    old = []
+    known = set(table_periods(spark, table))
+    for period in periods:
+        if period in known:
+            old.append(_period_location(spark, table, period_col, period))
+        _point(spark, table, period_col, period, f"{folder}/{period_col}={period}")
     spark.catalog.refreshTable(table)
+    for location in old:
+        remove_folder(spark, location)
+
+
+# Folders of replaced periods, in the order in which they were written; Spark passes over such names by itself.
+_SWAP = ".swap-"
+
+
+def _point(spark: SparkSession, table: str, period_col: str, period: dt.date | str, location: str) -> None:
+    part = f"PARTITION (`{period_col}` = DATE '{period}')"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part}")
+    spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{location}'")
+
+
+def _period_location(spark: SparkSession, table: str, period_col: str, period: dt.date) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (`{period_col}` = DATE '{period}')")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def _recover(spark: SparkSession, table: str, period_col: str, location: str) -> None:
+    """Register the periods that files are there for, of one period the last written."""
+    spark.catalog.recoverPartitions(table)
+    for swap in sorted(f for f in subfolders(spark, location) if f.startswith(_SWAP)):
+        for found in subfolders(spark, f"{location}/{swap}"):
+            if found.startswith(f"{period_col}="):
+                _point(spark, table, period_col, found.split("=")[1], f"{location}/{swap}/{found}")
 
 
 def table_periods(spark: SparkSession, table: str) -> list[dt.date]:
