@@ -168,6 +168,32 @@ def facts(spark, *data):
     return spark.createDataFrame(list(data), FACT)
 
 
+def test_a_failed_swap_leaves_the_old_rows(spark, prefix, monkeypatch):
+    from tideline.sources import tables
+
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, LOADED, "month")
+    merge_upsert(spark, table, with_load_time(facts(spark, ("a", D(2024, 1, 1), 1.0))), ["k", "date"])
+
+    def fail(*_):
+        raise OSError("no catalogue")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_point", fail)
+        with pytest.raises(OSError, match="no catalogue"):
+            merge_upsert(spark, table, with_load_time(facts(spark, ("a", D(2024, 1, 1), 2.0))), ["k", "date"])
+    assert rows(spark.table(table), "k", "v") == [("a", 1.0)]
+    merge_upsert(spark, table, with_load_time(facts(spark, ("a", D(2024, 1, 1), 3.0))), ["k", "date"])
+    assert rows(spark.table(table), "k", "v") == [("a", 3.0)]
+
+
+def test_null_dates_are_refused(spark, prefix):
+    table = f"{prefix}wh.facts"
+    ensure_table(spark, table, LOADED, "month")
+    with pytest.raises(Exception, match="required column date"):
+        merge_upsert(spark, table, with_load_time(facts(spark, ("a", None, 1.0))), ["k", "date"])
+
+
 @pytest.mark.parametrize("period", ["month", "year"])
 def test_merge(spark, prefix, period):
     table = f"{prefix}wh.facts"
@@ -466,6 +492,20 @@ def test_sync(spark, prefix, tmp_path):
     assert history_list(spark.table(skills), 1).first()["version"] == 2
 
 
+def test_files_with_hidden_names_are_read(spark, tmp_path):
+    for path in ("agents/a.md", "agents/_b.md", "agents/.c.md", "skills/_d/SKILL.md", "agents/_e.txt"):
+        file = tmp_path / ".claude" / path
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(f"text of {path}\r\n")
+    found = read_definitions(spark, str(tmp_path))
+    assert rows(found, "kind", "name", "content") == [
+        ("agent", ".c", "text of agents/.c.md\n"),
+        ("agent", "_b", "text of agents/_b.md\n"),
+        ("agent", "a", "text of agents/a.md\n"),
+        ("skill", "_d", "text of skills/_d/SKILL.md\n"),
+    ]
+
+
 def test_append_versions(spark, prefix):
     ensure_registry(spark, prefix)
     row = spark.createDataFrame(

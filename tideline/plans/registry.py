@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tideline.functions.scalars import blank_to_null
 from tideline.operators.versions import next_versions
+from tideline.session import materialise
 from tideline.sources.definitions import parse_definitions, read_definitions
 from tideline.sources.tables import append_rows, ensure_table
 
@@ -74,32 +75,42 @@ def sync_registry(
     notes: str | None = None,
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Append a version for every definition that changed and report the sync.
-
-    ``names`` restricts it to some definitions.  Files that cannot be read are
-    counted and left out; the others go on.  The report has one row per kind:
-    files checked, versions appended, files with errors.
-    """
-    ensure_registry(spark, prefix, root)
+    """``sync_definitions`` of the definition files below ``project``; ``names`` restricts it to some."""
     files = read_definitions(spark, project)
     if names is not None:
         files = files.where(F.col("name").isin(names))
+    return sync_definitions(spark, files, prefix, now, root, notes)
+
+
+def sync_definitions(
+    spark: SparkSession,
+    files: DataFrame,
+    prefix: str = "",
+    now: dt.datetime | None = None,
+    root: str | None = None,
+    notes: str | None = None,
+) -> DataFrame:
+    """Append a version for every definition of ``files (kind, name, content, error)`` that changed.
+
+    Files that cannot be read are counted and left out; the others go on.  The
+    report has one row per kind: files checked, versions appended, files with
+    errors.  Files are read once; versions are counted as they are written.
+    """
+    ensure_registry(spark, prefix, root)
+    files = materialise(files.select("kind", "name", "content", "error"), "definitions")
     reports = []
     for kind in KINDS:
         of_kind = files.where(F.col("kind") == kind)
         history = spark.table(registry_table(kind, prefix))
-        before = history.count()
-        changed = next_versions(of_kind.where(F.col("error").isNull()), history, now)
-        # Parsed after the comparison, so unchanged documents never reach Python.
-        parsed = parse_definitions(changed).withColumn("notes", F.lit(notes).cast("string"))
-        append_versions(parsed, kind, prefix)
-        appended = spark.table(registry_table(kind, prefix)).count() - before
+        readable = of_kind.where(F.col("error").isNull()).select("name", "content")
+        # Parsed after the comparison, so unchanged documents are not taken apart.
+        changed = parse_definitions(next_versions(readable, history, now))
+        changed = materialise(changed.withColumn("notes", F.lit(notes).cast("string")), "changed")
+        append_versions(changed, kind, prefix)
+        totals = of_kind.agg(F.count(F.lit(1)).alias("checked"), F.count("error").alias("errors"))
         reports.append(
-            of_kind.agg(
-                F.count(F.lit(1)).alias("checked"),
-                F.count("error").alias("errors"),
-            ).select(
-                F.lit(kind).alias("kind"), "checked", F.lit(appended).cast("long").alias("appended"), "errors"
+            totals.select(
+                F.lit(kind).alias("kind"), "checked", F.lit(changed.count()).cast("long").alias("appended"), "errors"
             )
         )
     return reports[0].unionByName(reports[1])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -22,9 +21,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_own_folder: dict[str, str] = {}
-
-
 def build_session(app: str = "tideline", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -43,17 +39,19 @@ def build_session(app: str = "tideline", master: str | None = None, **conf) -> S
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Only a local session may leave it unset; it then has one beside its tables.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _own_folder:
-        _own_folder[app] = tempfile.mkdtemp(prefix="tideline-")
-    return _own_folder[app]
+    return f"{table_root(spark)}/_shared"
+
+
+def table_root(spark: SparkSession) -> str:
+    """The warehouse, where tables live that are given no other place."""
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -18,14 +18,19 @@ def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_R
     """``kind, name, path, content, error`` of every agent and skill file below ``project/root``.
 
     Line ends are read as ``\\n``.  A file that is not valid UTF-8 keeps its row
-    with an error and no content.
+    with an error and no content.  Names that begin with ``_`` or ``.`` are read too.
     """
-    files = spark.read.text(
-        f"{project.rstrip('/')}/{root}", wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md"
-    )
+    folder = f"{project.rstrip('/')}/{root}"
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     # The path arrives percent-encoded, where a plus sign means itself.
-    full_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    located = files.select(
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    named = files.select("value", decoded.alias("full_path"))
+    # Spark passes over names that begin with these marks; there are as many as people have written by hand.
+    hidden = hidden_files(spark, folder, ".md")
+    if hidden:
+        named = named.unionByName(spark.createDataFrame(hidden, "full_path string, value string"))
+    full_path = F.col("full_path")
+    located = named.select(
         F.concat(F.lit(f"{root}/"), F.element_at(F.split(full_path, rf"/\Q{root}\E/", 2), 2)).alias("path"),
         F.when(F.is_valid_utf8("value"), F.regexp_replace("value", "\r\n?", "\n")).alias("content"),
     )
@@ -42,6 +47,26 @@ def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_R
     )
 
 
+def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[tuple[str, str]]:
+    """Path and text of the files below ``folder`` in whose path Spark's readers see a hidden name."""
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(top):
+        return []
+    top = system.makeQualified(top)
+    base = top.toUri().getPath()
+    found, listed = [], system.listFiles(top, True)
+    while listed.hasNext():
+        path = listed.next().getPath()
+        inside = path.toUri().getPath()[len(base) :].split("/")
+        if inside[-1].endswith(suffix) and any(part[:1] in ("_", ".") for part in inside):
+            stream = system.open(path)
+            found.append((path.toString(), jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            stream.close()
+    return found
+
+
 def parse_definitions(files: DataFrame, content: str = "content") -> DataFrame:
     """Adds description, tools, skills and sections taken from each document."""
     parts = files.withColumn("_parts", front_matter_parts(content))

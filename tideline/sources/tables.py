@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import required
-from tideline.session import remove_folder, setting, shared_folder, subfolders
+from tideline.session import remove_folder, setting, subfolders, table_root
 
 # Layers of the pipeline and the database each one belongs to.
 LAYERS = {
@@ -50,13 +50,13 @@ def ensure_table(
 ) -> None:
     """Create a parquet table if there is none, partitioned by month or year of its date.
 
-    The files live under ``root``, by default in the shared folder.  A new session
+    The files live under ``root``, by default in the warehouse.  A new session
     finds files already there again.
     """
     if spark.catalog.tableExists(name):
         return
     database = name.split(".")[0]
-    root = root or f"{shared_folder(spark)}/tables"
+    root = root or table_root(spark)
     location = f"{root}/{name.replace('.', '/')}"
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
     layout = ""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from tideline.operators.versions import (
     version_history,
     version_pairs,
 )
+from tideline.plans.registry import KINDS, registry_table, sync_definitions
 from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
@@ -278,3 +280,35 @@ def _path():
     for number, (before, after) in enumerate(shapes):
         path = F.when(kind == number, F.concat(F.lit(before), "source", F.lit(after))).otherwise(path)
     return path
+
+
+_REGISTRY = (
+    f"WITH {inputs.DEFINITIONS}, parts AS (SELECT doc_id, content, CASE WHEN doc_id % 2 = 0 THEN 'agent' ELSE 'skill' END "
+    "AS kind, 'd' || doc_id AS name, CASE WHEN doc_id % 3 = 0 THEN 'document ' || doc_id || ' in ' || lang END "
+    "AS description FROM definitions) "
+    "SELECT kind, name, 1 AS version, description, md5(content) AS digest FROM parts UNION ALL "
+    "SELECT kind, name, 2, description, md5(content || chr(10) || 'more') FROM parts WHERE doc_id % 5 = 0"
+)
+
+
+@query("registry_sync", _REGISTRY)
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as definitions, synced twice: a fifth of them has changed by the second time."""
+    prefix = f"registry_{uuid.uuid4().hex}_"
+    files = inputs.definitions(spark, sf_dir).select(
+        F.when(F.pmod("doc_id", F.lit(2)) == 0, "agent").otherwise("skill").alias("kind"),
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("name"),
+        "doc_id",
+        "content",
+        F.lit(None).cast("string").alias("error"),
+    )
+    altered = F.when(F.pmod("doc_id", F.lit(5)) == 0, F.concat("content", F.lit("\nmore"))).otherwise(F.col("content"))
+    sync_definitions(spark, files, prefix, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    sync_definitions(spark, files.withColumn("content", altered), prefix, dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc))
+    tables = [
+        spark.table(registry_table(kind, prefix)).select(
+            F.lit(kind).alias("kind"), "name", F.col("version").cast("int").alias("version"), "description", F.md5("content").alias("digest")
+        )
+        for kind in KINDS
+    ]
+    return tables[0].unionByName(tables[1])

@@ -53,13 +53,14 @@ LATEST_OBSERVATIONS = (
 
 # Line items as raw economic observations: parts spread over the 118 series.
 
-def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_observations(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     ids = F.array(*[F.lit(s) for s in SERIES_IDS])
     return read(spark, sf_dir, "lineitem").select(
         F.get(ids, F.pmod("l_partkey", F.lit(len(SERIES_IDS))).cast("int")).alias("series_id"),
         F.to_date("l_shipdate").alias("date"),
         F.when(F.col("l_discount") > 0, F.col("l_extendedprice")).alias("value"),
         (F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_linenumber"))).alias("extracted_at"),
+        *more,
     )
 
 
@@ -74,6 +75,13 @@ RAW_OBSERVATIONS = (
 )
 
 
+RAW_OBSERVATIONS_WITH_LINE = (
+    f"raw_lines AS (SELECT {_list(SERIES_IDS)}[1 + l_partkey % {len(SERIES_IDS)}] AS series_id, "
+    "CAST(l_shipdate AS DATE) AS date, CASE WHEN l_discount > 0 THEN l_extendedprice END AS value, l_linenumber "
+    "FROM lineitem)"
+)
+
+
 def ranked_first(source: str, keys: str, order: str, where: str = "true") -> str:
     """SQL for the first row of each key."""
     return (

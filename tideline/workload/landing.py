@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.operators.ordering import CHUNK, number_rows, split_groups
+from tideline.plans.landing import land_pages, request_plan
+from tideline.plans.layers import create_raw_tables
 from tideline.sources.payloads import (
     DAILY_VARIABLES,
+    PAGE_LIMIT,
     assemble_pages,
     assembled,
     decode_observations,
     decode_parallel_arrays,
     decode_weather,
 )
+from tideline.sources.tables import LOAD_BATCH_ROWS, layer_table_name
 from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
@@ -132,3 +140,53 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembled(_captures(spark, sf_dir), "series_id", page_limit=3)[1]
+
+
+# Two runs of the landing job: lines 1 to 3 of every order, then the others from the watermarks on.
+_JOB = (
+    f"WITH {inputs.RAW_OBSERVATIONS_WITH_LINE}, first_sets AS (SELECT series_id FROM raw_lines WHERE l_linenumber <= 3 "
+    "GROUP BY 1 HAVING count(*) % 1000 <> 0), "
+    "first AS (SELECT series_id, date, value, TIMESTAMP '2024-01-01' AS extracted_at FROM raw_lines "
+    "SEMI JOIN first_sets USING (series_id) WHERE l_linenumber <= 3), "
+    "marks AS (SELECT series_id, max(date) AS mark FROM first GROUP BY 1), "
+    "asked AS (SELECT raw_lines.* FROM raw_lines LEFT JOIN marks USING (series_id) "
+    "WHERE l_linenumber > 3 AND (mark IS NULL OR date >= mark)), "
+    "second_sets AS (SELECT series_id FROM asked GROUP BY 1 HAVING count(*) % 1000 <> 0), "
+    "second AS (SELECT series_id, date, value, TIMESTAMP '2024-01-02' AS extracted_at FROM asked "
+    "SEMI JOIN second_sets USING (series_id)) SELECT * FROM first UNION ALL SELECT * FROM second"
+)
+
+
+def _answers(lines: DataFrame, run: int) -> DataFrame:
+    """What the source answers: pages of a thousand observations for each series, in order of their dates.
+
+    An answer that ends with a full page has lost its last page, and so is not complete.
+    """
+    order = ["date", "value", "line"]
+    numbered = number_rows(split_groups(lines, ["series_id"], order), ["series_id"], order, "n").drop(CHUNK)
+    text = F.coalesce(F.col("value").cast("string"), F.lit("."))
+    item = F.struct("n", F.date_format("date", "yyyy-MM-dd").alias("date"), text.alias("value"))
+    offset = (F.floor((F.col("n") - 1) / PAGE_LIMIT) * PAGE_LIMIT).cast("long").alias("page_offset")
+    pages = numbered.groupBy("series_id", offset).agg(F.sort_array(F.collect_list(item)).alias("observations"))
+    return pages.select(
+        "series_id",
+        "page_offset",
+        F.to_json(F.struct("observations")).alias("payload"),
+        F.lit(dt.datetime(2024, 1, run, tzinfo=dt.timezone.utc)).cast("timestamp").alias("extracted_at"),
+    )
+
+
+@query("landing_job", _JOB)
+def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over all line items: plan the requests, land the pages, plan again from what landed."""
+    prefix = f"landing_{uuid.uuid4().hex}_"
+    create_raw_tables(spark, prefix)
+    lines = inputs.raw_observations(spark, sf_dir, F.col("l_linenumber").alias("line"))
+    for run, part in ((1, F.col("line") <= 3), (2, F.col("line") > 3)):
+        plan = request_plan(spark, "economic", prefix)
+        asked = lines.where(part).join(plan, "series_id").where(
+            F.col("start_date").isNull() | (F.col("date") >= F.col("start_date"))
+        )
+        land_pages(spark, "economic", _answers(asked, run), prefix=prefix, batch_rows=LOAD_BATCH_ROWS)
+    landed = spark.table(layer_table_name("raw", "economic_observations", prefix))
+    return landed.select("series_id", "date", "value", F.col("extracted_at").cast("timestamp_ntz").alias("extracted_at"))
