@@ -51,6 +51,34 @@ def check_freshness(
     return df.agg(F.max(col).alias("newest")).withColumn("status", status)
 
 
+def check_rows(
+    df: DataFrame, name: str, keys: Sequence[str], not_null: Sequence[str] = (), rule: str | Column | None = None
+) -> DataFrame:
+    """``name, violations, status`` of a table's rules, all from one scan and one shuffle.
+
+    The rules are those of ``check_not_null``, ``check_unique`` and ``check_expression``;
+    rows are counted by key, with partial counts in the map tasks, and the counts are added up.
+    """
+    broken = F.lit(False) if rule is None else ~(F.expr(rule) if isinstance(rule, str) else rule)
+    by_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(broken).alias("_broken"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{k}") for k, c in enumerate(not_null)],
+    )
+    repeated = F.col("_n") > 1
+    if len(keys) == 1:
+        repeated = repeated & F.col(keys[0]).isNotNull()
+    nulls = sum((F.col(f"_null_{k}") for k in range(len(not_null))), F.lit(0))
+    found = {"not null": F.sum(nulls), "unique": F.count_if(repeated)}
+    if rule is not None:
+        found["rule"] = F.sum("_broken")
+    counts = by_key.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(k) for k, c in found.items()])
+    named = [F.struct(F.lit(f"{name} {k}").alias("name"), F.col(f"`{k}`").alias("violations")) for k in found]
+    return counts.select(F.inline(F.array(*named))).withColumn(
+        "status", F.when(F.col("violations") > 0, "fail").otherwise("pass")
+    )
+
+
 def summarise(checks: dict[str, DataFrame]) -> DataFrame:
     """``name, violations, status`` for a set of violation tables, in one query."""
 

@@ -5,18 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators.checks import (
-    check_expression,
-    check_freshness,
-    check_not_null,
-    check_unique,
-    summarise,
-)
+from tideline.operators.checks import check_freshness, check_rows, summarise
 from tideline.operators.incremental import incremental_tail, merge_upsert, with_load_time
 from tideline.plans import models as layer_models
 from tideline.plans.landing import ECONOMIC, RAW_TABLES, WEATHER
@@ -166,17 +161,11 @@ def build_model(
     )
 
 
-def model_checks(spark: SparkSession, model: Model, prefix: str = "") -> dict[str, DataFrame]:
-    """The rules declared for a model, each as its violations."""
+def model_checks(spark: SparkSession, model: Model, prefix: str = "") -> DataFrame:
+    """``name, violations, status`` of the rules declared for a model."""
     rows = model_rows(spark, model.layer, model.name, prefix)
     name = layer_table_name(model.layer, model.name, prefix)
-    checks = {
-        f"{name} not null": check_not_null(rows, model.not_null),
-        f"{name} unique": check_unique(rows, model.keys),
-    }
-    if model.rule:
-        checks[f"{name} rule"] = check_expression(rows, model.rule)
-    return checks
+    return check_rows(rows, name, model.keys, model.not_null, model.rule)
 
 
 def run_layers(
@@ -205,7 +194,7 @@ def run_layers(
     for step in land:
         step(spark)
     if gate:
-        _gate(raw_checks(spark, sources, prefix, now))
+        _gate(summarise(raw_checks(spark, sources, prefix, now)))
     rewritten: dict[str, list[dt.date]] = {}
     for layer in [x for x in LAYERS if layers is None or x in layers]:
         built = [m for m in chosen if m.layer == layer]
@@ -214,10 +203,7 @@ def run_layers(
             if model.is_table:
                 rewritten[layer_table_name(layer, model.name, prefix)] = periods
         if gate and built:
-            checks: dict[str, DataFrame] = {}
-            for model in built:
-                checks.update(model_checks(spark, model, prefix))
-            _gate(checks)
+            _gate(reduce(DataFrame.unionByName, [model_checks(spark, model, prefix) for model in built]))
     return rewritten
 
 
@@ -236,8 +222,8 @@ def raw_checks(
     return {f"{t} freshness": check_freshness(spark.table(t), "extracted_at", now=now) for t in named}
 
 
-def _gate(checks: dict[str, DataFrame]) -> None:
+def _gate(summary: DataFrame) -> None:
     # One row per declared rule comes back, never the violating rows.
-    failed = summarise(checks).where(F.col("status") == "fail").collect()
+    failed = summary.where(F.col("status") == "fail").collect()
     if failed:
         raise CheckFailed("; ".join(f"{r['name']}: {r['violations']}" for r in failed))

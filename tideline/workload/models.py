@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.operators.checks import check_rows
 from tideline.plans import models
 from tideline.plans.landing import RAW_TABLES
 from tideline.plans.layers import create_raw_tables, model_rows, run_layers
@@ -150,3 +151,30 @@ def layered_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def layered_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_runs(spark, "weather", inputs.raw_weather(spark, sf_dir), "daily_weather", "weather_metrics")
+
+
+_GATE = (
+    f"WITH {inputs.STAGED_WEATHER}, found AS (SELECT 'stg_warehouses.daily_weather' AS name, "
+    "(SELECT count(*) FROM staged WHERE location_id IS NULL OR date IS NULL) AS nulls, "
+    "(SELECT count(*) FROM (SELECT 1 FROM staged GROUP BY location_id, date HAVING count(*) > 1)) AS repeats "
+    "UNION ALL SELECT 'lineitem', (SELECT count(*) FILTER (l_tax IS NULL) FROM lineitem), "
+    "(SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))) "
+    "SELECT name || ' not null' AS name, nulls AS violations, CASE WHEN nulls > 0 THEN 'fail' ELSE 'pass' END AS status "
+    "FROM found UNION ALL SELECT name || ' unique', repeats, CASE WHEN repeats > 0 THEN 'fail' ELSE 'pass' END FROM found "
+    "UNION ALL SELECT 'lineitem rule', n, CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END "
+    "FROM (SELECT count(*) AS n FROM lineitem WHERE NOT (l_discount < 0.09))"
+)
+
+
+@query("gate_summary", _GATE)
+def gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's rules over the staged rows of a landed table, and over line items, which break some."""
+    prefix = f"gate_{uuid.uuid4().hex}_"
+    landed = RAW_TABLES["weather"]
+    create_raw_tables(spark, prefix)
+    append_rows(inputs.raw_weather(spark, sf_dir), layer_table_name("raw", landed.name, prefix), landed.schema)
+    staged = model_rows(spark, "1_staging_warehouses", "daily_weather", prefix)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return check_rows(staged, "stg_warehouses.daily_weather", ["location_id", "date"], ["location_id", "date"]).unionByName(
+        check_rows(lines, "lineitem", ["l_orderkey", "l_linenumber"], ["l_tax"], "l_discount < 0.09")
+    )
