@@ -80,7 +80,9 @@ def discard(df: DataFrame) -> None:
     if not files:
         return
     folder = files[0].rsplit("/", 1)[0]
-    if f"{shared_folder(spark)}/tideline/".split("://")[-1] not in f"{folder}/":
+    # Without the scheme, which may be written in several ways.
+    ours, here = (_folder(spark, p)[0].toUri().getPath() for p in (f"{shared_folder(spark)}/tideline", folder))
+    if not here.startswith(f"{ours}/"):
         raise ValueError(f"{folder} is not a folder of this library")
     remove_folder(spark, folder)
 
