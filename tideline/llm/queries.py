@@ -34,6 +34,66 @@ def query(function: Query) -> Query:
     return function
 
 
+def _listed(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+ORACLES["op1_embedding_near_dedup"] = (
+    "WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), "
+    "usable AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 "
+    "AND len(list_filter(e, lambda x: x <> 0)) > 0), "
+    "links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b ON a.vec_id <> b.vec_id "
+    f"AND list_cosine_similarity(a.e, b.e) >= {embedding_dedup.THRESHOLD}), "
+    "reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a), "
+    "components AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a), "
+    "counts AS (SELECT a, count(*) AS n FROM links GROUP BY a) "
+    "SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v "
+    "JOIN components ON vec_id = components.a LEFT JOIN counts ON vec_id = counts.a"
+)
+
+ORACLES["op3_substring_dedup"] = (
+    r"WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents), "
+    "windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM "
+    "(SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs)), "
+    "firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k), "
+    "hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (k) WHERE f < doc_id), "
+    "covered AS (SELECT DISTINCT doc_id, i + j AS p FROM hits, range(13) AS r(j)), "
+    "words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs), "
+    "kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id), "
+    "gone AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id) "
+    "SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 "
+    "FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"
+)
+
+_PHRASES = ", ".join(f"({_listed(p.split())}, '{label}')" for p, label in license_scan.PHRASES.items())
+_TEMPLATES = ", ".join(
+    f"({_listed(sorted(w.decode() for w in set(license_scan.words_of(text.encode()))))}, '{label}')"
+    for label, text in license_scan.TEMPLATES
+)
+_LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ORACLES["op5_license_scan"] = (
+    "WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') "
+    f"AS t FROM documents), docs AS (SELECT doc_id, regexp_extract_all(t, '{_LICENSE_WORD}') AS w FROM low), "
+    f"phrases(p, label) AS (VALUES {_PHRASES}), templates(p, label) AS (VALUES {_TEMPLATES}), "
+    "starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs), "
+    "places AS (SELECT doc_id, i - 1 AS spot, label FROM starts JOIN phrases ON w[i] = p[1] AND w[i:i + len(p) - 1] = p), "
+    "base AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, "
+    "list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY doc_id), "
+    "lines AS (SELECT doc_id, regexp_extract_all(line, "
+    f"'{_LICENSE_WORD}') AS w FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM low)), "
+    "blocks AS (SELECT doc_id, w AS b FROM lines WHERE len(w) <= 80 UNION ALL SELECT doc_id, w[k + 1:k + 80] FROM "
+    "(SELECT doc_id, w, unnest(range(0, len(w) - 40, 40)) AS k FROM lines WHERE len(w) > 80)), "
+    "shares AS (SELECT doc_id, label, CAST(len(list_intersect(b, p)) AS DOUBLE) / len(p) AS c FROM blocks, templates), "
+    f"notices AS (SELECT doc_id, list(DISTINCT label) AS labels, max(c) AS c FROM shares WHERE c >= {license_scan.THRESHOLD} "
+    "GROUP BY doc_id) "
+    "SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, "
+    "coalesce(array_to_string(base.labels, ','), '') AS base_labels, "
+    "array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(notices.labels, [])))), ',') AS labels, "
+    "CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0::DOUBLE) END AS score "
+    "FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN notices USING (doc_id)"
+)
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
