@@ -37,7 +37,7 @@ ODD_ROWS = [
     (8, "another text under the same id, " * 4, "u"),
     (-9, "mail a.b@c.example.org and é😀 漢字 \u0000 <|endoftext|> <s> ▁", "s"),
 ]
-CLASHES = ["fingerprint", "score", "size", "key", "row", "hash", "body", "copies", "runs", "component_id"]
+CLASHES = ["fingerprint", "score", "size", "key", "row", "hash", "body", "copies", "runs", "component_id", "_body", "_map"]
 
 
 @pytest.fixture(scope="session")

@@ -63,6 +63,12 @@ def test_surrogates_are_distinct_and_not_in_the_corpus(spark):
     assert len({r.form for r in rows}) == len(names) and not {r.form for r in rows} & set(names)
 
 
+def test_numbers_with_marks_between_their_parts(spark):
+    a, b = replaced(spark, ["call +1!! (663)!! 555-6869!! now", "call +1 (663) 555-6869 now"])
+    assert [c for c in a if c.isdigit()] == [c for c in b if c.isdigit()] and "555-6869" not in a + b
+    assert a.replace("!!", "") == b and a.count("!!") == 3
+
+
 def test_near_misses_stay(spark):
     texts = ["version 1.2.3 of 2024-01-02, 12,345.67 and 555", "a@b is no address, Mr. x neither", "ab1.2.3.4cd 999.1.1.1", ""]
     assert replaced(spark, texts) == texts

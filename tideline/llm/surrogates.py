@@ -16,7 +16,10 @@ KINDS = {
     "iban": r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?|[A-Z]{2}\d{2}[A-Z0-9]{11,30}",
     "secret": r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,}|[0-9A-F]{32,}",
     "ip": r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)",
-    "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-]?\d{1,4}){3,5}",
+    "phone": (
+        r"(?:\+\d{1,3}[^\p{L}\p{N}]{0,5})?(?:\(\d{2,4}\)[^\p{L}\p{N}]{0,5}|\d{3}[.-])\d{3}[ .-]?\d{4}"
+        r"|\+\d{1,3}(?:[ .-]?\d{1,4}){3,5}"
+    ),
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "card": r"\d{4}(?:[ -]\d{4}){3}|\d{13,19}",
     "name": (
@@ -132,32 +135,40 @@ def _pick(names: list[str], stream: Column) -> Callable[[Column], Column]:
     return pick
 
 
-def surrogate(secret: str, kind: Column, plain: Column, attempt: Column) -> Column:
-    """The plain form of the surrogate of a plain form.
+def with_surrogate(forms: DataFrame, secret: str, attempt: int) -> DataFrame:
+    """``forms (kind, plain)`` with ``form``, the plain form of the surrogate.
 
     Emails get an address of the same shape in a domain that cannot exist; phone numbers
     keep their first digit and length; cards keep the first digit and the length, and valid
     ones stay valid; the other numbers and secrets keep their classes of characters.
     """
-    stream = _stream(secret, kind, plain, attempt, F.length(plain) + 2 * attempt + 8)
-    local = F.substring_index(plain, "@", 1)
-    domain = F.substring_index(plain, "@", -1)
-    host = _stream(secret, F.lit("domain"), domain, attempt, F.lit(8))
-    email = F.concat(_like(local, stream), F.lit("@"), F.substring(host, 1, 12), F.lit(".example"))
+    kind, plain, tries = F.col("kind"), F.col("plain"), F.lit(attempt)
+    host_of = F.substring_index(plain, "@", -1)
+    # Digests are columns of their own, so that they are worked out once and not for each character.
+    streams = forms.withColumns(
+        {
+            "_stream": _stream(secret, kind, plain, tries, F.length(plain) + 2 * attempt + 8),
+            "_host": _stream(secret, F.lit("domain"), host_of, tries, F.lit(8)),
+        }
+    )
+    stream = F.col("_stream")
+    email = F.concat(_like(F.substring_index(plain, "@", 1), stream), F.lit("@"), F.substring("_host", 1, 12), F.lit(".example"))
     octets = [(_number(stream, k) % 254 + 1).cast("string") for k in range(4)]
-    drawn = _like(plain, stream, 1)
-    open_card = F.concat(F.substring(drawn, F.lit(1), F.length(drawn) - 1), F.lit("0"))
-    checked = F.concat(F.substring(open_card, F.lit(1), F.length(drawn) - 1), ((10 - _luhn(open_card) % 10) % 10).cast("string"))
-    return (
+    drawn = streams.withColumn(
+        "_drawn",
         F.when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", *octets))
-        .when(kind == "phone", drawn)
-        .when(kind == "card", F.when(_luhn(plain) % 10 == 0, checked).otherwise(drawn))
+        .when(kind.isin("phone", "card"), _like(plain, stream, 1))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(_like(plain, stream), 2, 8)))
         .when(kind == "iban", _like(plain, stream, 2))
-        .when(kind.isin("secret"), _like(plain, stream))
-        .otherwise(_chosen_name(kind, plain, stream, attempt))
+        .when(kind == "secret", _like(plain, stream))
+        .otherwise(_chosen_name(kind, plain, stream, tries)),
     )
+    but_last = F.substring("_drawn", F.lit(1), F.length("_drawn") - 1)
+    missing = (10 - _luhn(F.concat(but_last, F.lit("0"))) % 10) % 10
+    valid = (kind == "card") & (_luhn(plain) % 10 == 0)
+    form = F.when(valid, F.concat(but_last, missing.cast("string"))).otherwise(F.col("_drawn"))
+    return drawn.withColumn("form", form).drop("_stream", "_host", "_drawn")
 
 
 def _formatted(entity: Column, kind: Column, forms: Column) -> Column:
@@ -197,7 +208,9 @@ def assign_surrogates(plain_forms: DataFrame, secret: str) -> DataFrame:
     attempt = 0
     open_ = forms
     while not open_.isEmpty():
-        tried = open_.withColumn("form", surrogate(secret, F.col("kind"), F.col("plain"), F.lit(attempt)))
+        # Few bytes, but much work for each row: dealt to as many tasks as a shuffle has.
+        tasks = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tried = with_surrogate(open_.repartition(tasks, "plain"), secret, attempt)
         taken = reduce(DataFrame.unionByName, [forms.select("kind", F.col("plain").alias("form")), *[d.select("kind", "form") for d in done]])
         free = tried.join(taken, ["kind", "form"], "left_anti")
         first = free.groupBy("kind", "form").agg(F.min("plain").alias("plain"))
@@ -251,11 +264,11 @@ def replace_entities(
     new = F.array_join(
         F.zip_with(pieces, mentioned, lambda p, e: F.concat(p, F.coalesce(F.element_at(F.col("m._map"), e), F.lit("")))), ""
     )
-    marked = docs.withColumn("_body", body) if "_body" not in docs.columns else None
-    if marked is None:
-        raise ValueError("there is a column _body already")
-    joined = marked.alias("d").join(
-        maps.alias("m"), F.col(f"d.{id_col}").eqNullSafe(F.col("m._id")) & (F.col("d._body") == F.col("m._body")), "left"
+    mark = "_body"
+    while mark in docs.columns:
+        mark += "_"
+    joined = docs.withColumn(mark, body).alias("d").join(
+        maps.alias("m"), F.col(f"d.{id_col}").eqNullSafe(F.col("m._id")) & (F.col(f"d.{mark}") == F.col("m._body")), "left"
     )
     shown = [
         F.when(F.col("m._map").isNotNull(), new).otherwise(text).alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns
