@@ -44,6 +44,9 @@ _DIGITS = re.compile(r"\d+")
 def _shape(word: str) -> str:
     """The word's form: its letters by case, digits as one, other characters as they are, up to eight."""
 
+    if word.isalpha():
+        return "AA" if len(word) > 1 and word.isupper() else "Aa" if word[0].isupper() else "a"
+
     def case(match: re.Match) -> str:
         found = match.group()
         if len(found) > 1 and found.isupper():
