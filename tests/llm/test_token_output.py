@@ -44,7 +44,7 @@ def test_ids_of_any_text(text):
 
 def test_a_full_cache_starts_afresh():
     small = S.ByteEncoder(FILE)
-    small.words.max_pieces = small.MOST_PIECES = 50
+    small.words.max_pieces = 50
     rng = random.Random(1)
     for _ in range(40):
         text = " ".join("".join(rng.choices("abcde.,", k=4)) for _ in range(30))

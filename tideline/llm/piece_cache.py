@@ -22,13 +22,16 @@ class _Places(dict):
 
 
 class PieceCache:
-    """Encodes sequences of pieces, each of which ``encode`` turns into ids on its own.
+    """Encodes sequences of pieces, each of which has ids of its own.
 
-    It starts afresh when it holds more than ``pieces`` pieces or ``ids`` ids, so a
-    worker's memory is bounded whatever it reads.
+    ``encode`` gives the numbers of ids of a list of pieces, and the ids one after another.
+
+    When it holds more than ``pieces`` pieces or ``ids`` ids it forgets those that came
+    up in one text only, or all if that is not enough, so a worker's memory is bounded
+    whatever it reads and the common pieces are not encoded again and again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: int = 300_000, ids: int = 3_000_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pieces: int = 300_000, ids: int = 3_000_000):
         self.encode, self.max_pieces, self.max_ids = encode, pieces, ids
         self._clear()
 
@@ -37,8 +40,24 @@ class PieceCache:
         self.start = np.zeros(1 << 12, dtype=np.int64)
         self.count = np.zeros(1 << 12, dtype=np.int64)
         self.flat = np.zeros(1 << 14, dtype=np.uint32)
+        self.again = np.zeros(1 << 12, dtype=bool)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the pieces that came up again."""
+        kept = np.flatnonzero(self.again[: len(self.places)])
+        count = self.count[kept]
+        if 2 * len(kept) > self.max_pieces or 2 * count.sum() > self.max_ids:
+            return self._clear()
+        starts = np.repeat(self.start[kept] - np.cumsum(count) + count, count)
+        flat = self.flat[starts + np.arange(count.sum())]
+        pieces = list(self.places)
+        self._clear()
+        for piece in map(pieces.__getitem__, kept.tolist()):
+            self.places[piece]
+        self.places.new = []
+        self._store(0, count, flat)
+
     def ids(self, pieces: Iterable[str], at_once: int = 1 << 17) -> np.ndarray:
         """The ids of all ``pieces`` one after another."""
         pieces = iter(pieces)
@@ -49,10 +68,12 @@ class PieceCache:
 
     def _ids(self, pieces: list[str]) -> np.ndarray:
         if len(self.places) > self.max_pieces or self.used > self.max_ids:
-            self._clear()
+            self._forget()
+        before = len(self.places)
         index = np.fromiter(map(self.places.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         if self.places.new:
             self._learn()
+        self.again[index[index < before]] = True
         count = self.count[index]
         ends = np.cumsum(count)
         return self.flat[np.repeat(self.start[index] - ends + count, count) + np.arange(ends[-1])]
@@ -60,16 +81,17 @@ class PieceCache:
     def _learn(self) -> None:
         new, self.places.new = self.places.new, []
         first = len(self.places) - len(new)
-        lists = self.encode(new)
-        count = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), dtype=np.uint32, count=int(count.sum()))
-        self.start = _room(self.start, len(self.places))
-        self.count = _room(self.count, len(self.places))
-        self.flat = _room(self.flat, self.used + len(flat))
-        self.count[first : len(self.places)] = count
-        self.start[first : len(self.places)] = self.used + np.cumsum(count) - count
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
+        count, flat = self.encode(new)
+        self._store(first, count, flat)
+
+    def _store(self, first: int, count: np.ndarray, flat: np.ndarray) -> None:
+        end, used = first + len(count), self.used + len(flat)
+        self.start, self.count, self.again = (_room(x, end) for x in (self.start, self.count, self.again))
+        self.flat = _room(self.flat, used)
+        self.count[first:end] = count
+        self.start[first:end] = self.used + np.cumsum(count) - count
+        self.flat[self.used : used] = flat
+        self.used = used
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache, cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,9 +92,12 @@ class PieceModel:
         self.single = self.library.piece_to_id(SPACE)
         self.pieces = PieceCache(self._segments)
 
-    def _segments(self, segments: list[str]) -> list[list[int]]:
+    def _segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each segment has, and the ids."""
         found = self.library.encode([s[1:] for s in segments], num_threads=1)
-        return [ids if s != " " else [self.single] for s, ids in zip(segments, found, strict=True)]
+        found = [ids if s != " " else [self.single] for s, ids in zip(segments, found, strict=True)]
+        count = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return count, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(count.sum()))
 
     def ids(self, text: str) -> np.ndarray:
         """The ids of a text, with begin and end ids."""

@@ -23,10 +23,6 @@ SEGMENT = 1 << 16
 #: The share of a block's ids that the packed width must hold; the others are exceptions.
 SHARE = 0.95
 
-# Fixed value: how byte-level tokenizers cut a text before merging.
-CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
 # Patched frame of reference.
 
 
@@ -43,9 +39,11 @@ def pack(ids: np.ndarray, share: float = SHARE, block: int = BLOCK) -> bytes:
         low = part.min()
         rest = part - low
         needed = np.frexp(rest.astype(np.float64))[1]
-        width = int(np.partition(needed, max(0, int(np.ceil(share * len(part))) - 1))[max(0, int(np.ceil(share * len(part))) - 1)])
+        place = max(0, int(np.ceil(share * len(part))) - 1)
+        width = int(np.partition(needed, place)[place])
         out = np.flatnonzero(needed > width)
-        bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+        kept = np.where(needed > width, 0, rest).astype("<u2" if width <= 16 else "<u4")
+        bits = np.unpackbits(kept.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
         bodies.append(
             np.array([low, width, len(out)], dtype="<u4").tobytes()
             + np.packbits(bits[:, :width], bitorder="little").tobytes()
@@ -74,10 +72,10 @@ def unpack(segment: bytes, first: int = 0, end: int | None = None) -> np.ndarray
         low, width, n_out = (int(x) for x in np.frombuffer(segment, dtype="<u4", count=3, offset=at))
         at += 12
         packed = (size * width + 7) // 8
-        bits = np.zeros((size, 32), dtype=np.uint8)
+        bits = np.zeros((size, 16 if width <= 16 else 32), dtype=np.uint8)
         raw = np.frombuffer(segment, dtype=np.uint8, count=packed, offset=at)
         bits[:, :width] = np.unpackbits(raw, count=size * width, bitorder="little").reshape(size, width)
-        rest = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+        rest = np.packbits(bits, axis=1, bitorder="little").view("<u2" if width <= 16 else "<u4").ravel().astype(np.uint32)
         out = np.frombuffer(segment, dtype="<u4", count=2 * n_out, offset=at + packed)
         rest[out[:n_out]] = out[n_out:]
         found.append(rest + np.uint32(low))
@@ -107,11 +105,27 @@ def _uncommon() -> regex.Pattern:
     return regex.compile(f"[^{listed}\u4e00-\u9fa5\uac00-\ud7a3]")
 
 
+@cache
+def _plain_bytes() -> bytes:
+    """The characters up to U+00FF that are not uncommon, one byte each."""
+    return bytes(c for c in range(256) if not _uncommon().search(chr(c)))
+
+
+def _is_common(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, _plain_bytes())
+    except UnicodeEncodeError:
+        return _uncommon().search(text) is None
+
+
 class ByteEncoder:
-    """The ids that a byte-level ``tokenizers`` file gives, each distinct piece encoded once.
+    """The ids that a byte-level ``tokenizers`` file gives, common words encoded once.
 
-    A text with a special token's string, or with characters that libraries may class
-    differently, goes through the library whole.
+    The library cuts a text into pieces that are encoded on their own, and it always cuts
+    before a space that something visible follows. So a text is looked up by the words
+    between such spaces, and the library gets the words that are new, in one text with
+    a special token between them, which it never merges over. A text with a special token's string,
+    or with characters that libraries may class differently, goes through the library whole.
     """
 
     def __init__(self, path: str):
@@ -119,20 +133,33 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
-        self.cut = regex.compile(CUT)
-        self.pieces = PieceCache(self._encode)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        special = {i: t.content for i, t in self.library.get_added_tokens_decoder().items() if t.special}
+        if not special:
+            raise ValueError("a tokenizer without special tokens has none to put between words")
+        self.between = next(iter(special.items()))
+        self.special = regex.compile("|".join(map(regex.escape, special.values())))
+        self.odd_space = regex.compile(r" (?=\s|\Z)")
+        self.words = PieceCache(self._words, pieces=600_000, ids=6_000_000)
+
+    def _library(self, text: str) -> np.ndarray:
+        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype=np.uint32)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word with a space before it has, and the ids."""
+        number, mark = self.between
+        found = self._library(" " + f"{mark} ".join(words))
+        ends = np.append(np.flatnonzero(found == number), len(found))
+        return np.diff(ends, prepend=-1) - 1, found[found != number]
 
     def ids(self, text: str) -> np.ndarray:
-        if self.special.search(text) or _uncommon().search(text):
-            return np.array(self._encode([text])[0], dtype=np.uint32)
-        if len(text) < 1 << 20:
-            return self.pieces.ids(self.cut.findall(text))
-        return self.pieces.ids(m.group() for m in self.cut.finditer(text))
+        if self.special.search(text) or not _is_common(text):
+            return self._library(text)
+        if self.odd_space.search(text):
+            first, *words = regex.split(r" (?=\S)", text)
+        else:
+            first, *words = text.split(" ")
+        return np.concatenate([self._library(first), self.words.ids(words)])
 
 
 @cache
