@@ -73,6 +73,39 @@ def test_overlapping_and_broken_phrases(spark):
     assert result == {k: slow(t) for k, t in rows} and result[1][1:4] == (3, 0, 4)
 
 
+def whole_text(text: str, threshold=S.THRESHOLD) -> str:
+    """The labels of ``slow``, and of templates in 80 words that follow one another over line breaks."""
+    words = WORDS.findall(text.lower().encode())
+    blocks = [set(words[k : k + 80]) for k in range(0, max(1, len(words) - 40), 40)]
+    sets = [(label, set(WORDS.findall(t.lower().encode()))) for label, t in S.TEMPLATES]
+    wrapped = {label for label, t in sets for b in blocks if len(t & b) / len(t) >= threshold - 1e-9}
+    return ",".join(sorted(wrapped | {label for label in slow(text, threshold=threshold)[5].split(",") if label}))
+
+
+@pytest.mark.parametrize("width", [3, 7, 12])
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_notices_wrapped_over_lines(spark, width, mark):
+    def wrapped(words):
+        return "\n".join(mark + " ".join(words[k : k + width]) for k in range(0, len(words), width))
+
+    rng = random.Random(3)
+    rows, labels = [], []
+    for k, (label, template) in enumerate(S.TEMPLATES):
+        before, after = ([f"w{rng.randint(0, 50)}" for _ in range(rng.choice([0, 5, 39, 200]))] for _ in range(2))
+        rows.append((k, wrapped([*before, *template.split(), *after])))
+        labels.append(label)
+    found_labels = {r.doc_id: r.labels for r in S.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found_labels == {k: whole_text(t) for k, t in rows}
+    assert all(label in found_labels[k].split(",") for k, label in enumerate(labels))
+
+
+def test_words_far_apart_are_no_notice(spark):
+    first, second = S.TEMPLATES[3][1].split()[:11], S.TEMPLATES[3][1].split()[11:]
+    text = "\n".join([" ".join(first), *["some other line"] * 40, " ".join(second)])
+    (row,) = S.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row.labels == whole_text(text) == ""
+
+
 def test_odd_rows(odd, nothing):
     rows = S.scan_licenses(odd).collect()
     assert sorted(map(found, rows), key=repr) == sorted((slow(t) for _, t, _ in ODD_ROWS), key=repr)

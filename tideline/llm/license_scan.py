@@ -44,7 +44,7 @@ TEMPLATES = [
 
 #: The share of a template's distinct words that a block must have.
 THRESHOLD = 0.9
-#: A block is a line; of a longer line, each stretch of this many words, half a stretch apart.
+#: A block is a line, and each stretch of this many words of a longer line or of the whole text, half a stretch apart.
 BLOCK_WORDS = 80
 
 _WORD_BYTES = bytes(
@@ -57,15 +57,20 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def _blocks(text: bytes) -> Iterator[list[bytes]]:
-    for line in text.split(b"\n"):
-        words = words_of(line)
-        if len(words) <= BLOCK_WORDS:
-            yield words
-        else:
-            step = BLOCK_WORDS // 2
-            for start in range(0, len(words) - step, step):
-                yield words[start : start + BLOCK_WORDS]
+def _stretches(words: list[bytes]) -> Iterator[list[bytes]]:
+    step = BLOCK_WORDS // 2
+    for start in range(0, max(1, len(words) - step), step):
+        yield words[start : start + BLOCK_WORDS]
+
+
+def _blocks(text: bytes, words: list[bytes]) -> Iterator[list[bytes]]:
+    """The lines of a text, and its ``words`` across line breaks, as notices are wrapped."""
+    lines = text.split(b"\n")
+    for line in lines:
+        of_line = words_of(line)
+        yield from [of_line] if len(of_line) <= BLOCK_WORDS else _stretches(of_line)
+    if len(lines) > 1:
+        yield from _stretches(words)
 
 
 def _places(words: list[bytes], phrase: bytes) -> list[int]:
@@ -134,7 +139,7 @@ def scan_licenses(
     ``n_base`` counts the places of ``PHRASES``; first and last are the smallest and
     largest word they start at, NULL if there are none. ``notices`` lists the templates found as
     (label, containment): each whose distinct words are in one block of the text to
-    ``threshold`` or more. ``labels`` has the phrases' labels and the templates'. ``score`` is 1 where a phrase stands,
+    ``threshold`` or more. Blocks are lines, and stretches of ``BLOCK_WORDS`` words that run over line breaks. ``labels`` has the phrases' labels and the templates'. ``score`` is 1 where a phrase stands,
     else the largest containment found, else 0.
 
     The join is exact. Words are ordered by how often the corpus has them. A block and a
@@ -164,7 +169,7 @@ def scan_licenses(
                         places += found
                         base.append(label)
                 if not starters.isdisjoint(words):
-                    for block in _blocks(text):
+                    for block in _blocks(text, words):
                         ranks = sorted({rank[w] for w in block if w in rank})
                         if len(ranks) >= least and not starters.isdisjoint(block):
                             blocks.append(ranks)
