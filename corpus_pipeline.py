@@ -30,10 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of each row."""
-    return piece_encoding.encode_pieces(
-        docs, public_tokenizers.path("piece_bpe_32k.model"), outputs=("n_tokens", "ids")
-    )
+    """``doc_id, n_tokens, ids, first_byte, end_byte, decoded`` of each row."""
+    return piece_encoding.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [

@@ -37,3 +37,20 @@ def test_stages_against_the_operators(spark, sf_dir):
 
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((r.doc_id, r.ids) for r in rows) == want
+
+
+def test_last_stage_places_and_decodes_every_piece(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rows = dict(corpus_pipeline.STAGES)["SentencePiece encoding"](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        text = texts[r.doc_id]
+        assert r.decoded == library.decode(r.ids) == text
+        assert r.n_tokens == len(r.ids) == len(r.first_byte) == len(r.end_byte)
+        assert b"".join(text.encode()[a:b] for a, b in zip(r.first_byte, r.end_byte, strict=True)) == text.encode()
+        for k, a, b in zip(r.ids, r.first_byte, r.end_byte, strict=True):
+            if not library.is_byte(k) and not library.is_control(k):
+                shown = library.id_to_piece(k).replace("▁", " ")
+                assert text.encode()[a:b].decode().replace("▁", " ") in (shown, shown[1:])
