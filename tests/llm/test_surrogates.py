@@ -69,6 +69,32 @@ def test_numbers_with_marks_between_their_parts(spark):
     assert a.replace("!!", "") == b and a.count("!!") == 3
 
 
+def test_names_without_a_form_of_address_later_on(spark):
+    text = "Mr John Smith came. John Smith's car: Smith, John\nand Mrs. Ann Smith-Jones's; Ann Smith-Jones, Smithson, Ann."
+    other, (new, alone) = "John Smith and Smith-Jones", replaced(spark, [text, "John Smith and Smith-Jones"])
+    shape = re.fullmatch(
+        r"Mr (\w+) (\w+) came\. (\w+) (\w+)'s car: (\w+), (\w+)\nand Mrs\. (\w+) (\w+)'s; (\w+) (\w+), Smithson, (\w+)\.", new
+    )
+    assert shape, new
+    g = shape.groups()
+    assert g[0] == g[2] == g[5] != "John" and g[1] == g[3] == g[4] != "Smith"
+    assert g[6] == g[8] == g[10] != "Ann" and g[7] == g[9] not in ("Smith-Jones", g[1])
+    assert alone == other
+
+
+def test_report_counts_later_mentions(spark):
+    docs = spark.createDataFrame([(1, "Dr. Jones, then Jones at 10.20.30.40")], "doc_id long, text string")
+    (row,) = S.replace_entities(docs, SECRET, report="report").collect()
+    assert "Jones" not in row.text and {r.kind: r.entities for r in row.report} == {"name": 2, "ip": 1}
+
+
+def test_phones_with_spaces_and_of_ten_digits(spark):
+    (new,) = replaced(spark, ["call 555 123 4567, 5551234567, 555 1234567 or 55512345678 and 555123456"])
+    shape = re.fullmatch(r"call (\d{3} \d{3} \d{4}), (\d{10}), (\d{3} \d{7}) or 55512345678 and 555123456", new)
+    assert shape, new
+    assert len({x.replace(" ", "") for x in shape.groups()}) == 1 and shape[2] != "5551234567"
+
+
 def test_near_misses_stay(spark):
     texts = ["version 1.2.3 of 2024-01-02, 12,345.67 and 555", "a@b is no address, Mr. x neither", "ab1.2.3.4cd 999.1.1.1", ""]
     assert replaced(spark, texts) == texts

@@ -17,14 +17,16 @@ KINDS = {
     "secret": r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,}|[0-9A-F]{32,}",
     "ip": r"(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)",
     "phone": (
-        r"(?:\+\d{1,3}[^\p{L}\p{N}]{0,5})?(?:\(\d{2,4}\)[^\p{L}\p{N}]{0,5}|\d{3}[.-])\d{3}[ .-]?\d{4}"
+        r"(?:\+\d{1,3}[^\p{L}\p{N}]{0,5})?(?:\(\d{2,4}\)[^\p{L}\p{N}]{0,5}|\d{3}[ .-])\d{3}[ .-]?\d{4}"
+        r"|\d{10}"
         r"|\+\d{1,3}(?:[ .-]?\d{1,4}){3,5}"
     ),
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "card": r"\d{4}(?:[ -]\d{4}){3}|\d{13,19}",
     "name": (
         r"(?:Mrs|Mr|Ms|Miss|Dr|Prof|Herr|Frau|Señora|Señor|Sra|Sr|Monsieur|Madame|Mme|г-жа|г-н|госпожа|господин)"
-        r"\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"
+        # A mark stands between letters, so that a name and its genitive are one.
+        r"\.? \p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))+(?: \p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))+)?"
     ),
 }
 _BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
@@ -196,6 +198,25 @@ def _formatted(entity: Column, kind: Column, forms: Column) -> Column:
     )
 
 
+def _other_names(words: Column, forms: Column) -> Column:
+    """(old, rank, new) for what else a person of a name's ``words`` may be called in the document, and the surrogates."""
+
+    def called(old: Column, rank: int, new: Column) -> Column:
+        return F.struct(old.alias("old"), F.lit(rank).alias("rank"), new.alias("new"))
+
+    family = F.array(called(F.element_at(words, -1), 1, F.element_at(forms, -1)))
+    full = called(F.array_join(words, " "), 0, F.array_join(forms, " "))
+    given = called(F.get(words, F.lit(0)), 2, F.get(forms, F.lit(0)))
+    return F.when(F.size(words) > 1, F.concat(F.array(full, given), family)).otherwise(family)
+
+
+def _one_each(names: Column) -> Column:
+    """The first of the (old, rank, new) of each old name, longer names first."""
+    listed = F.array_sort(F.array_distinct(F.flatten(names)))
+    first = F.filter(listed, lambda x, i: (i == 0) | (F.get(listed, i - 1)["old"] != x["old"]))
+    return F.array_sort(first, lambda a, b: F.length(b["old"]) - F.length(a["old"]))
+
+
 def assign_surrogates(plain_forms: DataFrame, secret: str) -> DataFrame:
     """``(kind, plain, form)``: a surrogate for each of the distinct ``plain_forms (kind, plain)``.
 
@@ -234,7 +255,8 @@ def replace_entities(
     Equal entities get equal surrogates in all documents, also where they are written
     in different ways: numbers are looked up by their digits, emails in lower case, and given and family names
     each on their own, so that Mr A B and Mr B stay one family. Names keep the form of address, its gender and
-    the script; numbers keep their punctuation.
+    the script; numbers keep their punctuation. Names are found by a form of address; the full, family and given
+    names of those found are replaced in all the document, with and without one.
 
     ``report`` names a column for the list of (kind, entities) counts. NULL and blank
     texts, and texts without entities, stay as they are (with an empty list). Repeated rows and NULL ids give a row
@@ -254,12 +276,42 @@ def replace_entities(
     looked_up = (
         parts.join(forms, ["kind", "plain"])
         .groupBy("_id", "_body", "entity", "whole")
-        .agg(F.sort_array(F.collect_set(F.struct("at", "form"))).alias("forms"))
+        .agg(F.sort_array(F.collect_set(F.struct("at", "form", "plain"))).alias("forms"))
+    )
+    replaced = looked_up.select(
+        "_id",
+        "_body",
+        "entity",
+        _formatted(F.col("entity"), F.col("whole"), F.col("forms.form")).alias("new"),
+        F.when(F.col("whole") == "name", _other_names(F.col("forms.plain"), F.col("forms.form"))).alias("names"),
+    )
+    maps = replaced.groupBy("_id", "_body").agg(
+        F.map_from_entries(F.collect_list(F.struct("entity", "new"))).alias("_map"), _one_each(F.collect_list("names")).alias("_names")
+    )
+    maps = maps.select(
+        "_id",
+        "_body",
+        "_map",
+        F.map_from_arrays(F.col("_names.old"), F.col("_names.new")).alias("_names"),
+        F.when(
+            F.size("_names") > 0, F.concat(F.lit(f"{_BEFORE}(?:"), F.array_join("_names.old", "|"), F.lit(f"){_AFTER}"))
+        ).alias("_calls"),
     )
-    replaced = looked_up.select("_id", "_body", "whole", "entity", _formatted(F.col("entity"), F.col("whole"), F.col("forms.form")).alias("new"))
-    maps = replaced.groupBy("_id", "_body").agg(F.map_from_entries(F.collect_list(F.struct("entity", "new"))).alias("_map"))
     text = F.col(f"d.{text_col}")
-    pieces = F.split(text, PATTERN, -1)
+    calls = F.col("m._calls")
+
+    def renamed(piece: Column) -> Column:
+        """What stands between entities, with surrogates for the names that the document's people go by."""
+        called = F.concat(F.regexp_extract_all(piece, calls, F.lit(0)), F.array(F.lit("")))
+        return F.array_join(
+            F.zip_with(
+                F.split(piece, calls, -1), called, lambda p, e: F.concat(p, F.coalesce(F.element_at(F.col("m._names"), e), F.lit("")))
+            ),
+            "",
+        )
+
+    between = F.split(text, PATTERN, -1)
+    pieces = F.when(calls.isNotNull(), F.transform(between, renamed)).otherwise(between)
     mentioned = F.concat(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.array(F.lit("")))
     new = F.array_join(
         F.zip_with(pieces, mentioned, lambda p, e: F.concat(p, F.coalesce(F.element_at(F.col("m._map"), e), F.lit("")))), ""
@@ -275,7 +327,9 @@ def replace_entities(
     ]
     if report:
         names = list(KINDS)
-        kinds = F.transform(F.filter(mentioned, lambda e: e != ""), kind_of)
+        called = F.flatten(F.transform(between, lambda p: F.regexp_extract_all(p, calls, F.lit(0))))
+        called = F.when(calls.isNotNull(), F.transform(called, lambda _: F.lit("name"))).otherwise(F.array().cast("array<string>"))
+        kinds = F.concat(F.transform(F.filter(mentioned, lambda e: e != ""), kind_of), called)
         counted = F.filter(
             F.transform(
                 F.array(*[F.lit(k) for k in names]),
