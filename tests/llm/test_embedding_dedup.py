@@ -56,6 +56,27 @@ def test_hot_lists_are_dealt_out(spark, monkeypatch):
     assert found(S.near_vectors(df)) == slow(ids, vectors.astype(np.float64))
 
 
+@pytest.mark.parametrize("margin", [0.02, 0.1])
+def test_both_ends_count_a_link(spark, margin):
+    rng = np.random.default_rng(8)
+    units = rng.normal(size=(2000, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    aside = rng.normal(size=units.shape)
+    aside -= (aside * units).sum(axis=1, keepdims=True) * units
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    near = 0.91 * units + np.sqrt(1 - 0.91**2) * aside
+    # The first of every other pair has three rows.
+    rows = [(k, n, v.tolist()) for k in range(2000) for v, n in [(units[k], 1 + k % 2 * 2), (near[k], 1)]]
+    rows = [(2 * k + (j % 2), v) for j, (k, n, v) in enumerate(rows) for _ in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in S.near_vectors(df, margin=margin).collect():
+        got.setdefault(r.vec_id, set()).add(r.n_links)
+    ends = {(got[2 * k].pop(), got[2 * k + 1].pop()) for k in range(0, 2000, 2)}
+    assert ends == {(0, 0), (1, 1)}
+    assert {(got[2 * k].pop(), got[2 * k + 1].pop()) for k in range(1, 2000, 2)} == {(2, 0), (3, 3)}
+
+
 def test_codes_and_errors():
     units = clustered(3, 50, 20, 0.3).astype(np.float64)
     units /= np.linalg.norm(units, axis=1, keepdims=True)

@@ -210,9 +210,10 @@ def _links(entries: DataFrame, index: Index, dimension: int, threshold: float, m
         "vector",
         "codes",
         "error",
+        "probes",
     )
     queries = (
-        placed.select("node", "vector", F.explode("probes").alias("list"))
+        placed.select("node", "rows", "vector", "own", F.explode("probes").alias("list"))
         .join(dealt, "list")
         .select(
             "list",
@@ -220,6 +221,8 @@ def _links(entries: DataFrame, index: Index, dimension: int, threshold: float, m
             F.pmod(F.xxhash64("node"), "chunks").alias("chunk"),
             F.col("node").alias("asking"),
             F.col("vector").alias("asked"),
+            F.col("rows").alias("asking_rows"),
+            F.col("own").alias("asking_list"),
         )
     )
 
@@ -254,12 +257,17 @@ def _compare(members: pa.Table, queries: pa.Table, index: Index, dimension: int,
         exact = np.einsum("ij,ij->i", theirs[q], ours[r]) >= threshold
         pairs.append((q[exact & (asking[q] != nodes[r])], r[exact & (asking[q] != nodes[r])]))
     q, r = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    counts = np.bincount(q, rows[r], minlength=len(asking)).astype(np.int64)
+    # A member that does not probe the asking vector's list counts it here, as it never asks for it.
+    probes = members.column("probes").combine_chunks()
+    lists = len(index.centroids)
+    asks = np.repeat(np.arange(len(nodes)), probes.value_lengths().to_numpy()) * lists + probes.flatten().to_numpy()
+    owed = ~np.isin(r * lists + queries.column("asking_list").to_numpy()[q], asks)
+    asking_rows = queries.column("asking_rows").to_numpy()
     names, at = np.unique(np.concatenate([asking[q], nodes[r]]), return_inverse=True)
     root = names[_roots(len(names), at[: len(q)], at[len(q) :])]
-    n = np.zeros(len(names), dtype=np.int64)
-    linked = np.flatnonzero(counts)
-    n[np.searchsorted(names, asking[linked])] = counts[linked]
+    n = np.bincount(at[: len(q)], rows[r], minlength=len(names))
+    n += np.bincount(at[len(q) :][owed], asking_rows[q][owed], minlength=len(names))
+    n = n.astype(np.int64)
     return pa.table({"node": names, "n": n, "root": root})
 
 
