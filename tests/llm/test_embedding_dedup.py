@@ -77,6 +77,17 @@ def test_both_ends_count_a_link(spark, margin):
     assert {(got[2 * k].pop(), got[2 * k + 1].pop()) for k in range(1, 2000, 2)} == {(2, 0), (3, 3)}
 
 
+def test_each_number_of_components_is_searched(spark):
+    tables = [clustered(9, 30, 4, 0.2), clustered(10, 20, 4, 0.2, 32), clustered(11, 10, 4, 0.2, 16)]
+    rows, want = [], {}
+    for start, vectors in zip((0, 1000, 2000), tables, strict=True):
+        ids = list(range(start, start + len(vectors)))
+        rows += [(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)]
+        want |= slow(ids, vectors.astype(np.float64))
+    assert found(S.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))) == want
+    assert all(any(want[i][0] for i in want if i // 1000 == k) for k in range(3))
+
+
 def test_codes_and_errors():
     units = clustered(3, 50, 20, 0.3).astype(np.float64)
     units /= np.linalg.norm(units, axis=1, keepdims=True)

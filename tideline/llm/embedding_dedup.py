@@ -120,24 +120,27 @@ def near_vectors(
     are many are dealt to several groups, and a group gives sums and a tree of its
     links, never its pairs.
 
-    Vectors that are NULL, empty, zero, or hold NULL or non-finite components link with nothing, and so do those
-    that have not the number of components that most vectors have. A NULL id takes part and is never a component id
-    unless the row is on its own. Repeated rows are vectors of their own. An empty table gives no rows.
+    Vectors of each number of components have an index of their own and link among themselves. Vectors that are
+    NULL, empty, zero, or hold NULL or non-finite components link with nothing. A NULL id takes part and is never a
+    component id unless the row is on its own. Repeated rows are vectors of their own. An empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"))
     usable = rows.where(is_usable(F.col("vector")))
-    sizes = usable.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"))
-    common = sizes.orderBy(F.desc("n"), "d").first()
-    dimension = common["d"] if common else 0
-    usable = usable.where(F.size("vector") == dimension)
+    sizes = sorted(r["d"] for r in usable.select(F.size("vector").alias("d")).distinct().collect())
+    found = _alone(rows.where(~is_usable(F.col("vector"))))
+    for dimension in sizes:
+        found = _near(usable.where(F.size("vector") == dimension), dimension, threshold, margin).unionByName(found)
+    return found
+
+
+def _near(usable: DataFrame, dimension: int, threshold: float, margin: float) -> DataFrame:
+    """``near_vectors`` of ``usable (vec_id, vector)``, which have ``dimension`` components each."""
     entries = materialise(
         usable.groupBy("vector")
         .agg(F.min("vec_id").alias("head"), F.count("*").alias("rows"))
         .withColumn("node", F.monotonically_increasing_id()),
         "vectors",
     )
-    if not common:
-        return _alone(rows)
     sample = entries.orderBy(F.xxhash64("vector"), "head").limit(MAX_SAMPLE).select("vector").toArrow()
     lists = min(MAX_LISTS, int(entries.count() ** 0.5))
     index = fit_index(_units(sample.column("vector").combine_chunks(), dimension), lists)
@@ -158,8 +161,7 @@ def near_vectors(
     )
     labelled = entries.select("node", "vector").join(labels, "node").drop("node")
     known = usable.join(labelled, "vector").select("vec_id", "n_links", "component_id")
-    rest = rows.where(~(is_usable(F.col("vector")) & (F.size("vector") == dimension)))
-    return known.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))).unionByName(_alone(rest))
+    return known.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def _alone(rows: DataFrame) -> DataFrame:
