@@ -74,6 +74,29 @@ def test_odd_rows(spark, odd, nothing):
     assert S.near_duplicates(nothing).count() == 0
 
 
+def near_texts() -> tuple[str, str]:
+    """Two texts with fingerprints that differ in one or two bits."""
+    words = [f"w{k * k % 997}" for k in range(900)]
+    first = " ".join(words)
+    for k in range(len(words)):
+        other = " ".join([*words[:k], "other", *words[k + 1 :]])
+        if 0 < (slow_fingerprint(first.encode()) ^ slow_fingerprint(other.encode())).bit_count() <= 2:
+            return first, other
+    raise AssertionError("no such texts")
+
+
+def test_one_row_of_a_group_with_repeated_or_no_ids(spark):
+    first, second = near_texts()
+    schema = "doc_id long, text string, source string"
+    rows = [(3, first, "a"), (3, second, "a"), (3, second, "b"), (4, first, "a"), (None, second, "a")]
+    (kept,) = S.one_of_each_group(spark.createDataFrame(rows, schema)).collect()
+    smaller = min(first, second, key=lambda t: S.fingerprint(t.encode()))
+    assert (kept.doc_id, kept.text, kept.source) == (3, smaller, "a")
+    rows = [(None, first, "a"), (None, first, "a"), (None, first, "b"), (None, second, "a"), (None, "quite another text", "a")]
+    kept = S.one_of_each_group(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.text, r.source) for r in kept) == sorted([(smaller, "a"), ("quite another text", "a")])
+
+
 def test_one_row_of_each_group_stays(odd, nothing):
     kept = S.one_of_each_group(odd)
     assert kept.columns == odd.columns

@@ -110,31 +110,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other. Repeated rows give a row each, with the same values. A NULL id takes part in links and is
     never a component id; a component of NULL ids only has none. An empty table gives no rows.
     """
+    return _labelled(docs, id_col, text_col, radius).drop("root")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, radius: int) -> DataFrame:
+    """``near_duplicates`` with ``root``, which only the documents of one component share."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     prints = materialise(with_fingerprint(texts, keep=["doc_id"]), "fingerprints")
     heads = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("head"))
     roots = materialise(fingerprint_components(heads.select("fingerprint"), radius), "roots")
     named = roots.join(heads, "fingerprint")
     components = named.groupBy("root").agg(F.min("head").alias("component_id"))
-    labels = roots.join(components, "root").select("fingerprint", "component_id")
+    labels = roots.join(components, "root").select("fingerprint", "component_id", "root")
     return prints.join(labels, "fingerprint").select(
-        "doc_id", "fingerprint", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+        "doc_id", "fingerprint", "component_id", "root", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
     )
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2) -> DataFrame:
     """The rows of ``docs`` without near-duplicates, columns as they were.
 
-    Of each component the row with the component's id stays; of rows that share that
-    id and the fingerprint, the first in column order. Rows of a component without any id are all kept.
+    Of each component one row stays: that with the smallest id, then the smallest fingerprint, then the first in
+    column order. Without any id in a component the fingerprint decides.
     """
     columns = docs.columns
     name = "fingerprint"
     while name in columns:
         name += "_"
-    found = near_duplicates(docs, id_col, text_col, radius)
-    stay = found.where(F.col("kept") | F.col("component_id").isNull())
-    stay = stay.select(F.col("doc_id").alias(f"{name}id"), F.col("fingerprint").alias(name)).distinct()
+    # False before true, so that a NULL id comes last.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
+    stay = _labelled(docs, id_col, text_col, radius).groupBy("root").agg(F.min(order).alias("first"))
+    stay = stay.select(F.col("first.doc_id").alias(f"{name}id"), F.col("first.fingerprint").alias(name))
     marked = with_fingerprint(docs, text_col, name)
     kept = marked.alias("d").join(
         stay.alias("s"),
@@ -144,4 +150,4 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     order = [F.col(c) for c, t in docs.dtypes if "map" not in t and "variant" not in t]
     rank = F.row_number().over(Window.partitionBy(id_col, name).orderBy(*order))
     ranked = kept.withColumn(f"{name}rank", rank)
-    return ranked.where((F.col(f"{name}rank") == 1) | F.col(id_col).isNull()).select(*columns)
+    return ranked.where(F.col(f"{name}rank") == 1).select(*columns)
