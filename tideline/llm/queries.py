@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
+    centroid_clusters,
     embedding_dedup,
+    fill_in_middle,
     fingerprints,
     license_scan,
     mixing,
@@ -93,6 +95,52 @@ ORACLES["op5_license_scan"] = (
     "FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN notices USING (doc_id)"
 )
 
+ORACLES["op12_fill_in_middle"] = (
+    "WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents), "
+    "drawn AS (SELECT doc_id, t, length(t) AS n, "
+    + ", ".join(f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    + " FROM docs), cuts AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, "
+    "CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' "
+    "WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn), "
+    "pieces AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cuts), "
+    "outputs AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m "
+    "ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM pieces) "
+    "SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars, "
+    "sha256(o) AS output_sha256, sha256(CASE form WHEN 'plain' THEN o ELSE p || m || s END) AS restored_sha256 FROM outputs"
+)
+
+
+def _clusters_sql(clusters: int, rounds: int, dimensions: int, scale: int) -> str:
+    """Every round as tables of its own: ``c`` the centroids by number, ``n`` each vector's least (distance, number)."""
+    distance = f"list_sum(list_transform(range(1, {dimensions + 1}), lambda i: (u.p[i] - c.p[i]) * (u.p[i] - c.p[i])))::BIGINT"
+    tables = [
+        "v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
+        f"usable AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(e, lambda x: TRY_CAST(floor({scale} * x) AS BIGINT)) AS p "
+        f"FROM v WHERE len(e) = {dimensions} AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "c0 AS MATERIALIZED (SELECT k, p FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), p) - 1 AS k, p "
+        f"FROM usable) WHERE k < {clusters})",
+    ]
+    for r in range(rounds + 1):
+        tables.append(
+            f"n{r} AS MATERIALIZED (SELECT rid, min({{'d': d, 'k': k}}) AS b FROM (SELECT u.rid, c.k, {distance} AS d FROM usable AS u, c{r} AS c) GROUP BY rid)"
+        )
+        if r < rounds:
+            tables.append(
+                f"m{r} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS p FROM (SELECT k, pos, sum(x) AS s, count(*) AS n FROM "
+                f"(SELECT b.k AS k, unnest(p) AS x, generate_subscripts(p, 1) AS pos FROM usable JOIN n{r} USING (rid)) GROUP BY k, pos) GROUP BY k)"
+            )
+            tables.append(f"c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.p, c.p) AS p FROM c{r} AS c LEFT JOIN m{r} AS m ON c.k = m.k)")
+    return (
+        f"WITH {', '.join(tables)} SELECT vec_id, b.k::INTEGER AS cluster, b.d AS distance, (sum(b.d) OVER (PARTITION BY b.k))::BIGINT AS cluster_inertia, "
+        f"(sum(b.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.p, ',')) AS centroid_sha256 "
+        f"FROM usable JOIN n{rounds} USING (rid) JOIN c{rounds} AS c ON c.k = b.k"
+    )
+
+
+ORACLES["op13_centroid_clusters"] = _clusters_sql(
+    centroid_clusters.CLUSTERS, centroid_clusters.ROUNDS, centroid_clusters.DIMENSIONS, centroid_clusters.SCALE
+)
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -158,6 +206,17 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(docs, report="entities").select("doc_id", "text", "entities")
 
 
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digests = ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return fill_in_middle.fill_in_middle(_read(spark, sf_dir, "documents"), outputs=digests)
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.centroid_clusters(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
