@@ -14,6 +14,7 @@ from tideline.llm import (
     embedding_dedup,
     fill_in_middle,
     fingerprints,
+    html_extraction,
     license_scan,
     mixing,
     piece_encoding,
@@ -206,6 +207,11 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(docs, report="entities").select("doc_id", "text", "entities")
 
 
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
