@@ -81,3 +81,39 @@ def test_odd_rows(odd, nothing):
     assert sorted(tuple(r.ids) for r in rows) == want
     assert sorted(r.decoded for r in rows) == sorted(LIBRARY.decode(list(x)) for x in want)
     assert S.encode_pieces(nothing, FILE).count() == 0
+
+
+def test_query_has_the_spans_of_every_piece(spark, sf_dir, documents):
+    rows = {r.doc_id: r.spans_sha256 for r in QUERIES["op7_piece_encoding"](spark, sf_dir).collect()}
+    for d in documents:
+        raw, first, end, at = (d["text"] or "").encode(), [], [], 0
+        for k, i in enumerate(LIBRARY.encode(d["text"] or "", add_bos=True, add_eos=True)):
+            shown = "" if LIBRARY.is_control(i) else LIBRARY.id_to_piece(i).replace("▁", " ")
+            if k == 1:
+                shown = shown.removeprefix(" ")  # the space that is put before every text
+            width = 1 if LIBRARY.is_byte(i) else len(shown.encode())
+            assert LIBRARY.is_byte(i) or raw[at : at + width].decode() == shown
+            first.append(at)
+            at += width
+            end.append(at)
+        assert at == len(raw)
+        assert rows[d["doc_id"]] == hashlib.sha256(np.array(first + end, dtype="<u4").tobytes()).hexdigest()
+
+
+def test_longest_prefix_normalisation_of_whole_documents(documents):
+    for d in documents:
+        text = d["text"] or ""
+        found, origin = MAPPED.normalised(text.encode())
+        assert found.decode() == NORMALISER.normalize(text)
+        assert len(origin) == len(found) + 1 and (np.diff(origin) >= 0).all() and origin[-1] == len(text.encode())
+
+
+def test_one_batch_of_long_texts_is_handed_on_in_parts(spark):
+    text = "some words and é numbers 123, " * 60_000
+    docs = spark.createDataFrame([(k, text) for k in range(6)], "doc_id long, text string").coalesce(1)
+    rows = S.encode_pieces(docs, FILE).collect()
+    want = LIBRARY.encode(text, add_bos=True, add_eos=True)
+    assert sorted(r.doc_id for r in rows) == list(range(6))
+    for r in rows:
+        assert r.ids == want and r.decoded == text and r.n_tokens == len(r.first_byte) == len(r.end_byte)
+        assert r.first_byte[0] == 0 and r.first_byte[1:] == r.end_byte[:-1] and r.end_byte[-1] == len(text.encode())

@@ -116,8 +116,9 @@ class PieceModel:
         if self.by_segment:
             source = np.frombuffer(text, dtype=np.uint8)
             width = np.where(source == 32, len(_SPACE), 1)
-            origin = np.repeat(np.arange(len(text)), width)
-            return _SPACE + text.replace(b" ", _SPACE), np.concatenate([np.zeros(len(_SPACE), dtype=np.int64), origin, [len(text)]])
+            origin = np.repeat(np.arange(len(text), dtype=np.int32), width)
+            ends = np.zeros(len(_SPACE), dtype=np.int32), np.array([len(text)], dtype=np.int32)
+            return _SPACE + text.replace(b" ", _SPACE), np.concatenate([ends[0], origin, ends[1]])
         return self._mapped(text)
 
     def _mapped(self, text: bytes) -> tuple[bytes, np.ndarray]:
@@ -171,14 +172,26 @@ def model(path: str) -> PieceModel:
 
 _OUTPUTS = {
     "n_tokens": ("long", pa.int64()),
-    "ids": ("array<long>", pa.list_(pa.int64())),
-    "first_byte": ("array<long>", pa.list_(pa.int64())),
-    "end_byte": ("array<long>", pa.list_(pa.int64())),
+    "ids": ("array<int>", pa.list_(pa.int32())),
+    "first_byte": ("array<int>", pa.list_(pa.int32())),
+    "end_byte": ("array<int>", pa.list_(pa.int32())),
     "n_bytes": ("long", pa.int64()),
     "decoded": ("string", pa.string()),
     "ids_sha256": ("string", pa.string()),
+    "spans_sha256": ("string", pa.string()),
     "decoded_sha256": ("string", pa.string()),
 }
+#: Bytes of texts whose results are held before they are handed on.
+BATCH_BYTES = 2 << 20
+
+
+def _column(name: str, values: list) -> pa.Array:
+    kind = _OUTPUTS[name][1]
+    if not pa.types.is_list(kind):
+        return pa.array(values, kind)
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *values]).astype(np.int32, copy=False)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def encode_pieces(
@@ -195,38 +208,49 @@ def encode_pieces(
     one another from the first byte to the last (``n_bytes``) but for white space that
     the model's rules drop; pieces of one replaced character share its start.
     ``decoded`` is the library's decoding of the ids. The digests are over little-endian
-    unsigned 32-bit ids, and the decoded text in UTF-8. NULL is encoded as an empty text;
-    repeated rows and NULL ids give a row each; an empty table gives none.
+    unsigned 32-bit ids, all first bytes and then all end bytes in the same form, and the decoded text in UTF-8.
+    NULL is encoded as an empty text; repeated rows and NULL ids give a row each; an empty table gives none.
+
+    A task holds the results of ``BATCH_BYTES`` of text, or of one longer text, at a time.
     """
     unknown = set(outputs) - set(_OUTPUTS)
     if unknown:
         raise ValueError(f"no such outputs: {sorted(unknown)}")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    spanned = {"first_byte", "end_byte", "n_bytes"} & set(outputs)
+    spanned = {"first_byte", "end_byte", "n_bytes", "spans_sha256"} & set(outputs)
     decoding = {"decoded", "decoded_sha256"} & set(outputs)
 
+    def encoded(pieces: PieceModel, text: str) -> dict:
+        ids = pieces.ids(text)
+        made = {"n_tokens": len(ids), "ids": ids}
+        if spanned:
+            made["first_byte"], made["end_byte"] = first, end = pieces.spans(text, ids)
+            made["n_bytes"] = int(end[-1] - first[0])
+            if "spans_sha256" in outputs:
+                made["spans_sha256"] = hashlib.sha256(np.concatenate([first, end]).astype("<u4").tobytes()).hexdigest()
+        if decoding:
+            made["decoded"] = pieces.library.decode(ids.tolist())
+            made["decoded_sha256"] = hashlib.sha256(made["decoded"].encode()).hexdigest()
+        if "ids_sha256" in outputs:
+            made["ids_sha256"] = hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest()
+        return made
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(model_file)
         for batch in batches:
-            found: dict[str, list] = {name: [] for name in _OUTPUTS}
-            for value in batch.column("text"):
-                text = value.as_py() or ""
-                ids = pieces.ids(text)
-                found["n_tokens"].append(len(ids))
-                found["ids"].append(ids)
-                if spanned:
-                    first, end = pieces.spans(text, ids)
-                    found["first_byte"].append(first)
-                    found["end_byte"].append(end)
-                    found["n_bytes"].append(int(end[-1] - first[0]))
-                if decoding:
-                    decoded = pieces.library.decode(ids.tolist())
-                    found["decoded"].append(decoded)
-                    found["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                if "ids_sha256" in outputs:
-                    found["ids_sha256"].append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-            columns = [pa.array(found[name], _OUTPUTS[name][1]) for name in outputs]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *outputs])
+            column, start, held = batch.column("text"), 0, 0
+            found: dict[str, list] = {name: [] for name in outputs}
+            for k in range(len(batch)):
+                text = column[k].as_py() or ""
+                made = encoded(pieces, text)
+                for name, values in found.items():
+                    values.append(made[name])
+                held += len(text)
+                if held >= BATCH_BYTES or k + 1 == len(batch):
+                    ids = batch.column("doc_id").slice(start, k + 1 - start)
+                    yield pa.RecordBatch.from_arrays([ids, *[_column(n, v) for n, v in found.items()]], ["doc_id", *outputs])
+                    found = {name: [] for name in outputs}
+                    start, held = k + 1, 0
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(encode, ", ".join([f"doc_id {kind}", *(f"{n} {_OUTPUTS[n][0]}" for n in outputs)]))

@@ -170,7 +170,7 @@ def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.encode_pieces(
         _read(spark, sf_dir, "documents"),
         public_tokenizers.path("piece_bpe_32k.model"),
-        outputs=("n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"),
+        outputs=("n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", "spans_sha256"),
     )
 
 
