@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -79,6 +79,33 @@ def check_rows(
     )
 
 
+class WriteChecks:
+    """The rules of ``check_rows`` for a table that is written period by period.
+
+    NULLs and rows that break ``rule`` are counted by the write itself, as its rows pass by; only
+    uniqueness takes a scan, of the keys in the periods that were written. Periods that
+    were not written keep what their own write found.
+    """
+
+    def __init__(self, name: str, keys: Sequence[str], not_null: Sequence[str] = (), rule: str | Column | None = None):
+        self.name, self.keys, self.not_null, self.rule = name, list(keys), list(not_null), rule
+        self._seen: Observation | None = None
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        """The same rows, counted by the action that they are written by."""
+        broken = F.lit(False) if self.rule is None else ~(F.expr(self.rule) if isinstance(self.rule, str) else self.rule)
+        nulls = sum((F.count_if(F.col(c).isNull()) for c in self.not_null), F.lit(0).cast("long"))
+        self._seen = Observation()
+        return rows.observe(self._seen, nulls.alias("nulls"), F.count_if(broken).alias("broken"))
+
+    def found(self, written: DataFrame | None) -> list[tuple[str, int]]:
+        """``(rule, violations)`` after the write; ``written`` are the periods it made, None if it made none."""
+        counts = {"nulls": 0, "broken": 0} if self._seen is None else self._seen.get
+        repeated = 0 if written is None else check_unique(written.select(*self.keys), self.keys).count()
+        rows = [(f"{self.name} not null", counts["nulls"]), (f"{self.name} unique", repeated)]
+        return rows + ([(f"{self.name} rule", counts["broken"])] if self.rule is not None else [])
+
+
 def summarise(checks: dict[str, DataFrame]) -> DataFrame:
     """``name, violations, status`` for a set of violation tables, in one query."""
 

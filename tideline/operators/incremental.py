@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import days_before, required, utc, years_before
-from tideline.operators.checks import check_unique
+from tideline.operators.checks import WriteChecks, check_unique
 from tideline.session import discard, materialise
-from tideline.sources.tables import PERIOD_COLUMNS, partition_column, replace_periods
+from tideline.sources.tables import PERIOD_COLUMNS, partition_column, replace_periods, settle_periods, table_periods
 
 # Earlier than any date kept, so it lets every row through.
 BEGINNING = "0001-01-01"
@@ -68,9 +68,23 @@ def newest_date(df: DataFrame, date_col: str) -> DataFrame:
     return df.agg(F.max(date_col).alias("max_date"))
 
 
+def newest_stored_date(spark: SparkSession, table: str, date_col: str) -> dt.date | None:
+    """The newest date of a named table partitioned by period, None if it is empty.
+
+    The catalogue tells the periods, so no file of any but the newest one that has rows is opened.
+    """
+    rows = spark.table(table)
+    period_col = partition_column(rows)
+    for period in reversed(table_periods(spark, table)):
+        newest = rows.where(F.col(period_col) == F.lit(period)).agg(F.max(date_col)).first()[0]
+        if newest is not None:
+            return newest
+    return None
+
+
 def incremental_tail(
     source: DataFrame,
-    target: DataFrame | None,
+    target: DataFrame | str | None,
     date_col: str = "date",
     days: int | None = None,
     years: int | None = None,
@@ -82,10 +96,12 @@ def incremental_tail(
     ``scope="global"`` measures from the newest date of the whole target, so a
     series far behind the others is passed over; ``scope="per_key"`` measures
     from each key's own newest date.  No target, an empty target, or a key the
-    target does not know loads in full.
+    target does not know loads in full.  A target may be given by the name of a
+    partitioned table: then the catalogue tells which period is the newest.
     """
     if target is None:
         return source
+    spark = source.sparkSession
     if (days is None) == (years is None):
         raise ValueError("give either days or years")
 
@@ -93,15 +109,13 @@ def incremental_tail(
         return days_before(newest, days) if years is None else years_before(newest, years)
 
     if scope == "global":
+        if isinstance(target, str):
+            newest = newest_stored_date(spark, target, date_col)
+            return source if newest is None else _from(source, date_col, cutoff(F.lit(newest)))
         beginning = F.lit(BEGINNING).cast("date")
         start = newest_date(target, date_col).select(F.coalesce(cutoff(F.col("max_date")), beginning))
-        tail = source.where(F.col(date_col) >= start.scalar())
-        period_col = partition_column(source)
-        if period_col:
-            # Said on the partition column as well, so older files are not listed or read.
-            first = F.trunc(start.scalar(), PERIOD_COLUMNS[period_col])
-            tail = tail.where(F.col(period_col) >= first)
-        return tail
+        return _from(source, date_col, start.scalar())
+    target = spark.table(target) if isinstance(target, str) else target
     if scope == "per_key":
         if not keys:
             raise ValueError("scope per_key needs keys")
@@ -114,6 +128,15 @@ def incremental_tail(
     raise ValueError(f"unknown scope {scope!r}")
 
 
+def _from(source: DataFrame, date_col: str, start: Column) -> DataFrame:
+    """The rows from a date on."""
+    period_col = partition_column(source)
+    if period_col:
+        # Said on the partition column as well, so older files are not listed or read.
+        source = source.where(F.col(period_col) >= F.trunc(start, PERIOD_COLUMNS[period_col]))
+    return source.where(F.col(date_col) >= start)
+
+
 def merged_view(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target after an upsert: source rows replace or join target rows, none are deleted."""
     kept = target.join(source.select(*keys), list(keys), "left_anti")
@@ -132,6 +155,7 @@ def merge_upsert(
     date_col: str = "date",
     cluster: Sequence[str] = (),
     unique_source: bool = False,
+    checks: WriteChecks | None = None,
 ) -> list[dt.date]:
     """Upsert ``source`` into a partitioned table and return the periods rewritten.
 
@@ -139,15 +163,17 @@ def merge_upsert(
     source rows for one key are an error, checked before anything is written;
     ``unique_source`` skips that for a source whose plan already ensures it.
     ``date_col`` is one of the keys, so a key never moves to another period and
-    only the periods found in the source are read and rewritten.
+    only the periods found in the source are read and rewritten.  ``checks`` counts
+    broken rules in the rows as they are written.
 
     New periods are written beside the old ones, then the catalogue is pointed at
-    them one after the other, and the old files go last: a reader sees each period
-    whole, old or new, and a write that fails leaves the table as it was.  Two writers
-    must not merge into one table at a time.
+    them, and the old files go last: a reader sees each period whole, old or new. A
+    write that fails leaves the table as it was; one that was finished and not pointed at is
+    taken up first by the next merge.  Two writers must not merge into one table at a time.
     """
     if date_col not in keys:
         raise ValueError("the partitioning date must be one of the keys")
+    settle_periods(spark, table)
     target = spark.table(table)
     period_col = partition_column(target)
     period = PERIOD_COLUMNS[period_col]
@@ -164,7 +190,8 @@ def merge_upsert(
         periods = sorted(r[0] for r in staged.select(period_col).distinct().collect())
         if periods:
             touched = target.where(F.col(period_col).isin(periods))
-            replace_periods(merged_view(touched, staged, keys), table, periods, cluster)
+            rows = merged_view(touched, staged, keys)
+            replace_periods(rows if checks is None else checks.watch(rows), table, periods, cluster)
     finally:
         discard(staged)
     return periods

@@ -5,13 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators.checks import check_freshness, check_rows, summarise
+from tideline.operators.checks import WriteChecks, check_freshness, check_rows, summarise
 from tideline.operators.incremental import incremental_tail, merge_upsert, with_load_time
 from tideline.plans import models as layer_models
 from tideline.plans.landing import ECONOMIC, RAW_TABLES, WEATHER
@@ -19,9 +18,11 @@ from tideline.sources.tables import (
     LAYERS,
     ensure_table,
     layer_table_name,
+    partition_column,
     ref,
     view_name,
 )
+from tideline.sources.watermarks import kept_watermarks
 
 # The spread may only be there when both yields are.
 SPREAD_RULE = (
@@ -116,7 +117,8 @@ class CheckFailed(RuntimeError):
 
 def create_raw_tables(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
     for raw in RAW_TABLES.values():
-        ensure_table(spark, layer_table_name("raw", raw.name, prefix), raw.schema, "month", root=root)
+        name = layer_table_name("raw", raw.name, prefix)
+        ensure_table(spark, name, raw.schema, "month", root=root, watermark_keys=[raw.key])
 
 
 def model_rows(spark: SparkSession, layer: str, name: str, prefix: str = "") -> DataFrame:
@@ -134,6 +136,7 @@ def build_model(
     now: dt.datetime | None = None,
     scope: str = "global",
     root: str | None = None,
+    checks: WriteChecks | None = None,
 ) -> list[dt.date]:
     """Build one model: a session view, or the merge of its trailing window. Returns periods rewritten."""
     name = layer_table_name(model.layer, model.name, prefix)
@@ -145,26 +148,34 @@ def build_model(
     fields = [T.StructField(c, types[c]) for c in model.columns]
     schema = T.StructType([*fields, T.StructField("_loaded_at", T.TimestampType())])
     ensure_table(spark, name, schema, model.period, root=root)
-    # A one-column key has no other series to lag behind.
-    by_key = [k for k in model.keys if k != "date"]
-    tail = incremental_tail(
-        rows,
-        spark.table(name),
-        days=model.days,
-        years=model.years,
-        scope=scope if by_key else "global",
-        keys=by_key,
-    )
+    tail = _tail(model, rows, name, scope)
     # Ranked or grouped by the same keys further down, so the tail is unique.
     return merge_upsert(
-        spark, name, with_load_time(tail, now), model.keys, cluster=model.cluster, unique_source=True
+        spark, name, with_load_time(tail, now), model.keys, cluster=model.cluster, unique_source=True, checks=checks
+    )
+
+
+def _tail(model: Model, rows: DataFrame, target: str | None, scope: str) -> DataFrame:
+    """The trailing window of ``rows`` that a table model takes."""
+    # A one-column key has no other series to lag behind.
+    by_key = [k for k in model.keys if k != "date"]
+    return incremental_tail(
+        rows, target, days=model.days, years=model.years, scope=scope if by_key else "global", keys=by_key
     )
 
 
-def model_checks(spark: SparkSession, model: Model, prefix: str = "") -> DataFrame:
-    """``name, violations, status`` of the rules declared for a model."""
+def model_checks(spark: SparkSession, model: Model, prefix: str = "", scope: str | None = None) -> DataFrame:
+    """``name, violations, status`` of the rules declared for a model.
+
+    Of a view, ``scope`` leaves only the trailing window that the table above it takes; without it
+    the whole model is read.
+    """
     rows = model_rows(spark, model.layer, model.name, prefix)
     name = layer_table_name(model.layer, model.name, prefix)
+    above = next((m for m in MODELS if m.is_table and m.reads == (model.layer, model.name)), None)
+    if scope and above and not model.is_table:
+        target = layer_table_name(above.layer, above.name, prefix)
+        rows = _tail(above, rows, target if spark.catalog.tableExists(target) else None, scope)
     return check_rows(rows, name, model.keys, model.not_null, model.rule)
 
 
@@ -179,11 +190,14 @@ def run_layers(
     scope: str = "global",
     root: str | None = None,
     land: Sequence[Callable[[SparkSession], None]] = (),
+    gated: list[tuple[str, int]] | None = None,
 ) -> dict[str, list[dt.date]]:
     """Land new rows, then build the layers one after the other for the chosen sources or models.
 
     Returns the periods rewritten for each table.  With ``gate`` the raw tables'
-    freshness and every layer's rules are checked before the next layer is built.
+    freshness and every layer's rules are checked before the next layer is built: a table's
+    by the write that makes its periods, a view's over the window that the table above it
+    will take. ``gated`` takes the (rule, violations) that the gate saw.
     """
     chosen = [
         m
@@ -193,17 +207,26 @@ def run_layers(
     create_raw_tables(spark, prefix, root)
     for step in land:
         step(spark)
+    seen = [] if gated is None else gated
     if gate:
-        _gate(summarise(raw_checks(spark, sources, prefix, now)))
+        _gate(_rows(summarise(raw_checks(spark, sources, prefix, now))), seen)
     rewritten: dict[str, list[dt.date]] = {}
     for layer in [x for x in LAYERS if layers is None or x in layers]:
         built = [m for m in chosen if m.layer == layer]
+        found: list[tuple[str, int]] = []
         for model in built:
-            periods = build_model(spark, model, prefix, now, scope, root)
+            name = layer_table_name(layer, model.name, prefix)
+            checks = WriteChecks(name, model.keys, model.not_null, model.rule) if gate and model.is_table else None
+            periods = build_model(spark, model, prefix, now, scope, root, checks)
             if model.is_table:
-                rewritten[layer_table_name(layer, model.name, prefix)] = periods
-        if gate and built:
-            _gate(reduce(DataFrame.unionByName, [model_checks(spark, model, prefix) for model in built]))
+                rewritten[name] = periods
+            if checks:
+                table = spark.table(name)
+                found += checks.found(table.where(F.col(partition_column(table)).isin(periods)) if periods else None)
+            elif gate:
+                found += _rows(model_checks(spark, model, prefix, scope))
+        if gate:
+            _gate(found, seen)
     return rewritten
 
 
@@ -213,17 +236,22 @@ def raw_checks(
     prefix: str = "",
     now: dt.datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Freshness of the raw tables."""
+    """Freshness of the raw tables, from their kept watermarks."""
     named = {
         layer_table_name("raw", raw.name, prefix): source
         for source, raw in RAW_TABLES.items()
         if sources is None or source in sources
     }
-    return {f"{t} freshness": check_freshness(spark.table(t), "extracted_at", now=now) for t in named}
+    return {f"{t} freshness": check_freshness(kept_watermarks(spark, t), "newest", now=now) for t in named}
 
 
-def _gate(summary: DataFrame) -> None:
+def _rows(summary: DataFrame) -> list[tuple[str, int]]:
     # One row per declared rule comes back, never the violating rows.
-    failed = summary.where(F.col("status") == "fail").collect()
+    return [(r["name"], r["violations"]) for r in summary.collect()]
+
+
+def _gate(found: list[tuple[str, int]], seen: list[tuple[str, int]]) -> None:
+    seen += found
+    failed = [f"{name}: {violations}" for name, violations in found if violations]
     if failed:
-        raise CheckFailed("; ".join(f"{r['name']}: {r['violations']}" for r in failed))
+        raise CheckFailed("; ".join(failed))

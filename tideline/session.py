@@ -97,6 +97,25 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    found, system = _folder(spark, path)
+    system.mkdirs(found)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file that says something by its name."""
+    found, system = _folder(spark, path)
+    system.create(found, True).close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below ``path``; none if it is not there."""
+    found, system = _folder(spark, path)
+    if not system.exists(found):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(found)]
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below ``path``; none if it is not there."""
     found, system = _folder(spark, path)

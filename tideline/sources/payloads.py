@@ -94,8 +94,19 @@ def assembled(
 
     Rows have the key, ``at`` (their place in the set from 0), date, value and extracted_at.
     """
+    return assembled_from(captured_pages(pages, key), key, page_limit, sentinel)
+
+
+def captured_pages(pages: DataFrame, key: Sequence[str] | str) -> DataFrame:
+    """The captures that count, parsed once and written to the shared folder."""
+    return materialise(_captured(pages, [key] if isinstance(key, str) else list(key)), "pages")
+
+
+def assembled_from(
+    captured: DataFrame, key: Sequence[str] | str, page_limit: int = PAGE_LIMIT, sentinel: str = MISSING_VALUE
+) -> tuple[DataFrame, DataFrame]:
+    """``assembled`` over what ``captured_pages`` gave."""
     key = [key] if isinstance(key, str) else list(key)
-    captured = materialise(_captured(pages, key), "pages")
     sets = _sets(captured.drop("observations"), key, page_limit)
     items = captured.select(*key, "page_offset", "extracted_at", F.posexplode("observations").alias("_pos", "_item"))
     rows = items.join(sets.where("complete").select(*key), key, "left_semi").select(

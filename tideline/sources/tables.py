@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import required
-from tideline.session import remove_folder, setting, subfolders, table_root
+from tideline.session import children, discard, make_folder, materialise, remove_folder, setting, subfolders, table_root, touch
+from tideline.sources.watermarks import PROPERTY, begin_append, end_append, watermark_property
 
 # Layers of the pipeline and the database each one belongs to.
 LAYERS = {
@@ -47,11 +48,13 @@ def ensure_table(
     schema: T.StructType,
     period: str | None = None,
     root: str | None = None,
+    watermark_keys: Sequence[str] = (),
 ) -> None:
     """Create a parquet table if there is none, partitioned by month or year of its date.
 
     The files live under ``root``, by default in the warehouse.  A new session
-    finds files already there again.
+    finds files already there again.  With ``watermark_keys`` the table keeps its
+    newest date for each key, and every append brings it up to date.
     """
     if spark.catalog.tableExists(name):
         return
@@ -67,12 +70,13 @@ def ensure_table(
         nothing = spark.createDataFrame([], ", ".join(columns)).write.mode("append")
         nothing.partitionBy(_COLUMN_OF[period]).parquet(location)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}/{database}'")
+    kept = f"TBLPROPERTIES ('{PROPERTY}' = '{watermark_property(watermark_keys)}')" if watermark_keys else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet {layout} "
-        f"LOCATION '{location}'"
+        f"LOCATION '{location}' {kept}"
     )
     if period:
-        _recover(spark, name, _COLUMN_OF[period], location)
+        _recover(spark, name)
 
 
 def source(spark: SparkSession, name: str) -> DataFrame:
@@ -97,10 +101,13 @@ def append_rows(
     date_col: str = "date",
     cluster: Sequence[str] = (),
     max_records_per_file: int | None = None,
+    written: bool = False,
 ) -> None:
     """Append rows as they are, duplicates included; no rows is no change.
 
-    A NULL in a column that ``schema`` declares as required stops the write.
+    A NULL in a column that ``schema`` declares as required stops the write.  A table that keeps
+    watermarks has them brought up to date in the same run, for which the rows are
+    written to the shared folder first unless ``written`` says that ``df`` reads such a folder.
     """
     columns = [
         F.col(f.name).cast(f.dataType)
@@ -108,11 +115,18 @@ def append_rows(
         else required(F.col(f.name).cast(f.dataType), f.name, f.dataType.simpleString())
         for f in schema.fields
     ]
+    spark = df.sparkSession
     rows = df.select(*[c.alias(f.name) for c, f in zip(columns, schema.fields, strict=True)])
-    period_col = partition_column(df.sparkSession.table(table))
-    if period_col:
-        rows = rows.withColumn(period_col, F.trunc(F.col(date_col), PERIOD_COLUMNS[period_col]))
-    insert_rows(rows, table, cluster, max_records_per_file)
+    mark = begin_append(spark, table)
+    staged = None
+    if mark is not None and not written:
+        rows = staged = materialise(rows, "append")
+    period_col = partition_column(spark.table(table))
+    dated = rows.withColumn(period_col, F.trunc(F.col(date_col), PERIOD_COLUMNS[period_col])) if period_col else rows
+    insert_rows(dated, table, cluster, max_records_per_file)
+    end_append(rows, table, mark)
+    if staged is not None:
+        discard(staged)
 
 
 def insert_rows(
@@ -142,47 +156,84 @@ def _laid_out(rows: DataFrame, target: DataFrame, cluster: Sequence[str]) -> Dat
 def replace_periods(rows: DataFrame, table: str, periods: Sequence[dt.date], cluster: Sequence[str] = ()) -> None:
     """Put ``rows``, all rows of ``periods``, in place of what these periods hold.
 
-    They are written to a folder of their own first; then each period is pointed at
-    it in the catalogue, and what it held before is removed.
+    They are written to a folder of their own first, which Spark marks when all of it is
+    there. From then on it counts: the catalogue is pointed at it, here or, if this run does
+    not get that far, by whoever next merges into the table or finds it with a new catalogue. A
+    folder without the mark never counts.
     """
     spark = rows.sparkSession
     target = spark.table(table)
     period_col = partition_column(target)
-    folder = f"{table_location(spark, table)}/{_SWAP}{time.time_ns():020d}-{uuid.uuid4().hex}"
-    _laid_out(rows, target, cluster).write.partitionBy(period_col).parquet(folder)
-    old = []
-    known = set(table_periods(spark, table))
+    location = table_location(spark, table)
+    # After all that are there, also where this clock is behind the one that named them.
+    last = max((int(n[len(_SWAP) :].split("-")[0]) for n in subfolders(spark, location) if n.startswith(_SWAP)), default=0)
+    folder = f"{location}/{_SWAP}{max(time.time_ns(), last + 1):020d}-{uuid.uuid4().hex}"
     for period in periods:
-        if period in known:
-            old.append(_period_location(spark, table, period_col, period))
-        _point(spark, table, period_col, period, f"{folder}/{period_col}={period}")
-    spark.catalog.refreshTable(table)
-    for location in old:
-        remove_folder(spark, location)
+        # So that a period without rows is replaced as well.
+        make_folder(spark, f"{folder}/{period_col}={period}")
+    write = _laid_out(rows, target, cluster).write.mode("append").partitionBy(period_col)
+    write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
+    settle_periods(spark, table)
 
 
 # Folders of replaced periods, in the order in which they were written; Spark passes over such names by itself.
 _SWAP = ".swap-"
+# Marks in them: all is written; the catalogue points at it.
+_WRITTEN, _POINTED = "_SUCCESS", "_POINTED"
 
 
-def _point(spark: SparkSession, table: str, period_col: str, period: dt.date | str, location: str) -> None:
-    part = f"PARTITION (`{period_col}` = DATE '{period}')"
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part}")
-    spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{location}'")
-
+def settle_periods(spark: SparkSession, table: str, everything: bool = False, writer: bool = True) -> None:
+    """Point the catalogue at the replaced periods that are written but not pointed at yet, of one period the last.
 
-def _period_location(spark: SparkSession, table: str, period_col: str, period: dt.date) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (`{period_col}` = DATE '{period}')")
-    return described.where("col_name = 'Location'").first()["data_type"]
+    ``everything`` points at all of them, as a new catalogue needs. A ``writer`` also removes what does not
+    count: folders whose write was never finished, and periods that a later folder holds. Two writers must not
+    be at one table, or one takes the other's folder for a failed one.
+    """
+    period_col = partition_column(spark.table(table))
+    location = table_location(spark, table)
+    names = subfolders(spark, location)
+    newest = {n: f"{location}/{n}" for n in names if n.startswith(f"{period_col}=")}
+    stale: list[str] = []
+    due: set[str] = set()
+    unpointed: list[str] = []
+    for swap in sorted(n for n in names if n.startswith(_SWAP)):
+        inside = children(spark, f"{location}/{swap}")
+        held = [n for n in inside if n.startswith(f"{period_col}=")]
+        if _WRITTEN not in inside or not held:
+            stale.append(f"{location}/{swap}")
+            continue
+        for name in held:
+            if name in newest:
+                stale.append(newest[name])
+            newest[name] = f"{location}/{swap}/{name}"
+        if everything or _POINTED not in inside:
+            due.update(held)
+            unpointed.append(f"{location}/{swap}")
+    if due:
+        _point(spark, table, period_col, {n.split("=", 1)[1]: newest[n] for n in sorted(due)})
+        spark.catalog.refreshTable(table)
+    for folder in unpointed:
+        touch(spark, f"{folder}/{_POINTED}")
+    if writer:
+        for folder in stale:
+            remove_folder(spark, folder)
+
+
+def _point(spark: SparkSession, table: str, period_col: str, locations: dict[str, str]) -> None:
+    """Point the catalogue at the periods' locations: new ones in one statement, each known one in its own."""
+    known = {str(p) for p in table_periods(spark, table)}
+    new = [f"PARTITION (`{period_col}` = DATE '{p}') LOCATION '{at}'" for p, at in locations.items() if p not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+    for period, at in locations.items():
+        if period in known:
+            spark.sql(f"ALTER TABLE {table} PARTITION (`{period_col}` = DATE '{period}') SET LOCATION '{at}'")
 
 
-def _recover(spark: SparkSession, table: str, period_col: str, location: str) -> None:
+def _recover(spark: SparkSession, table: str) -> None:
     """Register the periods that files are there for, of one period the last written."""
     spark.catalog.recoverPartitions(table)
-    for swap in sorted(f for f in subfolders(spark, location) if f.startswith(_SWAP)):
-        for found in subfolders(spark, f"{location}/{swap}"):
-            if found.startswith(f"{period_col}="):
-                _point(spark, table, period_col, found.split("=")[1], f"{location}/{swap}/{found}")
+    settle_periods(spark, table, everything=True, writer=False)
 
 
 def table_periods(spark: SparkSession, table: str) -> list[dt.date]:

@@ -64,19 +64,19 @@ def raw_observations(spark: SparkSession, sf_dir: str, *more: Column) -> DataFra
     )
 
 
-def _list(values: list[str]) -> str:
+def listed(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
 RAW_OBSERVATIONS = (
-    f"raw_obs AS (SELECT {_list(SERIES_IDS)}[1 + l_partkey % {len(SERIES_IDS)}] AS series_id, "
+    f"raw_obs AS (SELECT {listed(SERIES_IDS)}[1 + l_partkey % {len(SERIES_IDS)}] AS series_id, "
     "CAST(l_shipdate AS DATE) AS date, CASE WHEN l_discount > 0 THEN l_extendedprice END AS value, "
     "l_shipdate + to_days(CAST(l_linenumber AS INTEGER)) AS extracted_at FROM lineitem)"
 )
 
 
 RAW_OBSERVATIONS_WITH_LINE = (
-    f"raw_lines AS (SELECT {_list(SERIES_IDS)}[1 + l_partkey % {len(SERIES_IDS)}] AS series_id, "
+    f"raw_lines AS (SELECT {listed(SERIES_IDS)}[1 + l_partkey % {len(SERIES_IDS)}] AS series_id, "
     "CAST(l_shipdate AS DATE) AS date, CASE WHEN l_discount > 0 THEN l_extendedprice END AS value, l_linenumber "
     "FROM lineitem)"
 )
@@ -123,10 +123,10 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _place_sql(position: int) -> str:
     values = [row[position] for row in LOCATIONS]
-    listed = _list(values) if isinstance(values[0], str) else "[" + ", ".join(
+    places = listed(values) if isinstance(values[0], str) else "[" + ", ".join(
         f"CAST({v} AS DOUBLE)" for v in values
     ) + "]"
-    return f"{listed}[1 + o_custkey % {len(LOCATIONS)}]"
+    return f"{places}[1 + o_custkey % {len(LOCATIONS)}]"
 
 
 RAW_WEATHER = (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.operators.ordering import CHUNK, number_rows, split_groups
 from tideline.plans.landing import land_pages, request_plan
 from tideline.plans.layers import create_raw_tables
+from tideline.sources.dimensions import LOCATIONS
 from tideline.sources.payloads import (
     DAILY_VARIABLES,
     PAGE_LIMIT,
@@ -21,6 +22,7 @@ from tideline.sources.payloads import (
     decode_weather,
 )
 from tideline.sources.tables import LOAD_BATCH_ROWS, layer_table_name
+from tideline.sources.watermarks import kept_watermarks
 from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
@@ -176,8 +178,7 @@ def _answers(lines: DataFrame, run: int) -> DataFrame:
     )
 
 
-@query("landing_job", _JOB)
-def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _two_landings(spark: SparkSession, sf_dir: str) -> str:
     """Two runs over all line items: plan the requests, land the pages, plan again from what landed."""
     prefix = f"landing_{uuid.uuid4().hex}_"
     create_raw_tables(spark, prefix)
@@ -188,5 +189,81 @@ def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("start_date").isNull() | (F.col("date") >= F.col("start_date"))
         )
         land_pages(spark, "economic", _answers(asked, run), prefix=prefix, batch_rows=LOAD_BATCH_ROWS)
-    landed = spark.table(layer_table_name("raw", "economic_observations", prefix))
-    return landed.select("series_id", "date", "value", F.col("extracted_at").cast("timestamp_ntz").alias("extracted_at"))
+    return layer_table_name("raw", "economic_observations", prefix)
+
+
+def _plain_times(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@query("landing_job", _JOB)
+def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = spark.table(_two_landings(spark, sf_dir))
+    return _plain_times(landed.select("series_id", "date", "value", "extracted_at"), "extracted_at")
+
+
+@query(
+    "kept_watermarks",
+    f"SELECT series_id, max(date) AS max_date, max(extracted_at) AS newest FROM ({_JOB}) GROUP BY series_id",
+)
+def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the table knows of its keys after both runs, without being read."""
+    return _plain_times(kept_watermarks(spark, _two_landings(spark, sf_dir)), "newest")
+
+
+# Weather twenty years later, so that the days that are asked for by default lie within it. The first run asks
+# from 2015 to six days before it, the second from each location's newest day on.
+_SHIFT = 7305
+_RUNS = (dt.datetime(2018, 6, 15, 12, tzinfo=dt.timezone.utc), dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc))
+_WEATHER_JOB = (
+    f"WITH {inputs.RAW_WEATHER}, later AS (SELECT * EXCLUDE (date, extracted_at), date + {_SHIFT} AS date FROM raw_weather), "
+    "first AS (SELECT *, TIMESTAMP '2018-06-15 12:00:00' AS extracted_at FROM later "
+    "WHERE date BETWEEN DATE '2015-01-01' AND DATE '2018-06-09'), "
+    "marks AS (SELECT location_id, max(date) AS mark FROM first GROUP BY 1), "
+    "second AS (SELECT later.*, TIMESTAMP '2030-01-01' AS extracted_at FROM later LEFT JOIN marks USING (location_id) "
+    "WHERE date >= coalesce(mark, DATE '2015-01-01') AND date <= DATE '2029-12-26')"
+)
+
+
+def _weather_answers(plan: DataFrame, spark: SparkSession, sf_dir: str, now: dt.datetime) -> DataFrame:
+    """A page for each order's day, of the days that were asked for."""
+    rows = inputs.raw_weather(spark, sf_dir).drop("extracted_at").withColumn("date", F.date_add("date", _SHIFT))
+    asked = rows.join(plan.select("location_id", "start_date", "end_date"), "location_id")
+    asked = asked.where(F.col("date").between(F.col("start_date"), F.col("end_date")))
+    block = F.struct(
+        F.array(F.date_format("date", "yyyy-MM-dd")).alias("time"),
+        *[F.array(column).alias(field) for field, column in DAILY_VARIABLES.items()],
+    )
+    payload = F.to_json(F.struct(block.alias("daily"))).alias("payload")
+    return asked.select("location_id", payload, F.lit(now).cast("timestamp").alias("extracted_at"))
+
+
+def _land_weather(spark: SparkSession, sf_dir: str, prefix: str, now: dt.datetime) -> None:
+    plan = request_plan(spark, "weather", prefix, now)
+    land_pages(spark, "weather", _weather_answers(plan, spark, sf_dir, now), prefix=prefix)
+
+
+@query("weather_landing_job", _WEATHER_JOB + " SELECT * FROM first UNION ALL SELECT * FROM second")
+def weather_landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with a fixed clock: the default start, the days the archive lags behind, then from the newest day on."""
+    prefix = f"landing_{uuid.uuid4().hex}_"
+    create_raw_tables(spark, prefix)
+    for now in _RUNS:
+        _land_weather(spark, sf_dir, prefix, now)
+    landed = spark.table(layer_table_name("raw", "daily_weather", prefix))
+    return _plain_times(landed.drop("date_month"), "extracted_at")
+
+
+@query(
+    "weather_request_plan",
+    _WEATHER_JOB + ", places AS (SELECT unnest(" + inputs.listed([row[0] for row in LOCATIONS]) + ") AS location_id) "
+    "SELECT location_id, coalesce(mark, DATE '2015-01-01') AS start_date, DATE '2018-06-07' AS end_date "
+    "FROM places LEFT JOIN marks USING (location_id) WHERE coalesce(mark, DATE '2015-01-01') <= DATE '2018-06-07'",
+)
+def weather_request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan two days before the first run: locations that are ahead of the archive by then have nothing to ask for."""
+    prefix = f"landing_{uuid.uuid4().hex}_"
+    create_raw_tables(spark, prefix)
+    _land_weather(spark, sf_dir, prefix, _RUNS[0])
+    plan = request_plan(spark, "weather", prefix, _RUNS[0] - dt.timedelta(days=2))
+    return plan.select("location_id", "start_date", "end_date")

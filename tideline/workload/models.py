@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 from tideline.operators.checks import check_rows
 from tideline.plans import models
 from tideline.plans.landing import RAW_TABLES
-from tideline.plans.layers import create_raw_tables, model_rows, run_layers
+from tideline.plans.layers import CheckFailed, create_raw_tables, model_rows, run_layers
 from tideline.sources.dimensions import NATIONAL_SERIES
 from tideline.sources.tables import append_rows, layer_table_name
+from tideline.sources.watermarks import kept_watermarks
 from tideline.workload import inputs
 from tideline.workload.catalogue import query
 
@@ -178,3 +180,37 @@ def gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_rows(staged, "stg_warehouses.daily_weather", ["location_id", "date"], ["location_id", "date"]).unionByName(
         check_rows(lines, "lineitem", ["l_orderkey", "l_linenumber"], ["l_tax"], "l_discount < 0.09")
     )
+
+
+# Every rule that the gate looks at on the way from landed weather to the mart, and the freshness of what landed.
+_GATED = (
+    "WITH rules(name) AS (VALUES ('stg_warehouses.daily_weather not null'), ('stg_warehouses.daily_weather unique'), "
+    "('warehouses.daily_weather not null'), ('warehouses.daily_weather unique'), ('stg_marts.weather_metrics not null'), "
+    "('stg_marts.weather_metrics unique'), ('marts.daily_weather not null'), ('marts.daily_weather unique')), "
+    f"{inputs.RAW_WEATHER}, newest AS (SELECT max(extracted_at) AS last_seen FROM raw_weather), "
+    "runs(run, now) AS (SELECT 1, (SELECT max(extracted_at) FROM raw_weather WHERE extracted_at <= "
+    f"{_CUT}) + INTERVAL 1 DAY UNION ALL SELECT 2, last_seen + INTERVAL 8 DAY FROM newest) "
+    "SELECT CAST(run AS INTEGER) AS run, name, CAST(0 AS BIGINT) AS violations FROM runs, rules WHERE run = 1 "
+    "UNION ALL SELECT CAST(run AS INTEGER), 'raw.daily_weather freshness', CAST(CASE WHEN run = 2 THEN 1 ELSE 0 END AS BIGINT) FROM runs"
+)
+
+
+@query("gated_layers", _GATED)
+def gated_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate sees in two runs: the first passes, the second is stopped as what landed is over a week old."""
+    prefix = f"gated_{uuid.uuid4().hex}_"
+    landed = RAW_TABLES["weather"]
+    raw = inputs.raw_weather(spark, sf_dir)
+    table = layer_table_name("raw", landed.name, prefix)
+    early = F.col("extracted_at") <= F.lit(FIRST_RUN).cast("timestamp_ntz")
+    create_raw_tables(spark, prefix)
+    seen: list[tuple[int, str, int]] = []
+    for run, part, days in ((1, early, 1), (2, ~early, 8)):
+        append_rows(raw.where(part), table, landed.schema, cluster=[landed.key])
+        newest = kept_watermarks(spark, table).agg(F.max("newest").cast("string")).first()[0]
+        now = dt.datetime.fromisoformat(newest).replace(tzinfo=dt.timezone.utc) + dt.timedelta(days=days)
+        gated: list[tuple[str, int]] = []
+        with suppress(CheckFailed):
+            run_layers(spark, sources=["weather"], gate=True, now=now, prefix=prefix, gated=gated)
+        seen += [(run, name.replace(f"{prefix}", ""), violations) for name, violations in gated]
+    return spark.createDataFrame(seen, "run int, name string, violations long")

@@ -16,7 +16,7 @@ from tideline.operators.checks import (
     check_unique,
     summarise,
 )
-from tideline.operators.incremental import incremental_tail, merge_upsert, merged_view
+from tideline.operators.incremental import incremental_tail, merge_upsert, merged_view, with_load_time
 from tideline.operators.latest import latest_per_key
 from tideline.operators.report import empty_keys, key_lists, run_report, run_verdict
 from tideline.sources.tables import ensure_table
@@ -100,6 +100,27 @@ def merge_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select(*FACT.fieldNames())
 
 
+LOADED_FACT = T.StructType([*FACT.fields, T.StructField("_loaded_at", T.TimestampType())])
+
+
+@query(
+    "merge_load_time",
+    f"WITH {_SECOND} SELECT *, TIMESTAMP '2024-02-02 06:00:00' AS _loaded_at FROM src UNION ALL "
+    "SELECT *, TIMESTAMP '2024-02-01' AS _loaded_at FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src "
+    "WHERE src.user_id = tgt.user_id AND src.event_type = tgt.event_type AND src.date = tgt.date)",
+)
+def merge_load_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges under a fixed clock: a row bears the time of the merge that wrote it last."""
+    table = f"facts_{uuid.uuid4().hex}.events"
+    ensure_table(spark, table, LOADED_FACT, "month")
+    first, second = (dt.datetime(2024, 2, *at, tzinfo=dt.timezone.utc) for at in ((1,), (2, 6)))
+    merge_upsert(spark, table, with_load_time(_first_load(spark, sf_dir), first), KEYS, unique_source=True)
+    revised = _revised(spark, sf_dir, spark.table(table).select(*FACT.fieldNames()))
+    merge_upsert(spark, table, with_load_time(revised, second), KEYS)
+    rows = spark.table(table)
+    return rows.select(*FACT.fieldNames(), F.col("_loaded_at").cast("timestamp_ntz").alias("_loaded_at"))
+
+
 def _orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(
         "o_orderkey",
