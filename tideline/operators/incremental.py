@@ -12,6 +12,7 @@ from tideline.functions.scalars import days_before, required, utc, years_before
 from tideline.operators.checks import WriteChecks, check_unique
 from tideline.session import discard, materialise
 from tideline.sources.tables import PERIOD_COLUMNS, partition_column, replace_periods, settle_periods, table_periods
+from tideline.sources.watermarks import begin_append, end_append, kept_columns, kept_watermarks
 
 # Earlier than any date kept, so it lets every row through.
 BEGINNING = "0001-01-01"
@@ -90,6 +91,7 @@ def incremental_tail(
     years: int | None = None,
     scope: str = "global",
     keys: Sequence[str] | None = None,
+    source_keys: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of ``source`` from a trailing window before the target's newest date on.
 
@@ -97,7 +99,12 @@ def incremental_tail(
     series far behind the others is passed over; ``scope="per_key"`` measures
     from each key's own newest date.  No target, an empty target, or a key the
     target does not know loads in full.  A target may be given by the name of a
-    partitioned table: then the catalogue tells which period is the newest.
+    partitioned table: then the catalogue tells which period is the newest, and kept
+    watermarks, if the table has them, which dates its keys have.
+
+    With ``per_key``, a source partitioned by period is read from the smallest start of any of its keys
+    on, in full if one of them has no watermark. ``source_keys`` names its keys,
+    all of them, where they are known; otherwise they are found by a scan of their columns.
     """
     if target is None:
         return source
@@ -115,19 +122,32 @@ def incremental_tail(
         beginning = F.lit(BEGINNING).cast("date")
         start = newest_date(target, date_col).select(F.coalesce(cutoff(F.col("max_date")), beginning))
         return _from(source, date_col, start.scalar())
-    target = spark.table(target) if isinstance(target, str) else target
     if scope == "per_key":
         if not keys:
             raise ValueError("scope per_key needs keys")
-        starts = watermarks(target, keys, date_col).withColumn("_start", cutoff(F.col("max_date")))
+        starts = _newest_by_key(spark, target, list(keys), date_col).withColumn("_start", cutoff(F.col("max_date")))
+        starts = starts.select(*keys, "_start")
+        if partition_column(source):
+            known = source.select(*keys).distinct() if source_keys is None else source_keys.select(*keys)
+            beginning = F.lit(BEGINNING).cast("date")
+            first = known.join(starts, list(keys), "left").agg(F.min(F.coalesce("_start", beginning)))
+            source = _from(source, date_col, first.scalar())
         return (
-            source.join(starts.drop("max_date"), list(keys), "left")
+            source.join(starts, list(keys), "left")
             .where(F.col("_start").isNull() | (F.col(date_col) >= F.col("_start")))
             .drop("_start")
         )
     raise ValueError(f"unknown scope {scope!r}")
 
 
+def _newest_by_key(spark: SparkSession, target: DataFrame | str, keys: list[str], date_col: str) -> DataFrame:
+    if isinstance(target, str):
+        if (kept_columns(spark, target) or ([], ""))[:2] == (keys, date_col):
+            return kept_watermarks(spark, target)
+        target = spark.table(target)
+    return watermarks(target, keys, date_col)
+
+
 def _from(source: DataFrame, date_col: str, start: Column) -> DataFrame:
     """The rows from a date on."""
     period_col = partition_column(source)
@@ -191,7 +211,9 @@ def merge_upsert(
         if periods:
             touched = target.where(F.col(period_col).isin(periods))
             rows = merged_view(touched, staged, keys)
+            mark = begin_append(spark, table)
             replace_periods(rows if checks is None else checks.watch(rows), table, periods, cluster)
+            end_append(staged, table, mark)
     finally:
         discard(staged)
     return periods

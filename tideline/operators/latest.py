@@ -23,7 +23,9 @@ def top_n_per_key(
     many tasks, and at most ``SALTS * n`` of its rows meet in one.
     """
     order = [F.col(c).desc() for c in (order_col, *tie_break)]
-    salt = F.pmod(F.xxhash64(order_col, *tie_break), F.lit(SALTS))
+    # From the whole row, so that a key whose rows all have one time is parted as well.
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS))
     in_part = Window.partitionBy(*keys, _SALT).orderBy(*order)
     newest_first = Window.partitionBy(*keys).orderBy(*order)
     parts = df.withColumn(_SALT, salt).withColumn(_RANK, F.row_number().over(in_part))

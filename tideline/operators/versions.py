@@ -13,6 +13,9 @@ from tideline.functions.scalars import utc
 from tideline.operators.latest import latest_per_key, top_n_per_key
 from tideline.operators.ordering import CHUNK, number_rows, previous_row, split_groups
 
+#: The column that a history may keep its contents' digests in, so that no text is read to compare.
+DIGEST = "content_sha256"
+
 HISTORY_COLUMNS = ["version", "snapshotted_at", "notes", "performance_tag"]
 
 
@@ -27,10 +30,12 @@ def next_versions(
     ``current`` has the loads of each ``name`` in the order ``order_by``; with one load
     for each name no order is needed.  The first load is compared with the name's
     latest recorded version, so a second run over the same loads gives none.  Contents
-    are compared by digest, and only digests are ranked and carried along.
+    are compared by digest, and only digests are ranked and carried along; a history with a column
+    ``content_sha256`` has them on record.  Different loads of one name without an order are an error.
     """
+    recorded = F.col(DIGEST) if DIGEST in history.columns else _digest("content")
     last = latest_per_key(
-        history.select("name", "snapshotted_at", "version", _digest("content").alias("_recorded")),
+        history.select("name", "snapshotted_at", "version", recorded.alias("_recorded")),
         ["name"],
         "snapshotted_at",
         ["version"],
@@ -38,6 +43,10 @@ def next_versions(
     at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     order = list(order_by) or ["_digest"]
     loads = split_groups(current.withColumn("_digest", _digest("content")), ["name"], order)
+    if not order_by:
+        several = loads.groupBy("name").agg(F.min("_digest").alias("a"), F.max("_digest").alias("b")).where("a <> b")
+        if not several.isEmpty():
+            raise ValueError("several loads of one name have no order; give order_by")
     loads = previous_row(loads, ["name"], order, ["_digest"], "_prev").join(last, "name", "left")
     before = F.when(F.col("_prev").isNotNull(), F.col("_prev._digest")).otherwise(F.col("_recorded"))
     known = F.col("_prev").isNotNull() | F.col("_version").isNotNull()

@@ -14,12 +14,14 @@ from tideline.operators.checks import WriteChecks, check_freshness, check_rows,
 from tideline.operators.incremental import incremental_tail, merge_upsert, with_load_time
 from tideline.plans import models as layer_models
 from tideline.plans.landing import ECONOMIC, RAW_TABLES, WEATHER
+from tideline.plans.views import VIEWS
 from tideline.sources.tables import (
     LAYERS,
     ensure_table,
     layer_table_name,
     partition_column,
     ref,
+    store_view,
     view_name,
 )
 from tideline.sources.watermarks import kept_watermarks
@@ -53,6 +55,11 @@ class Model:
     def is_table(self) -> bool:
         return bool(self.columns)
 
+    @property
+    def by_key(self) -> list[str]:
+        """What tells the model's series apart; nothing where each date has one row."""
+        return [k for k in self.keys if k != "date"]
+
 
 def _same(df: DataFrame) -> DataFrame:
     return df
@@ -138,29 +145,37 @@ def build_model(
     root: str | None = None,
     checks: WriteChecks | None = None,
 ) -> list[dt.date]:
-    """Build one model: a session view, or the merge of its trailing window. Returns periods rewritten."""
+    """Build one model: a view, or the merge of its trailing window. Returns periods rewritten.
+
+    A view is stored in the catalogue, where other sessions find it, and is a view of this session by another name.
+    """
     name = layer_table_name(model.layer, model.name, prefix)
     if not model.is_table:
+        store_view(spark, name, VIEWS[model.layer, model.name](layer_table_name(*model.reads, prefix)), root)
         model_rows(spark, model.layer, model.name, prefix).createOrReplaceTempView(view_name(name))
         return []
     rows = model.transform(model_rows(spark, *model.reads, prefix))
     types = {f.name: f.dataType for f in rows.schema.fields}
     fields = [T.StructField(c, types[c]) for c in model.columns]
     schema = T.StructType([*fields, T.StructField("_loaded_at", T.TimestampType())])
-    ensure_table(spark, name, schema, model.period, root=root)
-    tail = _tail(model, rows, name, scope)
+    ensure_table(spark, name, schema, model.period, root, model.by_key, "_loaded_at")
+    tail = _tail(spark, model, rows, name, scope, prefix)
     # Ranked or grouped by the same keys further down, so the tail is unique.
     return merge_upsert(
         spark, name, with_load_time(tail, now), model.keys, cluster=model.cluster, unique_source=True, checks=checks
     )
 
 
-def _tail(model: Model, rows: DataFrame, target: str | None, scope: str) -> DataFrame:
+def _tail(spark: SparkSession, model: Model, rows: DataFrame, target: str | None, scope: str, prefix: str) -> DataFrame:
     """The trailing window of ``rows`` that a table model takes."""
-    # A one-column key has no other series to lag behind.
-    by_key = [k for k in model.keys if k != "date"]
+    below = next((m for m in MODELS if (m.layer, m.name) == model.reads), None)
+    # One series is all there is: it can't lag behind another.
+    scope = scope if model.by_key else "global"
+    source_keys = None
+    if scope == "per_key" and below and below.reads[0] == _RAW and below.by_key == model.by_key:
+        source_keys = kept_watermarks(spark, layer_table_name(*below.reads, prefix))
     return incremental_tail(
-        rows, target, days=model.days, years=model.years, scope=scope if by_key else "global", keys=by_key
+        rows, target, days=model.days, years=model.years, scope=scope, keys=model.by_key, source_keys=source_keys
     )
 
 
@@ -175,7 +190,7 @@ def model_checks(spark: SparkSession, model: Model, prefix: str = "", scope: str
     above = next((m for m in MODELS if m.is_table and m.reads == (model.layer, model.name)), None)
     if scope and above and not model.is_table:
         target = layer_table_name(above.layer, above.name, prefix)
-        rows = _tail(above, rows, target if spark.catalog.tableExists(target) else None, scope)
+        rows = _tail(spark, above, rows, target if spark.catalog.tableExists(target) else None, scope, prefix)
     return check_rows(rows, name, model.keys, model.not_null, model.rule)
 
 

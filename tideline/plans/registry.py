@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import blank_to_null
-from tideline.operators.versions import next_versions
-from tideline.session import materialise
+from tideline.operators.versions import DIGEST, next_versions
+from tideline.session import discard, materialise
 from tideline.sources.definitions import parse_definitions, read_definitions
 from tideline.sources.tables import append_rows, ensure_table
 
@@ -33,6 +33,7 @@ AGENT_SNAPSHOTS = T.StructType(
         T.StructField("snapshotted_at", T.TimestampType(), False),
         T.StructField("notes", T.StringType()),
         T.StructField("performance_tag", T.StringType()),
+        T.StructField(DIGEST, T.StringType(), False),
     ]
 )
 SKILL_SNAPSHOTS = T.StructType([f for f in AGENT_SNAPSHOTS.fields if f.name not in ("tools", "skills")])
@@ -61,6 +62,8 @@ def append_versions(df: DataFrame, kind: str, prefix: str = "") -> None:
             "notes": text("notes"),
             "performance_tag": text("performance_tag"),
             "sections": F.coalesce("sections", F.array().cast(_SECTIONS)),
+            # Written with the text that it is of, so the two never part.
+            DIGEST: F.sha2(F.col("content").cast("string"), 256),
         }
     )
     append_rows(rows, registry_table(kind, prefix), KINDS[kind])
@@ -99,18 +102,18 @@ def sync_definitions(
     ensure_registry(spark, prefix, root)
     files = materialise(files.select("kind", "name", "content", "error"), "definitions")
     reports = []
-    for kind in KINDS:
-        of_kind = files.where(F.col("kind") == kind)
-        history = spark.table(registry_table(kind, prefix))
-        readable = of_kind.where(F.col("error").isNull()).select("name", "content")
-        # Parsed after the comparison, so unchanged documents are not taken apart.
-        changed = parse_definitions(next_versions(readable, history, now))
-        changed = materialise(changed.withColumn("notes", F.lit(notes).cast("string")), "changed")
-        append_versions(changed, kind, prefix)
-        totals = of_kind.agg(F.count(F.lit(1)).alias("checked"), F.count("error").alias("errors"))
-        reports.append(
-            totals.select(
-                F.lit(kind).alias("kind"), "checked", F.lit(changed.count()).cast("long").alias("appended"), "errors"
-            )
-        )
-    return reports[0].unionByName(reports[1])
+    try:
+        for kind in KINDS:
+            of_kind = files.where(F.col("kind") == kind)
+            history = spark.table(registry_table(kind, prefix))
+            readable = of_kind.where(F.col("error").isNull()).select("name", "content")
+            # Parsed after the comparison, so unchanged documents are not taken apart.
+            changed = parse_definitions(next_versions(readable, history, now))
+            changed = materialise(changed.withColumn("notes", F.lit(notes).cast("string")), "changed")
+            append_versions(changed, kind, prefix)
+            checked, errors = of_kind.agg(F.count(F.lit(1)), F.count("error")).first()
+            reports.append((kind, checked, changed.count(), errors))
+            discard(changed)
+    finally:
+        discard(files)
+    return spark.createDataFrame(reports, "kind string, checked long, appended long, errors long")

@@ -28,7 +28,9 @@ def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_R
     # Spark passes over names that begin with these marks; there are as many as people have written by hand.
     hidden = hidden_files(spark, folder, ".md")
     if hidden:
-        named = named.unionByName(spark.createDataFrame(hidden, "full_path string, value string"))
+        named = named.unionByName(
+            spark.createDataFrame(hidden, "full_path string, value binary").select("full_path", F.col("value").cast("string").alias("value"))
+        )
     full_path = F.col("full_path")
     located = named.select(
         F.concat(F.lit(f"{root}/"), F.element_at(F.split(full_path, rf"/\Q{root}\E/", 2), 2)).alias("path"),
@@ -47,8 +49,8 @@ def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_R
     )
 
 
-def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[tuple[str, str]]:
-    """Path and text of the files below ``folder`` in whose path Spark's readers see a hidden name."""
+def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[tuple[str, bytearray]]:
+    """Path and bytes of the files below ``folder`` in whose path Spark's readers see a hidden name."""
     jvm = spark._jvm
     top = jvm.org.apache.hadoop.fs.Path(folder)
     system = top.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -62,7 +64,7 @@ def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[tuple[st
         inside = path.toUri().getPath()[len(base) :].split("/")
         if inside[-1].endswith(suffix) and any(part[:1] in ("_", ".") for part in inside):
             stream = system.open(path)
-            found.append((path.toString(), jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            found.append((path.toString(), bytearray(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))))
             stream.close()
     return found
 

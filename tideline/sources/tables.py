@@ -49,12 +49,20 @@ def ensure_table(
     period: str | None = None,
     root: str | None = None,
     watermark_keys: Sequence[str] = (),
+    at_col: str = "extracted_at",
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> None:
     """Create a parquet table if there is none, partitioned by month or year of its date.
 
     The files live under ``root``, by default in the warehouse.  A new session
     finds files already there again.  With ``watermark_keys`` the table keeps its
-    newest date for each key, and every append brings it up to date.
+    newest date and newest ``at_col`` for each key, and every append or merge brings them up to date.
+
+    With ``bucket_by`` rows are dealt to ``buckets`` files of each period by these columns, so that
+    ranking, grouping or joining by them, or by more, plans no shuffle. A scan that uses
+    the buckets has as many tasks, so take as many as the whole table needs, and columns no
+    one value of which holds much of it.
     """
     if spark.catalog.tableExists(name):
         return
@@ -70,7 +78,12 @@ def ensure_table(
         nothing = spark.createDataFrame([], ", ".join(columns)).write.mode("append")
         nothing.partitionBy(_COLUMN_OF[period]).parquet(location)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}/{database}'")
-    kept = f"TBLPROPERTIES ('{PROPERTY}' = '{watermark_property(watermark_keys)}')" if watermark_keys else ""
+    if bucket_by:
+        dealt = ", ".join(f"`{c}`" for c in bucket_by)
+        layout += f" CLUSTERED BY ({dealt}) SORTED BY ({dealt}) INTO {buckets} BUCKETS"
+    kept = ""
+    if watermark_keys:
+        kept = f"TBLPROPERTIES ('{PROPERTY}' = '{watermark_property(watermark_keys, at_col=at_col)}')"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet {layout} "
         f"LOCATION '{location}' {kept}"
@@ -89,6 +102,13 @@ def ref(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def store_view(spark: SparkSession, name: str, sql: str, root: str | None = None) -> None:
+    """Put a view of ``sql`` into the catalogue, in place of one that is there."""
+    database = name.split(".")[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root or table_root(spark)}/{database}'")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+
+
 def view_name(table: str) -> str:
     """Name of the session view of a view-only model."""
     return table.replace(".", "__")
@@ -137,8 +157,14 @@ def insert_rows(
 ) -> None:
     """Append rows to a table through the catalogue, which takes up new periods by itself."""
     spark = rows.sparkSession
+    target = spark.table(table)
+    buckets, columns = bucket_layout(spark, table)
+    if buckets:
+        laid_out = _dealt(rows.select(*target.columns), partition_column(target), buckets, columns)
+    else:
+        laid_out = _laid_out(rows, target, cluster)
     with setting(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file or 0)):
-        _laid_out(rows, spark.table(table), cluster).write.insertInto(table)
+        laid_out.write.insertInto(table)
 
 
 def _laid_out(rows: DataFrame, target: DataFrame, cluster: Sequence[str]) -> DataFrame:
@@ -153,6 +179,19 @@ def _laid_out(rows: DataFrame, target: DataFrame, cluster: Sequence[str]) -> Dat
     return rows
 
 
+def bucket_layout(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """The number of a table's buckets, 0 without any, and the columns they go by."""
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = said.get("Bucket Columns", "[]").strip("[]").replace("`", "").split(", ")
+    return int(said.get("Num Buckets") or 0), columns
+
+
+def _dealt(rows: DataFrame, period_col: str | None, buckets: int, columns: list[str]) -> DataFrame:
+    """Rows gathered by period and bucket, so that a task writes whole buckets."""
+    bucket = F.pmod(F.hash(*columns), F.lit(buckets))
+    return rows.repartition(*[F.col(c) for c in [period_col] if c], bucket)
+
+
 def replace_periods(rows: DataFrame, table: str, periods: Sequence[dt.date], cluster: Sequence[str] = ()) -> None:
     """Put ``rows``, all rows of ``periods``, in place of what these periods hold.
 
@@ -168,11 +207,21 @@ def replace_periods(rows: DataFrame, table: str, periods: Sequence[dt.date], clu
     # After all that are there, also where this clock is behind the one that named them.
     last = max((int(n[len(_SWAP) :].split("-")[0]) for n in subfolders(spark, location) if n.startswith(_SWAP)), default=0)
     folder = f"{location}/{_SWAP}{max(time.time_ns(), last + 1):020d}-{uuid.uuid4().hex}"
-    for period in periods:
-        # So that a period without rows is replaced as well.
-        make_folder(spark, f"{folder}/{period_col}={period}")
-    write = _laid_out(rows, target, cluster).write.mode("append").partitionBy(period_col)
-    write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
+    marked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+    buckets, columns = bucket_layout(spark, table)
+    if buckets:
+        # Only tables have buckets, so the folder is one's for as long as it is written.
+        scratch = f"{table.split('.')[0]}.swap_{uuid.uuid4().hex}"
+        dealt = _dealt(rows.select(*target.columns), period_col, buckets, columns).write.format("parquet")
+        dealt = dealt.partitionBy(period_col).bucketBy(buckets, *columns).sortBy(*columns)
+        dealt.options(path=folder, **marked).saveAsTable(scratch)
+        spark.sql(f"DROP TABLE {scratch}")
+    else:
+        for period in periods:
+            # So that a period without rows is replaced as well.
+            make_folder(spark, f"{folder}/{period_col}={period}")
+        write = _laid_out(rows, target, cluster).write.mode("append").partitionBy(period_col)
+        write.options(**marked).parquet(folder)
     settle_periods(spark, table)
 
 
