@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.ordering import CHUNK, number_rows, split_groups
-from tideline.plans.landing import land_pages, request_plan
+from tideline.plans.landing import RAW_TABLES, land_pages, request_plan
 from tideline.plans.layers import create_raw_tables
+from tideline.session import new_folder
 from tideline.sources.dimensions import LOCATIONS
 from tideline.sources.payloads import (
     DAILY_VARIABLES,
@@ -23,6 +24,7 @@ from tideline.sources.payloads import (
 )
 from tideline.sources.tables import LOAD_BATCH_ROWS, layer_table_name
 from tideline.sources.watermarks import kept_watermarks
+from tideline.streaming.page_sets import land_page_sets
 from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
@@ -267,3 +269,30 @@ def weather_request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land_weather(spark, sf_dir, prefix, _RUNS[0])
     plan = request_plan(spark, "weather", prefix, _RUNS[0] - dt.timedelta(days=2))
     return plan.select("location_id", "start_date", "end_date")
+
+
+# Pages of an order, all captured at one time, that arrive in three runs: first the first, then the second, then the others.
+_ONE_TIME = _PAGES.replace("l_shipdate AS extracted_at", "TIMESTAMP '2024-01-01' AS extracted_at")
+
+
+@query(
+    "streamed_page_sets",
+    f"WITH {_ONE_TIME} SELECT CAST(series_id AS VARCHAR) AS series_id, DATE '2024-01-01' AS date, "
+    "CAST(l_suppkey AS DOUBLE) AS value, extracted_at "
+    "FROM pages JOIN sets USING (series_id), range(3) AS r(i) WHERE i < size AND complete",
+)
+def streamed_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets held by the stream until their short last page; those that stay open land nothing."""
+    prefix = f"landing_{uuid.uuid4().hex}_"
+    create_raw_tables(spark, prefix)
+    table = layer_table_name("raw", "economic_observations", prefix)
+    captures = new_folder(spark, "captures")
+    checkpoint = new_folder(spark, "stream")
+    at = F.lit(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)).cast("timestamp")
+    pages = _captures(spark, sf_dir).withColumns(
+        {"series_id": F.col("series_id").cast("string"), "page_offset": F.col("page_offset").cast("long"), "extracted_at": at}
+    )
+    for part in (F.col("page_offset") == 0, F.col("page_offset") == 3, F.col("page_offset") > 3):
+        pages.where(part).write.mode("append").parquet(captures)
+        land_page_sets(spark, captures, table, RAW_TABLES["economic"].schema, page_limit=3, checkpoint=checkpoint)
+    return _plain_times(spark.table(table).drop("date_month"), "extracted_at")
