@@ -133,3 +133,78 @@ def test_odd_rows(odd, nothing):
     (mail,) = [r for r in rows if r.doc_id == -9]
     assert "a.b@" not in mail.text and mail.text.endswith("é😀 漢字 \u0000 <|endoftext|> <s> ▁")
     assert S.replace_entities(nothing, SECRET).count() == 0
+
+
+def test_a_full_format_changes_places(spark):
+    numbers = [f"+1 {k // 100} {k // 10 % 10} {k % 10}" for k in range(1000)]
+    plain = [n.replace(" ", "").replace("+", "") for n in numbers]
+    alone = ["+44 7 7 7 7 7"]
+    forms = spark.createDataFrame([("phone", p) for p in plain] + [("phone", "4477777"), ("ip", "10.0.0.1")], "kind string, plain string")
+    rows = {(r.kind, r.plain): r.form for r in S.assign_surrogates(forms, SECRET).collect()}
+    assert len(rows) == len(set(rows.values())) == 1002
+    changed = [rows["phone", p] for p in plain]
+    assert set(changed) == set(plain) and all(a != b for a, b in zip(plain, changed, strict=True))
+    assert rows["phone", "4477777"] not in plain and rows["phone", "4477777"] != "4477777"
+    new = replaced(spark, [f"call {n} now" for n in numbers + alone])
+    assert len(set(new)) == 1001 and all(re.fullmatch(r"call \+\d+( \d)+ now", t) for t in new)
+    assert all(f"call {n} now" != t for n, t in zip(numbers, new, strict=False))
+
+
+def test_a_form_that_is_alone_in_a_full_format_is_masked(spark, monkeypatch):
+    monkeypatch.setattr(S, "with_surrogate", lambda forms, secret, attempt: forms.withColumn("form", F.col("plain")))
+    forms = spark.createDataFrame([("ssn", "123456789"), ("ip", "1.2.3.4"), ("ip", "4.3.2.1")], "kind string, plain string")
+    rows = {r.plain: r.form for r in S.assign_surrogates(forms, SECRET).collect()}
+    assert rows == {"123456789": "xxxxxxxxx", "1.2.3.4": "4.3.2.1", "4.3.2.1": "1.2.3.4"}
+
+
+def test_one_person_over_titles(spark):
+    first, second = replaced(spark, ["Dr Anna Weber came. Later Ms Anna Weber left, then Anna.", "Prof Anna Keller, Mr Kim Weber, Ms Kim Weber"])
+    shape = re.fullmatch(r"Dr (\w+) (\w+) came\. Later Ms (\w+) (\w+) left, then (\w+)\.", first)
+    assert shape, first
+    g = shape.groups()
+    assert g[0] == g[2] == g[4] != "Anna" and g[1] == g[3] != "Weber" and g[0] in S.NAMES["given-f", "latin"]
+    other = re.fullmatch(r"Prof (\w+) (\w+), Mr (\w+) (\w+), Ms (\w+) (\w+)", second)
+    assert other, second
+    h = other.groups()
+    assert h[0] == g[0] and h[3] == h[5] == g[1] and h[2] == h[4] in S.NAMES["given-n", "latin"]
+
+
+def test_scripts_are_kept(spark):
+    (new,) = replaced(spark, ["Mr Γιώργος Παπαδόπουλος; Ms Անահիտ Պողոսյան; Mr Ⲡⲉⲧⲣⲟⲥ Ⲁⲛⲧⲱⲛⲓⲟⲥ."])
+    shape = re.fullmatch(r"Mr (\S+) (\S+); Ms (\S+) (\S+); Mr (\S+) (\S+)\.", new)
+    assert shape, new
+    g = shape.groups()
+    assert g[0] in S.NAMES["given-m", "greek"] and g[1] in S.NAMES["family", "greek"]
+    assert g[2] in S.NAMES["given-f", "armenian"] and g[3] in S.NAMES["family", "armenian"]
+    assert all(0x2C80 <= ord(c) <= 0x2CFF for c in g[4] + g[5]) and g[4] != "Ⲡⲉⲧⲣⲟⲥ"
+
+
+def test_no_key_is_known_beforehand(spark):
+    spark.conf.unset(S.SECRET)
+    docs = spark.createDataFrame([(1, "see 10.20.30.40 now")], "doc_id long, text string")
+    first, again = (S.replace_entities(docs).first().text for _ in range(2))
+    spark.conf.unset(S.SECRET)
+    other = S.replace_entities(docs).first().text
+    assert first == again != other
+    spark.conf.set(S.SECRET, SECRET)
+    assert S.replace_entities(docs).first().text == S.replace_entities(docs, SECRET).first().text
+    spark.conf.unset(S.SECRET)
+
+
+def test_what_another_detector_finds_is_gone(spark, sf_dir, documents):
+    """Emails, addresses of hosts, telephone numbers and cards as a plain reader of the texts would look for them."""
+    look = [
+        r"[\w.+-]+@[\w-]+\.[\w.-]*\w",
+        r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d.])",
+        r"\+\d{1,2} \(\d{3}\) \d{3}-\d{4}",
+        r"(?<!\d)\d{4} \d{4} \d{4} \d{4}(?!\d)",
+        r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
+    ]
+    rows = {r.doc_id: r.text for r in QUERIES["op8_personal_data"](spark, sf_dir).collect()}
+    seen = 0
+    for d in documents:
+        for pattern in look:
+            for old in re.findall(pattern, d["text"] or ""):
+                seen += 1
+                assert old not in rows[d["doc_id"]], (d["doc_id"], old)
+    assert seen > 5

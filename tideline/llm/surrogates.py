@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.session import materialise
+from tideline.operators.ordering import previous_row, split_groups
+from tideline.session import discard, materialise
+
+#: The setting that holds the key of the surrogates, and how often a form may try for one of its own.
+SECRET = "spark.tideline.surrogates.secret"
+ATTEMPTS = 8
 
 # What an entity of each kind looks like, the first that fits counts.
 KINDS = {
@@ -44,7 +50,17 @@ NAMES = {
     ("given-f", "cyrillic"): "Алла Вера Галина Дарья Елена Инна Лариса Мария Нина Ольга Раиса Юлия".split(),
     ("given-n", "cyrillic"): "Саша Женя Валя Шура Паша Слава Витя Мика Ника Рая Тоня Юра".split(),
     ("family", "cyrillic"): "Бойко Гончар Дашко Ковальчук Левченко Мазур Остапчук Романюк Савчук Ткач Франко Шевчук".split(),
+    ("given-m", "greek"): "Άγγελος Βασίλης Γιάννης Δημήτρης Θανάσης Κώστας Λεωνίδας Μιχάλης Νίκος Παύλος Σπύρος Χρήστος".split(),
+    ("given-f", "greek"): "Αγγελική Βασιλική Γεωργία Δέσποινα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Ντίνα Σοφία Χριστίνα".split(),
+    ("given-n", "greek"): "Αλέξης Αντώνης Βίκυ Εύη Κρις Λιλή Μάκης Μελίνα Νόνη Ρένη Τόνια Φένια".split(),
+    ("family", "greek"): "Αγγέλου Βασιλείου Γεωργίου Δήμου Θεοδώρου Ιωάννου Κωνσταντίνου Λάμπρου Νικολάου Πέτρου Στεφάνου Χρήστου".split(),
+    ("given-m", "armenian"): "Արամ Արմեն Գևորգ Դավիթ Հայկ Կարեն Միքայել Նարեկ Սարգիս Տիգրան".split(),
+    ("given-f", "armenian"): "Աննա Անահիտ Գայանե Լիլիթ Կարինե Մարիամ Նարինե Շուշան Սիրանուշ Օվսաննա".split(),
+    ("given-n", "armenian"): "Ալեքս Արև Արփի Հրաչ Մասիս Մինե Նուռ Սևան Վան Ռիտա".split(),
+    ("family", "armenian"): "Աբրահամյան Բաղդասարյան Գրիգորյան Դավթյան Հակոբյան Մանուկյան Պետրոսյան Սարգսյան Վարդանյան Օհանյան".split(),
 }
+#: Scripts that have names to choose from; a name of another script is made of its own letters.
+SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "armenian": r"\p{IsArmenian}", "latin": r"\p{IsLatin}"}
 
 
 def kind_of(entity: Column) -> Column:
@@ -119,15 +135,29 @@ def _luhn(digits: Column) -> Column:
 
 
 def _chosen_name(kind: Column, plain: Column, stream: Column, attempt: Column) -> Column:
-    """A name from the list for the kind and the script; each further attempt joins one more by a hyphen."""
-    script = F.when(plain.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    found = F.lit(None).cast("string")
+    """A name from the list for the kind and the script; each further attempt joins one more by a hyphen.
+
+    Where no list has the script, the name's own letters come in another order.
+    """
+    script = F.lit("other")
+    for name, letters in reversed(SCRIPTS.items()):
+        script = F.when(plain.rlike(letters), name).otherwise(script)
+    found = F.initcap(_shuffled(plain, stream))
     for (k, s), names in NAMES.items():
         joined = F.array_join(F.transform(F.sequence(F.lit(0), attempt.cast("int")), _pick(names, stream)), "-")
         found = F.when((kind == k) & (script == s), joined).otherwise(found)
     return found
 
 
+def _shuffled(text: Column, stream: Column) -> Column:
+    """The characters of ``text`` in the order that the stream gives them."""
+    places = F.transform(
+        F.sequence(F.lit(0), F.length(text) - 1),
+        lambda i: F.struct(_number(stream, i).alias("at"), i.alias("i"), F.substring(text, i + 1, F.lit(1)).alias("c")),
+    )
+    return F.array_join(F.transform(F.array_sort(places), lambda x: x["c"]), "")
+
+
 def _pick(names: list[str], stream: Column) -> Callable[[Column], Column]:
     listed = F.array(*[F.lit(n) for n in names])
 
@@ -222,13 +252,19 @@ def assign_surrogates(plain_forms: DataFrame, secret: str) -> DataFrame:
 
     Distinct forms of a kind get distinct surrogates, and none gets one that stands in
     the corpus itself. Where two meet, the first in order keeps the surrogate; it and those
-    that met a real form try again, until none is left over.
+    that met a real form try again, ``ATTEMPTS`` times at most.
+
+    A form that is left over then has a format that is full, or nearly so. All forms of such a format
+    change places: in a keyed order each gets the form after it, the last gets the first.
+    These surrogates are distinct still, and each is a form that is itself replaced wherever it
+    stands. A form that is the only one of its format is masked.
     """
     forms = materialise(plain_forms.select("kind", "plain").distinct(), "entities")
     done: list[DataFrame] = []
-    attempt = 0
     open_ = forms
-    while not open_.isEmpty():
+    for attempt in range(ATTEMPTS):
+        if open_.isEmpty():
+            break
         # Few bytes, but much work for each row: dealt to as many tasks as a shuffle has.
         tasks = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         tried = with_surrogate(open_.repartition(tasks, "plain"), secret, attempt)
@@ -236,26 +272,82 @@ def assign_surrogates(plain_forms: DataFrame, secret: str) -> DataFrame:
         free = tried.join(taken, ["kind", "form"], "left_anti")
         first = free.groupBy("kind", "form").agg(F.min("plain").alias("plain"))
         done.append(materialise(first.select("kind", "plain", "form"), "surrogates"))
-        open_ = materialise(open_.join(done[-1], ["kind", "plain"], "left_anti"), "entities")
-        attempt += 1
+        left = materialise(open_.join(done[-1], ["kind", "plain"], "left_anti"), "entities")
+        if open_ is not forms:
+            discard(open_)
+        open_ = left
     if not done:
         return forms.withColumn("form", F.col("plain"))
-    return reduce(DataFrame.unionByName, done)
+    found = reduce(DataFrame.unionByName, done)
+    if open_.isEmpty():
+        return found
+    full = open_.select("kind", _format(F.col("kind"), F.col("plain")).alias("_format")).distinct()
+    format_of = _format(F.col("kind"), F.col("plain"))
+    kept = found.withColumn("_format", format_of).join(full, ["kind", "_format"], "left_anti").drop("_format")
+    exchanged = _exchanged(forms.withColumn("_format", format_of).join(full, ["kind", "_format"], "left_semi"), secret)
+    return kept.unionByName(exchanged)
+
+
+def _format(kind: Column, plain: Column) -> Column:
+    """What a form has in common with those that may stand in its place: its kept characters and the classes of the others."""
+    kept = F.when(kind.isin("phone", "card"), 1).when(kind == "iban", 2).otherwise(0)
+    rest = F.substring(plain, kept + 1, F.length(plain))
+    for letters, mark in (("[0-9]", "9"), (r"\p{Lu}", "A"), (r"\p{L}", "a")):
+        rest = F.regexp_replace(rest, letters, mark)
+    valid = (kind == "card") & (_luhn(F.when(kind == "card", plain).otherwise(F.lit("0"))) % 10 == 0)
+    shape = F.when(kind == "ip", F.lit("")).when(kind.rlike("^(given|family)"), F.lit("")).otherwise(rest)
+    return F.concat_ws("|", F.substring(plain, F.lit(1), kept), shape, valid.cast("string"))
+
+
+def _exchanged(forms: DataFrame, secret: str) -> DataFrame:
+    """``forms (kind, _format, plain)`` with the ``form`` that each gets, formats of any size."""
+    keys = ["kind", "_format"]
+    order = _stream(secret, F.col("kind"), F.col("plain"), F.lit("order"), F.lit(1))
+    chunks = split_groups(forms.withColumn("_order", order), keys, ["_order", "plain"])
+    paired = previous_row(chunks, keys, ["_order", "plain"], ["plain"], "_before")
+    last = chunks.groupBy(*keys).agg(F.max_by("plain", F.struct("_order", "plain")).alias("_last"), F.count("*").alias("_n"))
+    masked = F.regexp_replace(F.col("plain"), r"[\p{L}\p{N}]", "x")
+    form = F.when(F.col("_n") == 1, masked).otherwise(F.coalesce(F.col("_before.plain"), F.col("_last")))
+    return paired.join(last, keys).select("kind", "plain", form.alias("form"))
+
+
+def _one_gender(parts: DataFrame) -> DataFrame:
+    """``parts`` with one kind for each given name, from all that it is addressed by, so that Dr A B and Ms A B stay one person."""
+    given = parts.where(F.col("kind").startswith("given-"))
+    seen = given.groupBy("plain").agg(F.max(F.col("kind") == "given-m").alias("m"), F.max(F.col("kind") == "given-f").alias("f"))
+    settled = F.when(F.col("m") & ~F.col("f"), "given-m").when(F.col("f") & ~F.col("m"), "given-f").otherwise("given-n")
+    kinds = seen.select("plain", settled.alias("_settled"), F.lit(True).alias("_given"))
+    marked = parts.withColumn("_given", F.col("kind").startswith("given-"))
+    joined = marked.join(kinds, ["plain", "_given"], "left")
+    return joined.withColumn("kind", F.coalesce("_settled", "kind")).drop("_given", "_settled")
+
+
+def secret_of(spark: SparkSession) -> str:
+    """The session's key, drawn at random and kept in its settings where none is set."""
+    known = spark.conf.get(SECRET, None)
+    if known is None:
+        known = secrets.token_hex(32)
+        spark.conf.set(SECRET, known)
+    return known
 
 
 def replace_entities(
     docs: DataFrame,
-    secret: str = "set a secret of your own",
+    secret: str | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     report: str | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, entities in ``text`` replaced by surrogates; other columns as they were.
 
+    ``secret`` is the key; without it the setting ``spark.tideline.surrogates.secret`` counts, and where
+    that is not set either, a key drawn at random for the session.
+
     Equal entities get equal surrogates in all documents, also where they are written
     in different ways: numbers are looked up by their digits, emails in lower case, and given and family names
     each on their own, so that Mr A B and Mr B stay one family. Names keep the form of address, its gender and
-    the script; numbers keep their punctuation. Names are found by a form of address; the full, family and given
+    the script; a given name that goes with both genders, or with none, gets a name for either, everywhere.
+    Numbers keep their punctuation. Names are found by a form of address; the full, family and given
     names of those found are replaced in all the document, with and without one.
 
     ``report`` names a column for the list of (kind, entities) counts. NULL and blank
@@ -263,6 +355,7 @@ def replace_entities(
     each; an empty table gives none. An entity that much of the corpus shares is looked up once for
     each document, by a join whose hot keys AQE splits.
     """
+    secret = secret_of(docs.sparkSession) if secret is None else secret
     body = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     found = docs.where(F.col(text_col).rlike(PATTERN)).select(
         F.col(id_col).alias("_id"),
@@ -271,7 +364,7 @@ def replace_entities(
     )
     entities = materialise(found.withColumn("kind", kind_of(F.col("entity"))), "mentions")
     parts = entities.select("_id", "_body", "entity", F.col("kind").alias("whole"), F.posexplode(_parts(F.col("entity"), F.col("kind"))).alias("at", "part"))
-    parts = parts.select("_id", "_body", "entity", "whole", "at", "part.kind", "part.plain")
+    parts = _one_gender(parts.select("_id", "_body", "entity", "whole", "at", "part.kind", "part.plain"))
     forms = assign_surrogates(parts, secret)
     looked_up = (
         parts.join(forms, ["kind", "plain"])
