@@ -118,28 +118,37 @@ def _is_common(text: str) -> bool:
         return _uncommon().search(text) is None
 
 
+#: A space before white space; of common characters no other is white space.
+_ODD_SPACES = tuple(" " + c for c in " \t\n\v\f\r")
+
+
 class ByteEncoder:
     """The ids that a byte-level ``tokenizers`` file gives, common words encoded once.
 
     The library cuts a text into pieces that are encoded on their own, and it always cuts
     before a space that something visible follows. So a text is looked up by the words
-    between such spaces, and the library gets the words that are new, in one text with
-    a special token between them, which it never merges over. A text with a special token's string,
+    between such spaces, and the library gets the words that are new in one text. Where no word has a
+    space inside, the ids that start with one tell where words begin; otherwise a
+    special token stands between words, which the library never merges over. A text with a special token's string,
     or with characters that libraries may class differently, goes through the library whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         special = {i: t.content for i, t in self.library.get_added_tokens_decoder().items() if t.special}
         if not special:
             raise ValueError("a tokenizer without special tokens has none to put between words")
         self.between = next(iter(special.items()))
-        self.special = regex.compile("|".join(map(regex.escape, special.values())))
-        self.odd_space = regex.compile(r" (?=\s|\Z)")
-        self.words = PieceCache(self._words, pieces=600_000, ids=6_000_000)
+        self.special = tuple(special.values())
+        space = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")[0][0]
+        known = self.library.get_vocab()
+        self.starts = np.zeros(max(known.values()) + 1, dtype=bool)
+        self.starts[[number for token, number in known.items() if token.startswith(space)]] = True
+        self.words = PieceCache(self._words, pieces=900_000, ids=9_000_000)
 
     def _library(self, text: str) -> np.ndarray:
         (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
@@ -147,15 +156,21 @@ class ByteEncoder:
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each word with a space before it has, and the ids."""
+        joined = " ".join(words)
+        if joined.count(" ") == len(words) - 1 and "" not in words:
+            found = self._library(" " + joined)
+            places = np.flatnonzero(self.starts[found])
+            if len(places) == len(words):
+                return np.diff(places, append=len(found)), found
         number, mark = self.between
         found = self._library(" " + f"{mark} ".join(words))
         ends = np.append(np.flatnonzero(found == number), len(found))
         return np.diff(ends, prepend=-1) - 1, found[found != number]
 
     def ids(self, text: str) -> np.ndarray:
-        if self.special.search(text) or not _is_common(text):
+        if any(mark in text for mark in self.special) or not _is_common(text):
             return self._library(text)
-        if self.odd_space.search(text):
+        if text.endswith(" ") or any(pair in text for pair in _ODD_SPACES):
             first, *words = regex.split(r" (?=\S)", text)
         else:
             first, *words = text.split(" ")
