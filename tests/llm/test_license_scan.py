@@ -3,11 +3,12 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import pytest
 
 from tests.llm.conftest import ODD_ROWS
 from tideline.llm import license_scan as S
-from tideline.llm.queries import QUERIES
+from tideline.llm.queries import ORACLES, QUERIES
 
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -21,14 +22,18 @@ def slow(text: str | None, templates=S.TEMPLATES, threshold=S.THRESHOLD) -> tupl
         at = [i for i in range(len(words)) if words[i : i + len(wanted)] == wanted]
         places += at
         base |= {label} if at else set()
-    blocks = []
-    for line in data.split(b"\n"):
-        line_words = WORDS.findall(line)
-        n = len(line_words)
-        blocks += [line_words] if n <= 80 else [line_words[k : k + 80] for k in range(0, n - 40, 40)]
     labels, score = set(base), 1.0 if places else 0.0
     for label, template in templates:
-        wanted = set(WORDS.findall(template.lower().encode()))
+        wanted = WORDS.findall(template.lower().encode())
+        span = 80
+        while span < 2 * len(wanted):
+            span *= 2
+        wanted = set(wanted)
+        blocks = []
+        # Lines, and the words of the whole text over line breaks.
+        for run in [*(WORDS.findall(line) for line in data.split(b"\n")), words]:
+            n = len(run)
+            blocks += [run] if n <= span else [run[k : k + span] for k in range(0, n - span // 2, span // 2)]
         best = max((len(wanted & set(b)) / len(wanted) for b in blocks), default=0)
         if best >= threshold - 1e-9:
             labels.add(label)
@@ -110,3 +115,43 @@ def test_odd_rows(odd, nothing):
     rows = S.scan_licenses(odd).collect()
     assert sorted(map(found, rows), key=repr) == sorted((slow(t) for _, t, _ in ODD_ROWS), key=repr)
     assert S.scan_licenses(nothing).count() == 0
+
+
+@pytest.mark.parametrize("size", [30, 89, 120, 500])
+@pytest.mark.parametrize("width", [7, 10**6])
+def test_templates_of_any_length(spark, size, width):
+    rng = random.Random(size)
+    template = [f"t{rng.randint(0, 10**6)}" for _ in range(size)]
+    rows = []
+    for k, (lost, ahead) in enumerate([(0, 0), (0, 33), (0, 999), (size // 20, 500), (size // 4, 10)]):
+        gone = set(rng.sample(range(size), lost))
+        words = [f"w{rng.randint(0, 50)}" for _ in range(ahead)] + [w for i, w in enumerate(template) if i not in gone]
+        words += [f"w{rng.randint(0, 50)}" for _ in range(77)]
+        rows.append((k, "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))))
+    templates = [("long", " ".join(template)), *S.TEMPLATES]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    result = {r.doc_id: found(r) for r in S.scan_licenses(docs, templates=templates).collect()}
+    assert result == {k: slow(t, templates) for k, t in rows}
+    assert [result[k][5] for k in range(5)] == ["long"] * 4 + [""]
+
+
+def test_wrapped_notices_agree_with_the_sql(spark, tmp_path):
+    rng = random.Random(11)
+    rows = []
+    for k in range(60):
+        words = rng.choice(S.TEMPLATES)[1].split()
+        words = [w for w in words if rng.random() > rng.choice([0, 0.05, 0.2])]
+        before = [f"w{rng.randint(0, 50)}" for _ in range(rng.choice([0, 39, 200]))]
+        words, width = before + words, rng.choice([3, 7, 500])
+        rows.append((k, "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))))
+    rows += [(60, None), (61, ""), (62, "\n\n"), (63, "one\nApache License")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = str(tmp_path / "documents.parquet")
+    docs.coalesce(1).write.parquet(folder)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/*.parquet'")
+    names = "doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score"
+    theirs = {r[0]: tuple(r[1:]) for r in db.execute(f"SELECT {names} FROM ({ORACLES['op5_license_scan']})").fetchall()}
+    mine = {r.doc_id: found(r) for r in S.scan_licenses(docs).collect()}
+    assert mine == theirs == {k: slow(t) for k, t in rows}
+    assert sum(bool(r[5]) for r in mine.values()) > 30

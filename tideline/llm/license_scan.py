@@ -22,7 +22,7 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Opening sentences of public licence notices, and their labels.
+# Opening sentences of public licence notices and whole short licences, and their labels.
 TEMPLATES = [
     ("agpl", "licensed under the GNU Affero General Public License as published by the Free Software Foundation"),
     ("apache", "Licensed under the Apache License, Version 2.0"),
@@ -39,12 +39,34 @@ TEMPLATES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("mit", "Released under the MIT License"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+        "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
+        'shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY '
+        "OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+        "THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "
+        '"AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+        "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
 
 #: The share of a template's distinct words that a block must have.
 THRESHOLD = 0.9
-#: A block is a line, and each stretch of this many words of a longer line or of the whole text, half a stretch apart.
+#: A block is a line, and each stretch of so many words of a longer line or of the whole text, half a stretch apart.
+#: Templates of more than half as many words have longer blocks, in steps of two.
 BLOCK_WORDS = 80
 
 _WORD_BYTES = bytes(
@@ -57,20 +79,28 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def _stretches(words: list[bytes]) -> Iterator[list[bytes]]:
-    step = BLOCK_WORDS // 2
+def span_of(template: str) -> int:
+    """How many words the blocks have that a template is looked for in: at least twice its own, so one block has all of it."""
+    span, size = BLOCK_WORDS, len(words_of(template.encode()))
+    while span < 2 * size:
+        span *= 2
+    return span
+
+
+def _stretches(words: list[bytes], span: int) -> Iterator[list[bytes]]:
+    step = span // 2
     for start in range(0, max(1, len(words) - step), step):
-        yield words[start : start + BLOCK_WORDS]
+        yield words[start : start + span]
 
 
-def _blocks(text: bytes, words: list[bytes]) -> Iterator[list[bytes]]:
+def _blocks(text: bytes, words: list[bytes], span: int) -> Iterator[list[bytes]]:
     """The lines of a text, and its ``words`` across line breaks, as notices are wrapped."""
     lines = text.split(b"\n")
     for line in lines:
         of_line = words_of(line)
-        yield from [of_line] if len(of_line) <= BLOCK_WORDS else _stretches(of_line)
+        yield from [of_line] if len(of_line) <= span else _stretches(of_line, span)
     if len(lines) > 1:
-        yield from _stretches(words)
+        yield from _stretches(words, span)
 
 
 def _places(words: list[bytes], phrase: bytes) -> list[int]:
@@ -115,15 +145,15 @@ def _needed(size: int, threshold: float) -> int:
     return max(1, ceil(threshold * size - 1e-9))
 
 
-def _prefixes(spark: SparkSession, ranked: list[tuple], threshold: float) -> DataFrame:
+def _prefixes(spark: SparkSession, ranked: list[tuple], spans: list[int], threshold: float) -> DataFrame:
     """A row for each word of a template's prefix: a block without any of them shares too few words."""
     rows = []
-    for number, (label, ranks) in enumerate(ranked):
+    for number, ((label, ranks), span) in enumerate(zip(ranked, spans, strict=True)):
         need = _needed(len(ranks), threshold)
         for place, rank in enumerate(ranks[: len(ranks) - need + 1]):
-            rows.append((rank, place, number, label, ranks, len(ranks), need))
+            rows.append((rank, span, place, number, label, ranks, len(ranks), need))
     return spark.createDataFrame(
-        rows, "rank int, t_place int, template int, label string, t_ranks array<int>, t_size int, need int"
+        rows, "rank int, span int, t_place int, template int, label string, t_ranks array<int>, t_size int, need int"
     )
 
 
@@ -139,7 +169,8 @@ def scan_licenses(
     ``n_base`` counts the places of ``PHRASES``; first and last are the smallest and
     largest word they start at, NULL if there are none. ``notices`` lists the templates found as
     (label, containment): each whose distinct words are in one block of the text to
-    ``threshold`` or more. Blocks are lines, and stretches of ``BLOCK_WORDS`` words that run over line breaks. ``labels`` has the phrases' labels and the templates'. ``score`` is 1 where a phrase stands,
+    ``threshold`` or more. Blocks are lines, and stretches of ``BLOCK_WORDS`` words that run over line breaks, of more
+    for longer templates, so that a template of any length is found wherever it stands whole. ``labels`` has the phrases' labels and the templates'. ``score`` is 1 where a phrase stands,
     else the largest containment found, else 0.
 
     The join is exact. Words are ordered by how often the corpus has them. A block and a
@@ -150,30 +181,39 @@ def scan_licenses(
     row each; an empty table gives none.
     """
     spark = docs.sparkSession
-    rank, ranked = _ranked(docs, text_col, templates or TEMPLATES)
-    needs = [_needed(len(ranks), threshold) for _, ranks in ranked]
-    least = min(needs)
-    starters = {w for w, k in rank.items() if any(k in r[: len(r) - n + 1] for (_, r), n in zip(ranked, needs, strict=True))}
+    listed = [(label, text) for label, text in (TEMPLATES if templates is None else templates) if words_of(text.encode())]
+    rank, ranked = _ranked(docs, text_col, listed)
+    spans = [span_of(text) for _, text in listed]
+    word_at = {k: w for w, k in rank.items()}
+    least: dict[int, int] = {}
+    starters: dict[int, set[bytes]] = {}
+    for (_, ranks), span in zip(ranked, spans, strict=True):
+        need = _needed(len(ranks), threshold)
+        least[span] = min(least.get(span, need), need)
+        starters.setdefault(span, set()).update(word_at[k] for k in ranks[: len(ranks) - need + 1])
     phrases = {p.encode(): label for p, label in PHRASES.items()}
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            columns: dict[str, list] = {name: [] for name in ("row", "n_words", "places", "base", "blocks")}
+            columns: dict[str, list] = {name: [] for name in ("row", "n_words", "places", "base", "blocks", "spans")}
             for text in each_text(batch.column("text")):
                 words = words_of(text)
-                places, base, blocks = [], [], []
+                places, base, blocks, of_blocks = [], [], [], []
                 for phrase, label in phrases.items():
                     if found := _places(words, phrase):
                         places += found
                         base.append(label)
-                if not starters.isdisjoint(words):
-                    for block in _blocks(text, words):
+                for span, rare in starters.items():
+                    if rare.isdisjoint(words):
+                        continue
+                    for block in _blocks(text, words, span):
                         ranks = sorted({rank[w] for w in block if w in rank})
-                        if len(ranks) >= least and not starters.isdisjoint(block):
+                        if len(ranks) >= least[span] and not rare.isdisjoint(block):
                             blocks.append(ranks)
-                for name, value in zip(columns, (row, len(words), places, sorted(base), blocks), strict=True):
+                            of_blocks.append(span)
+                for name, value in zip(columns, (row, len(words), places, sorted(base), blocks, of_blocks), strict=True):
                     columns[name].append(value)
                 row += 1
             yield pa.RecordBatch.from_arrays(
@@ -184,6 +224,7 @@ def scan_licenses(
                     pa.array(columns["places"], pa.list_(pa.int64())),
                     pa.array(columns["base"], pa.list_(pa.string())),
                     pa.array(columns["blocks"], pa.list_(pa.list_(pa.int32()))),
+                    pa.array(columns["spans"], pa.list_(pa.int32())),
                 ],
                 ["doc_id", *columns],
             )
@@ -191,15 +232,18 @@ def scan_licenses(
     kind = texts.schema["doc_id"].dataType.simpleString()
     scanned = materialise(
         texts.mapInArrow(
-            scan, f"doc_id {kind}, row long, n_words long, places array<long>, base array<string>, blocks array<array<int>>"
+            scan,
+            f"doc_id {kind}, row long, n_words long, places array<long>, base array<string>, "
+            "blocks array<array<int>>, spans array<int>",
         ),
         "licenses",
     )
-    blocks = scanned.where(F.size("blocks") > 0).select("row", F.explode("blocks").alias("ranks")).distinct()
-    probes = blocks.select("row", "ranks", F.size("ranks").alias("size"), F.posexplode("ranks").alias("place", "rank"))
+    zipped = F.zip_with("blocks", "spans", lambda b, s: F.struct(b.alias("ranks"), s.alias("span")))
+    blocks = scanned.where(F.size("blocks") > 0).select("row", F.inline(zipped)).distinct()
+    probes = blocks.select("row", "span", "ranks", F.size("ranks").alias("size"), F.posexplode("ranks").alias("place", "rank"))
     left = F.least(F.col("t_size") - F.col("t_place"), F.col("size") - F.col("place"))
     pairs = (
-        probes.join(F.broadcast(_prefixes(spark, ranked, threshold)), "rank")
+        probes.join(F.broadcast(_prefixes(spark, ranked, spans, threshold)), ["rank", "span"])
         .where((F.col("size") >= F.col("need")) & (left >= F.col("need")))
         .select("row", "ranks", "template", "label", "t_ranks", "t_size", "need")
         .distinct()

@@ -70,23 +70,24 @@ ORACLES["op3_substring_dedup"] = (
 
 _PHRASES = ", ".join(f"({_listed(p.split())}, '{label}')" for p, label in license_scan.PHRASES.items())
 _TEMPLATES = ", ".join(
-    f"({_listed(sorted(w.decode() for w in set(license_scan.words_of(text.encode()))))}, '{label}')"
+    f"({_listed(sorted(w.decode() for w in set(license_scan.words_of(text.encode()))))}, '{label}', {license_scan.span_of(text)})"
     for label, text in license_scan.TEMPLATES
 )
 _LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ORACLES["op5_license_scan"] = (
     "WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') "
     f"AS t FROM documents), docs AS (SELECT doc_id, regexp_extract_all(t, '{_LICENSE_WORD}') AS w FROM low), "
-    f"phrases(p, label) AS (VALUES {_PHRASES}), templates(p, label) AS (VALUES {_TEMPLATES}), "
+    f"phrases(p, label) AS (VALUES {_PHRASES}), templates(p, label, span) AS (VALUES {_TEMPLATES}), spans AS (SELECT DISTINCT span FROM templates), "
     "starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs), "
     "places AS (SELECT doc_id, i - 1 AS spot, label FROM starts JOIN phrases ON w[i] = p[1] AND w[i:i + len(p) - 1] = p), "
     "base AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, "
     "list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY doc_id), "
     "lines AS (SELECT doc_id, regexp_extract_all(line, "
     f"'{_LICENSE_WORD}') AS w FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM low)), "
-    "blocks AS (SELECT doc_id, w AS b FROM lines WHERE len(w) <= 80 UNION ALL SELECT doc_id, w[k + 1:k + 80] FROM "
-    "(SELECT doc_id, w, unnest(range(0, len(w) - 40, 40)) AS k FROM lines WHERE len(w) > 80)), "
-    "shares AS (SELECT doc_id, label, CAST(len(list_intersect(b, p)) AS DOUBLE) / len(p) AS c FROM blocks, templates), "
+    "runs AS (SELECT doc_id, w FROM lines UNION ALL SELECT doc_id, w FROM docs), "
+    "blocks AS (SELECT DISTINCT doc_id, span, w[k + 1:k + span] AS b FROM "
+    "(SELECT doc_id, w, span, unnest(range(0, greatest(1, len(w) - span // 2), span // 2)) AS k FROM runs, spans) WHERE len(w) > 0), "
+    "shares AS (SELECT doc_id, label, CAST(len(list_intersect(b, p)) AS DOUBLE) / len(p) AS c FROM blocks JOIN templates USING (span)), "
     f"notices AS (SELECT doc_id, list(DISTINCT label) AS labels, max(c) AS c FROM shares WHERE c >= {license_scan.THRESHOLD} "
     "GROUP BY doc_id) "
     "SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, "
