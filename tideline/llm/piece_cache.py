@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 
@@ -66,7 +66,20 @@ class PieceCache:
             found.append(self._ids(some))
         return found[0] if len(found) == 1 else np.concatenate([np.zeros(0, dtype=np.uint32), *found])
 
+    def ids_of(self, groups: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each group of pieces; all groups together are looked up at once."""
+        flat, count = self._looked_up(list(chain.from_iterable(groups)))
+        ends = np.cumsum(count, dtype=np.int64)
+        last = np.cumsum([len(g) for g in groups[:-1]], dtype=np.int64)
+        return np.split(flat, np.concatenate([np.zeros(1, dtype=np.int64), ends])[last])
+
     def _ids(self, pieces: list[str]) -> np.ndarray:
+        return self._looked_up(pieces)[0]
+
+    def _looked_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and how many each piece has."""
+        if not pieces:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         if len(self.places) > self.max_pieces or self.used > self.max_ids:
             self._forget()
         before = len(self.places)
@@ -76,7 +89,7 @@ class PieceCache:
         self.again[index[index < before]] = True
         count = self.count[index]
         ends = np.cumsum(count)
-        return self.flat[np.repeat(self.start[index] - ends + count, count) + np.arange(ends[-1])]
+        return self.flat[np.repeat(self.start[index] - ends + count, count) + np.arange(ends[-1])], count
 
     def _learn(self) -> None:
         new, self.places.new = self.places.new, []

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -33,29 +33,38 @@ def pack(ids: np.ndarray, share: float = SHARE, block: int = BLOCK) -> bytes:
     the differences packed at that width, and the positions and values of those that
     need more. All numbers are little-endian and unsigned.
     """
-    bodies = []
-    for start in range(0, len(ids), block):
-        part = ids[start : start + block].astype(np.uint32)
-        low = part.min()
-        rest = part - low
-        needed = np.frexp(rest.astype(np.float64))[1]
-        place = max(0, int(np.ceil(share * len(part))) - 1)
-        width = int(np.partition(needed, place)[place])
-        out = np.flatnonzero(needed > width)
-        kept = np.where(needed > width, 0, rest).astype("<u2" if width <= 16 else "<u4")
-        bits = np.unpackbits(kept.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
-        bodies.append(
-            np.array([low, width, len(out)], dtype="<u4").tobytes()
-            + np.packbits(bits[:, :width], bitorder="little").tobytes()
-            + out.astype("<u4").tobytes()
-            + rest[out].astype("<u4").tobytes()
-        )
+    full = len(ids) // block * block
+    bodies = _packed(ids[:full].reshape(-1, block), share) if full else []
+    if full < len(ids):
+        bodies += _packed(ids[full:].reshape(1, -1), share)
     lengths = [len(b) for b in bodies]
     starts = np.cumsum([0, *lengths[:-1]]) if bodies else []
     head = np.array([len(ids), block, len(bodies), *starts], dtype="<u4")
     return head.tobytes() + b"".join(bodies)
 
 
+def _packed(blocks: np.ndarray, share: float) -> list[bytes]:
+    """The bodies of blocks of one size; those of one width are packed together."""
+    blocks = blocks.astype(np.uint32, copy=False)
+    low = blocks.min(axis=1)
+    rest = blocks - low[:, None]
+    needed = np.frexp(rest.astype(np.float64))[1]
+    place = max(0, int(np.ceil(share * blocks.shape[1])) - 1)
+    widths = np.partition(needed, place, axis=1)[:, place]
+    outside = needed > widths[:, None]
+    bodies: list[bytes] = [b""] * len(blocks)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        kept = np.where(outside[rows], 0, rest[rows]).astype("<u2" if width <= 16 else "<u4")
+        bits = np.unpackbits(kept.view(np.uint8).reshape(*kept.shape, -1), axis=2, bitorder="little", count=max(1, width))
+        packed = np.packbits(bits[:, :, :width].reshape(len(rows), -1), axis=1, bitorder="little")
+        for row, body in zip(rows.tolist(), packed, strict=True):
+            out = np.flatnonzero(outside[row])
+            head = np.array([low[row], width, len(out)], dtype="<u4").tobytes()
+            bodies[row] = head + body.tobytes() + out.astype("<u4").tobytes() + rest[row, out].astype("<u4").tobytes()
+    return bodies
+
+
 def unpack(segment: bytes, first: int = 0, end: int | None = None) -> np.ndarray:
     """The ids from ``first`` to ``end``; only the blocks they stand in are read."""
     total, block, blocks = np.frombuffer(segment, dtype="<u4", count=3)
@@ -65,21 +74,27 @@ def unpack(segment: bytes, first: int = 0, end: int | None = None) -> np.ndarray
     block = int(block)
     starts = np.frombuffer(segment, dtype="<u4", count=int(blocks), offset=12)
     base = 12 + 4 * int(blocks)
-    found = []
-    for k in range(first // block, (end - 1) // block + 1):
+    numbers = list(range(first // block, (end - 1) // block + 1))
+    found = np.zeros((len(numbers), block), dtype=np.uint32)
+    of_width: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
+    for row, k in enumerate(numbers):
         size = min(block, int(total) - k * block)
-        at = base + int(starts[k])
-        low, width, n_out = (int(x) for x in np.frombuffer(segment, dtype="<u4", count=3, offset=at))
-        at += 12
+        low, width, n_out = (int(x) for x in np.frombuffer(segment, dtype="<u4", count=3, offset=base + int(starts[k])))
+        of_width.setdefault((size, width), []).append((row, low, base + int(starts[k]) + 12, n_out))
+    for (size, width), parts in of_width.items():
+        # Blocks of one size and width are unpacked together.
         packed = (size * width + 7) // 8
-        bits = np.zeros((size, 16 if width <= 16 else 32), dtype=np.uint8)
-        raw = np.frombuffer(segment, dtype=np.uint8, count=packed, offset=at)
-        bits[:, :width] = np.unpackbits(raw, count=size * width, bitorder="little").reshape(size, width)
-        rest = np.packbits(bits, axis=1, bitorder="little").view("<u2" if width <= 16 else "<u4").ravel().astype(np.uint32)
-        out = np.frombuffer(segment, dtype="<u4", count=2 * n_out, offset=at + packed)
-        rest[out[:n_out]] = out[n_out:]
-        found.append(rest + np.uint32(low))
-    return np.concatenate(found)[first % block :][: end - first]
+        raw = np.frombuffer(b"".join(segment[at : at + packed] for _, _, at, _ in parts), dtype=np.uint8)
+        bits = np.zeros((len(parts), size, 16 if width <= 16 else 32), dtype=np.uint8)
+        if width:
+            read = np.unpackbits(raw.reshape(len(parts), packed), axis=1, count=size * width, bitorder="little")
+            bits[:, :, :width] = read.reshape(len(parts), size, width)
+        rest = np.packbits(bits, axis=2, bitorder="little").view("<u2" if width <= 16 else "<u4")[:, :, 0].astype(np.uint32)
+        for (row, low, at, n_out), values in zip(parts, rest, strict=True):
+            out = np.frombuffer(segment, dtype="<u4", count=2 * n_out, offset=at + packed)
+            values[out[:n_out]] = out[n_out:]
+            found[row, :size] = values + np.uint32(low)
+    return found.ravel()[first % block :][: end - first]
 
 
 # Encoding.
@@ -122,6 +137,10 @@ def _is_common(text: str) -> bool:
 _ODD_SPACES = tuple(" " + c for c in " \t\n\v\f\r")
 
 
+#: Words of a text that is looked up by itself, and characters of texts that are looked up together.
+_LONG, _TOGETHER = 1 << 16, 1 << 18
+
+
 class ByteEncoder:
     """The ids that a byte-level ``tokenizers`` file gives, common words encoded once.
 
@@ -167,14 +186,26 @@ class ByteEncoder:
         ends = np.append(np.flatnonzero(found == number), len(found))
         return np.diff(ends, prepend=-1) - 1, found[found != number]
 
-    def ids(self, text: str) -> np.ndarray:
+    def _cut(self, text: str) -> list[str] | None:
+        """What stands before the first word with a space, and the words; None for a text that goes through whole."""
         if any(mark in text for mark in self.special) or not _is_common(text):
-            return self._library(text)
+            return None
         if text.endswith(" ") or any(pair in text for pair in _ODD_SPACES):
-            first, *words = regex.split(r" (?=\S)", text)
-        else:
-            first, *words = text.split(" ")
-        return np.concatenate([self._library(first), self.words.ids(words)])
+            return regex.split(r" (?=\S)", text)
+        return text.split(" ")
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. The texts' words are looked up together; a long text's words some at a time."""
+        cuts = [self._cut(text) for text in texts]
+        firsts = self.library.encode_batch_fast([c[0] if c else t for c, t in zip(cuts, texts, strict=True)], add_special_tokens=False)
+        heads = [np.array(f.ids, dtype=np.uint32) for f in firsts]
+        short = [c[1:] if c and len(c) <= _LONG else [] for c in cuts]
+        tails = self.words.ids_of(short)
+        tails = [self.words.ids(c[1:]) if c and len(c) > _LONG else t for c, t in zip(cuts, tails, strict=True)]
+        return [np.concatenate([h, t]) if len(t) else h for h, t in zip(heads, tails, strict=True)]
 
 
 @cache
@@ -183,6 +214,19 @@ def encoder(path: str) -> ByteEncoder:
     return ByteEncoder(path)
 
 
+def _some_together(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in order, ``_TOGETHER`` characters or one longer text at a time."""
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text) > _TOGETHER:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
 # Files.
 
 
@@ -223,16 +267,16 @@ def write_tokens(
         size = 0
         end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, batch.column("text"), strict=True):
-                found = encoding.ids(text.as_py() or "")
-                doc_ids.append(doc_id)
-                counts.append(len(found) + 1)
-                parts += [found, end]
-                size += counts[-1]
-                if size >= SEGMENT:
-                    yield segment()
-                    size = 0
+            ids = iter(batch.column("doc_id").to_pylist())
+            for texts in _some_together(text.as_py() or "" for text in batch.column("text")):
+                for found in encoding.ids_of(texts):
+                    doc_ids.append(next(ids))
+                    counts.append(len(found) + 1)
+                    parts += [found, end]
+                    size += counts[-1]
+                    if size >= SEGMENT:
+                        yield segment()
+                        size = 0
         if parts:
             yield segment()
 
