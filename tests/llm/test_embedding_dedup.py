@@ -47,6 +47,51 @@ def test_recall_near_the_threshold(spark, noise):
     assert np.mean([got[i][1] == want[i][1] for i in ids]) > 0.99
 
 
+@pytest.mark.parametrize(("dimension", "most"), [(64, 0.6), (768, 0.25)])
+def test_measured_margin(dimension, most):
+    """Pairs at the threshold that the index never saw meet, without a look at most lists."""
+    rng = np.random.default_rng(12)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    units = unit(rng.normal(size=(6000, dimension)))
+    index = S.fit_index(units[:4000], 96, 4)
+    margin = S.measured_margin(index, units[4000:5000], 0.9)
+    ours = units[5000:]
+    aside = rng.normal(size=ours.shape)
+    aside = unit(aside - (aside * ours).sum(axis=1, keepdims=True) * ours)
+    theirs = 0.9 * ours + np.sqrt(1 - 0.9**2) * aside
+    own, probed = index.probes(ours, margin)
+    other, asked = index.probes(theirs, margin)
+    met = [o in p or w in a for w, p, o, a in zip(own, probed, other, asked, strict=True)]
+    assert np.mean(met) >= 0.99
+    assert np.mean([len(p) for p in probed]) <= most * 96
+    assert all(w in p for w, p in zip(own, probed, strict=True))
+
+
+def test_recall_in_768_dimensions(spark):
+    vectors = np.concatenate([clustered(13, 200, 4, 0.32, 768), clustered(14, 1, 60, 0.32, 768), clustered(15, 400, 1, 0.1, 768)])
+    ids = list(range(len(vectors)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<float>")
+    want, got = slow(ids, vectors.astype(np.float64)), found(S.near_vectors(df))
+    links = sum(n for n, _, _ in want.values())
+    assert links > 3000 and sum(got[i][0] for i in ids) >= 0.99 * links
+    assert all(got[i][0] <= want[i][0] for i in ids)
+
+
+def test_slices_give_what_the_whole_gives(monkeypatch):
+    units = clustered(16, 30, 10, 0.3).astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    whole = S.fit_index(units, 12)
+    own, probed = whole.probes(units, 0.1)
+    monkeypatch.setattr(S, "SLICE", 7)
+    parts = S.fit_index(units, 12)
+    assert np.allclose(parts.centroids, whole.centroids)
+    again, probed_again = whole.probes(units, 0.1)
+    assert (own == again).all() and all((a == b).all() for a, b in zip(probed, probed_again, strict=True))
+
+
 def test_hot_lists_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(S, "MEMBERS", 20)
     monkeypatch.setattr(S, "QUERIES", 30)

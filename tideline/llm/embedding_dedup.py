@@ -20,9 +20,12 @@ MAX_SAMPLE = 32_768
 MAX_LISTS = 8_192
 SUBSPACES = 8
 CODES = 256
-#: A vector probes every list whose centroid is at most this much less like it than its own.
-#: Of random pairs right at the threshold in 64 dimensions over 99 % meet at this margin.
-MARGIN = 0.2
+#: Share of the pairs right at the threshold that the measured margin lets meet.
+RECALL = 0.999
+#: Pairs of each kind that a margin is measured on.
+TRIALS = 4_096
+#: Vectors whose likeness to all centroids is held at once.
+SLICE = 1_024
 #: Members and queries that one group compares, at most about.
 MEMBERS, QUERIES = 512, 1024
 
@@ -38,6 +41,15 @@ class Index:
     def likeness(self, units: np.ndarray) -> np.ndarray:
         return units @ self.centroids.T
 
+    def probes(self, units: np.ndarray, margin: float) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The list of each vector, and all lists whose centroids are at most ``margin`` less like it."""
+        own, probed = [], []
+        for part in _slices(units):
+            likeness = self.likeness(part)
+            own.append(likeness.argmax(axis=1))
+            probed += [np.flatnonzero(row >= row.max() - margin) for row in likeness]
+        return np.concatenate(own), probed
+
     def encode(self, units: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The codes of each vector's residual, and how far the coded vector is from it."""
         rest = units - self.centroids[lists]
@@ -61,6 +73,14 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(found, 0)
 
 
+def _slices(units: np.ndarray) -> list[np.ndarray]:
+    return [units[start : start + SLICE] for start in range(0, len(units), SLICE)]
+
+
+def _nearest(units: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return np.concatenate([(part @ centroids.T).argmax(axis=1) for part in _slices(units)])
+
+
 def _means(points: np.ndarray, groups: np.ndarray, old: np.ndarray) -> np.ndarray:
     counts = np.bincount(groups, minlength=len(old))
     sums = np.stack([np.bincount(groups, points[:, d], minlength=len(old)) for d in range(points.shape[1])], axis=1)
@@ -73,9 +93,9 @@ def fit_index(units: np.ndarray, lists: int, rounds: int = 8) -> Index:
     lists = max(1, min(lists, len(units)))
     centroids = units[random.choice(len(units), lists, replace=False)]
     for _ in range(rounds):
-        means = _means(units, (units @ centroids.T).argmax(axis=1), centroids)
+        means = _means(units, _nearest(units, centroids), centroids)
         centroids = means / np.maximum(np.linalg.norm(means, axis=1), 1e-12)[:, None]
-    rest = units - centroids[(units @ centroids.T).argmax(axis=1)]
+    rest = units - centroids[_nearest(units, centroids)]
     cuts = np.linspace(0, units.shape[1], min(SUBSPACES, units.shape[1]) + 1).astype(int)
     books = []
     for start, end in zip(cuts[:-1], cuts[1:], strict=True):
@@ -87,6 +107,44 @@ def fit_index(units: np.ndarray, lists: int, rounds: int = 8) -> Index:
     return Index(centroids, cuts, books)
 
 
+def measured_margin(index: Index, units: np.ndarray, threshold: float, recall: float = RECALL) -> float:
+    """How much less like a vector than its own centroid those of lists with near vectors are, but for ``1 - recall``.
+
+    Partners are set right at the threshold from ``units``, which the index was not fitted on: in directions of no
+    kind, towards another vector, and towards one of the same list. A pair meets where one of the two probes the
+    other's list. The kind that lies widest counts.
+    """
+    random = np.random.default_rng(1)
+    own = _nearest(units, index.centroids)
+    order = np.argsort(own, kind="stable")
+    beside = np.empty(len(units), dtype=np.int64)
+    beside[order] = np.roll(order, 1)
+    widest = 0.0
+    for kind in ("any", "other", "same"):
+        gaps = []
+        for _ in range(0, TRIALS, SLICE):
+            at = random.integers(len(units), size=SLICE)
+            ours = units[at]
+            if kind == "any":
+                aside = random.normal(size=ours.shape)
+            else:
+                aside = units[random.integers(len(units), size=SLICE) if kind == "other" else beside[at]]
+            aside = aside - (aside * ours).sum(axis=1, keepdims=True) * ours
+            length = np.linalg.norm(aside, axis=1)
+            ours, aside = ours[length > 1e-9], aside[length > 1e-9] / length[length > 1e-9, None]
+            theirs = threshold * ours + np.sqrt(max(0.0, 1 - threshold**2)) * aside
+            here, there = index.likeness(ours), index.likeness(theirs)
+            rows = np.arange(len(ours))
+            asked = here.max(axis=1) - here[rows, there.argmax(axis=1)]
+            asking = there.max(axis=1) - there[rows, here.argmax(axis=1)]
+            gaps.append(np.minimum(asked, asking))
+        found = np.concatenate(gaps)
+        if len(found):
+            widest = max(widest, float(np.quantile(found, recall, method="higher")))
+    # One rounding error more, as equal vectors may be worked out in other batches.
+    return widest + 1e-9
+
+
 def _units(column: pa.Array, dimension: int) -> np.ndarray:
     """The vectors in double precision at length 1, scaled first so that no square is lost."""
     vectors = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
@@ -105,7 +163,7 @@ def near_vectors(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = THRESHOLD,
-    margin: float = MARGIN,
+    margin: float | None = None,
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
@@ -114,7 +172,9 @@ def near_vectors(
     smallest id reachable by links, and ``kept`` marks the row that bears it. Equal vectors are one
     entry of the index, with the number of its rows.
 
-    Every vector is coded and searched; only the index is fitted on a sample. A probe
+    Every vector is coded and searched; only the index is fitted on a sample. A vector probes every list whose
+    centroid is at most ``margin`` less like it than its own; without one it is measured for each index, on an eighth
+    of the sample that the index is not fitted on, so that ``RECALL`` of the pairs right at the threshold meet. A probe
     compares by table look-ups, and drops a pair only if even the coding error
     leaves it too far apart; all others are compared exactly. A list or its probes that
     are many are dealt to several groups, and a group gives sums and a tree of its
@@ -133,7 +193,7 @@ def near_vectors(
     return found
 
 
-def _near(usable: DataFrame, dimension: int, threshold: float, margin: float) -> DataFrame:
+def _near(usable: DataFrame, dimension: int, threshold: float, margin: float | None) -> DataFrame:
     """``near_vectors`` of ``usable (vec_id, vector)``, which have ``dimension`` components each."""
     entries = materialise(
         usable.groupBy("vector")
@@ -143,7 +203,11 @@ def _near(usable: DataFrame, dimension: int, threshold: float, margin: float) ->
     )
     sample = entries.orderBy(F.xxhash64("vector"), "head").limit(MAX_SAMPLE).select("vector").toArrow()
     lists = min(MAX_LISTS, int(entries.count() ** 0.5))
-    index = fit_index(_units(sample.column("vector").combine_chunks(), dimension), lists)
+    units = _units(sample.column("vector").combine_chunks(), dimension)
+    aside = np.arange(len(units)) % 8 == 0
+    index = fit_index(units[~aside] if not aside.all() else units, lists)
+    if margin is None:
+        margin = measured_margin(index, units[aside], threshold)
 
     found = _links(entries, index, dimension, threshold, margin)
     links = materialise(found, "links")
@@ -174,17 +238,17 @@ def _links(entries: DataFrame, index: Index, dimension: int, threshold: float, m
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = _units(batch.column("vector"), dimension)
-            likeness = index.likeness(units)
-            best = likeness.argmax(axis=1)
-            codes, error = index.encode(units, best)
-            probed = likeness >= likeness[np.arange(len(units)), best][:, None] - margin
+            if not len(units):
+                continue
+            own, probed = index.probes(units, margin)
+            codes, error = index.encode(units, own)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     batch.column("rows"),
                     batch.column("vector"),
-                    pa.array(best, pa.int32()),
-                    pa.array([np.flatnonzero(p) for p in probed], pa.list_(pa.int32())),
+                    pa.array(own, pa.int32()),
+                    pa.array(probed, pa.list_(pa.int32())),
                     pa.array([c.tobytes() for c in codes], pa.binary()),
                     pa.array(error, pa.float64()),
                 ],
