@@ -6,35 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.documents import (
+    AGENT_FOLDER,
+    AGENT_SUFFIX,
     DEFINITION_ROOT,
+    SKILL_FILE,
+    SKILL_FOLDER,
     classify_path,
     document_sections,
     front_matter_fields,
     front_matter_parts,
 )
+from tideline.sources.files import read_files, write_files
 
 
 def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_ROOT) -> DataFrame:
     """``kind, name, path, content, error`` of every agent and skill file below ``project/root``.
 
     Line ends are read as ``\\n``.  A file that is not valid UTF-8 keeps its row
-    with an error and no content.  Names that begin with ``_`` or ``.`` are read too.
+    with an error and no content.  Names that begin with ``_`` or ``.`` and empty files are read too.
     """
-    folder = f"{project.rstrip('/')}/{root}"
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
-    # The path arrives percent-encoded, where a plus sign means itself.
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    named = files.select("value", decoded.alias("full_path"))
-    # Spark passes over names that begin with these marks; there are as many as people have written by hand.
-    hidden = hidden_files(spark, folder, ".md")
-    if hidden:
-        named = named.unionByName(
-            spark.createDataFrame(hidden, "full_path string, value binary").select("full_path", F.col("value").cast("string").alias("value"))
-        )
-    full_path = F.col("full_path")
-    located = named.select(
-        F.concat(F.lit(f"{root}/"), F.element_at(F.split(full_path, rf"/\Q{root}\E/", 2), 2)).alias("path"),
-        F.when(F.is_valid_utf8("value"), F.regexp_replace("value", "\r\n?", "\n")).alias("content"),
+    files = read_files(spark, f"{project.rstrip('/')}/{root}", ".md")
+    text = F.col("content").cast("string")
+    located = files.select(
+        F.concat(F.lit(f"{root}/"), "path").alias("path"),
+        F.when(F.is_valid_utf8(text), F.regexp_replace(text, "\r\n?", "\n")).alias("content"),
     )
     return (
         located.withColumn("_definition", classify_path("path", root))
@@ -49,24 +44,18 @@ def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_R
     )
 
 
-def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[tuple[str, bytearray]]:
-    """Path and bytes of the files below ``folder`` in whose path Spark's readers see a hidden name."""
-    jvm = spark._jvm
-    top = jvm.org.apache.hadoop.fs.Path(folder)
-    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(top):
-        return []
-    top = system.makeQualified(top)
-    base = top.toUri().getPath()
-    found, listed = [], system.listFiles(top, True)
-    while listed.hasNext():
-        path = listed.next().getPath()
-        inside = path.toUri().getPath()[len(base) :].split("/")
-        if inside[-1].endswith(suffix) and any(part[:1] in ("_", ".") for part in inside):
-            stream = system.open(path)
-            found.append((path.toString(), bytearray(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))))
-            stream.close()
-    return found
+def write_definitions(files: DataFrame, project: str, root: str = DEFINITION_ROOT) -> None:
+    """Write ``files (kind, name, content)`` below ``project/root``, where ``read_definitions`` finds them.
+
+    A registry's current versions become a tree of files again.  A name with a slash, a skill named ``.`` or ``..``,
+    a NULL name, another kind, and two rows for one file are errors; a NULL content is an empty file.
+    """
+    path = F.when(F.col("kind") == "agent", F.concat(F.lit(f"{AGENT_FOLDER}/"), "name", F.lit(AGENT_SUFFIX))).when(
+        F.col("kind") == "skill", F.concat(F.lit(f"{SKILL_FOLDER}/"), "name", F.lit(f"/{SKILL_FILE}"))
+    )
+    # A slash would make a deeper folder, which is no definition.
+    plain = F.when(~F.contains("name", F.lit("/")), path)
+    write_files(files.select(plain.alias("path"), "content"), f"{project.rstrip('/')}/{root}")
 
 
 def parse_definitions(files: DataFrame, content: str = "content") -> DataFrame:

@@ -24,7 +24,10 @@ from tideline.operators.versions import (
     version_history,
     version_pairs,
 )
+from tideline.operators.ordering import number_rows, split_groups
 from tideline.plans.registry import KINDS, registry_table, sync_definitions
+from tideline.session import new_folder, remove_folder
+from tideline.sources.definitions import read_definitions, write_definitions
 from tideline.workload import inputs
 from tideline.workload.catalogue import query, read
 
@@ -312,3 +315,35 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         for kind in KINDS
     ]
     return tables[0].unionByName(tables[1])
+
+
+_TREE = (
+    f"WITH {inputs.DEFINITIONS}, named AS (SELECT doc_id, content, CASE WHEN doc_id % 2 = 0 THEN 'agent' ELSE 'skill' END "
+    "AS kind, CASE doc_id % 3 WHEN 0 THEN 'd' WHEN 1 THEN '_d' ELSE '.d' END || doc_id AS name FROM definitions), "
+    "located AS (SELECT *, CASE kind WHEN 'agent' THEN '.claude/agents/' || name || '.md' "
+    "ELSE '.claude/skills/' || name || '/SKILL.md' END AS path FROM named) "
+    "SELECT kind, name, path, row_number() OVER (PARTITION BY kind ORDER BY path) AS position, "
+    "CASE WHEN doc_id % 7 > 0 THEN md5(CASE WHEN doc_id % 11 = 0 THEN '' "
+    "ELSE regexp_replace(content, '\r\n?', chr(10), 'g') END) END AS digest, "
+    "CASE WHEN doc_id % 7 = 0 THEN 'not valid UTF-8' END AS error FROM located"
+)
+
+
+@query("definition_tree", _TREE)
+def definition_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as definition files, hidden, empty and broken ones among them, and read back in path order."""
+    project = new_folder(spark, "tree")
+    number = F.col("doc_id").cast("string")
+    mark = F.when(F.pmod("doc_id", F.lit(3)) == 0, "d").when(F.pmod("doc_id", F.lit(3)) == 1, "_d").otherwise(".d")
+    body = F.when((F.pmod("doc_id", F.lit(7)) > 0) & (F.pmod("doc_id", F.lit(11)) == 0), "").otherwise(F.col("content"))
+    broken = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    files = inputs.definitions(spark, sf_dir).select(
+        F.when(F.pmod("doc_id", F.lit(2)) == 0, "agent").otherwise("skill").alias("kind"),
+        F.concat(mark, number).alias("name"),
+        F.concat(F.coalesce(body.cast("binary"), F.unhex(F.lit(""))), broken).alias("content"),
+    )
+    write_definitions(files, project)
+    found = read_definitions(spark, project).withColumn("digest", F.md5("content")).drop("content")
+    ordered = split_groups(found, ["kind"], ["path"])
+    remove_folder(spark, project)
+    return number_rows(ordered, ["kind"], ["path"], "position").select("kind", "name", "path", "position", "digest", "error")
