@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.dataset as ds
@@ -52,6 +54,106 @@ def test_one_step_of_the_update():
     assert weights == pytest.approx([0.4 / 1.5, 0, 0.15 / 1.25, 0])
 
 
+def slow_form(word: str) -> str:
+    """The form by one walk over the characters."""
+    out, at = "", 0
+    while at < len(word):
+        end = at + 1
+        if word[at].isdigit():
+            while end < len(word) and word[end].isdigit():
+                end += 1
+            out += "9"
+        elif word[at].isalpha():
+            while end < len(word) and word[end].isalpha():
+                end += 1
+            run = word[at:end]
+            out += "AA" if len(run) > 1 and run.isupper() else "Aa" if run[0].isupper() else "a"
+        else:
+            out += word[at]
+        at = end
+    return out
+
+
+def slow_features(text: str) -> Counter:
+    """Places and values of one text, n-gram by n-gram."""
+    top = 1 << 64
+
+    def place(x: int) -> int:
+        return ((x ^ (x >> 31)) * 0x9E3779B97F4A7C15 % top) >> 47
+
+    def pair(x: int, y: int) -> int:
+        return (x * 0xC2B2AE3D27D4EB4F + y) % top
+
+    words = (text or "").encode().split()
+    names = [zlib.crc32(w.lower()) for w in words]
+    forms = [zlib.crc32(slow_form(w.decode()).encode(), 1) for w in words]
+    forms = [7 if k and words[k] == words[k - 1] else f for k, f in enumerate(forms)]
+    two = [pair(a, b) for a, b in zip(forms, forms[1:])]
+    groups = [
+        [place(x) for x in names],
+        [place((pair(a, b) + 1) % top) for a, b in zip(names, names[1:])],
+        [place(x + 2) for x in forms],
+        [place((x + 3) % top) for x in two],
+        [place((x * 0x165667B19E3779F9 + f + 4) % top) for x, f in zip(two, forms[2:])],
+    ]
+    sums: Counter = Counter()
+    for group in groups:
+        for x in group:
+            sums[x] += 1 / len(group)
+    return sums
+
+
+def slow_shard(examples: list[tuple[Counter, int]], rates: S.Rates, epochs: int) -> dict[int, float]:
+    """The update, one weight after another."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k: int) -> float:
+        if abs(z[k]) <= rates.l1:
+            return 0.0
+        return (math.copysign(rates.l1, z[k]) - z[k]) / ((rates.beta + math.sqrt(n[k])) / rates.alpha + rates.l2)
+
+    for _ in range(epochs):
+        for sums, label in examples:
+            w = {k: weight(k) for k in sums}
+            p = 1 / (1 + math.exp(-sum(w[k] * x for k, x in sums.items())))
+            for k, x in sums.items():
+                g = (p - label) * x
+                step = (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / rates.alpha
+                z[k] += g - step * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in list(z)}
+
+
+def test_scores_against_a_model_fitted_step_by_step(spark, sf_dir, documents):
+    labels = {r["doc_id"]: r["quality"] for r in ds.dataset(f"{sf_dir}/labels.parquet").to_table().to_pylist()}
+    texts = {d["doc_id"]: d["text"] for d in documents}
+    ids = spark.createDataFrame([(i,) for i in sorted(set(labels) & set(texts))], "doc_id long")
+    shard_of = ids.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {S.SHARDS}) as shard").collect()
+    features = {i: slow_features(t) for i, t in texts.items()}
+    shards = defaultdict(list)
+    for r in sorted(shard_of):
+        if remainder(r.doc_id) != 2 and labels[r.doc_id] in (0, 1):
+            shards[r.shard].append(r.doc_id)
+    mean: Counter = Counter()
+    total = sum(map(len, shards.values()))
+    for members in shards.values():
+        order = np.random.default_rng(0).permutation(len(members)).tolist()
+        examples = [(features[members[k]] + Counter({S.DIMENSIONS: 1.0}), labels[members[k]]) for k in order]
+        for k, w in slow_shard(examples, S.Rates(), S.EPOCHS).items():
+            mean[k] += w * len(members) / total
+    rows = QUERIES["op9_quality_classifier"](spark, sf_dir).collect()
+    assert len(rows) == len(documents)
+    for r in rows:
+        lead = mean[S.DIMENSIONS] + sum(mean[k] * x for k, x in features[r.doc_id].items())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-lead)), abs=1e-4)
+
+
+def test_forms_are_of_whole_words():
+    words = ["abc", "Abc", "ABC", "A", "a1b22", "Éa!", "x" * 200, "1.2.3.4.5.6.7.8.9", "ab-" * 40 + "C", "漢字", "_x_"]
+    assert [S._shape(w) for w in words] == [slow_form(w) for w in words]
+    assert S._shape("a." * 50 + "b") != S._shape("a." * 50 + "9")
+
+
 def test_a_long_text_is_scored_whole():
     maker = S.Features()
     words = [b"a"] * 100 + [b"zzz!!"] * 100

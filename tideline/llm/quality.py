@@ -42,7 +42,7 @@ _DIGITS = re.compile(r"\d+")
 
 
 def _shape(word: str) -> str:
-    """The word's form: its letters by case, digits as one, other characters as they are, up to eight."""
+    """The whole word's form: its letters by case, digits as one, other characters as they are."""
 
     if word.isalpha():
         return "AA" if len(word) > 1 and word.isupper() else "Aa" if word[0].isupper() else "a"
@@ -53,7 +53,7 @@ def _shape(word: str) -> str:
             return "AA"
         return "Aa" if found[:1].isupper() else "a"
 
-    return _DIGITS.sub("9", _LETTERS.sub(case, word[:64]))[:8]
+    return _DIGITS.sub("9", _LETTERS.sub(case, word))
 
 
 class _Words(dict):
