@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD_ROWS
 from tideline.llm import mixing as S
@@ -67,6 +68,39 @@ def test_sources_of_many_sizes(spark):
     check(rows, docs)
 
 
+def slow_taken(rows: list[tuple], sizes: dict, targets: dict) -> dict[int, int]:
+    """Words taken of each ``(id, size, source, key)``: whole epochs, then passes along the keys, one row after another."""
+    taken = {}
+    for source, size in sizes.items():
+        members = sorted((r for r in rows if r[2] == source), key=lambda r: r[3])
+        whole = int(targets[source] / size + 1e-9) if size else 0
+        room = targets[source] - whole * size
+        drawn = set()
+        for _ in range(S.PASSES):
+            largest = room
+            for doc_id, n, _, _ in members:
+                if doc_id in drawn or n > largest:
+                    continue
+                if n > room:
+                    break
+                drawn.add(doc_id)
+                room -= n
+        taken |= {doc_id: n * (whole + (doc_id in drawn)) for doc_id, n, _, _ in members}
+    return taken
+
+
+def test_drawing_against_one_row_after_another(spark, sf_dir, documents):
+    sizes: Counter = Counter()
+    for d in documents:
+        sizes[d["source"]] += n_words(d["text"])
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    key = S.sampling_key(F.col("doc_id"), F.col("text"), S.quality_weight(F.col("text")))
+    keys = docs.select("doc_id", "text", "source", key.alias("key")).collect()
+    want = slow_taken([(r.doc_id, n_words(r.text), r.source, r.key) for r in keys], sizes, slow_targets(sizes))
+    rows = QUERIES["op10_source_mixing"](spark, sf_dir).collect()
+    assert {r.doc_id: r.taken for r in rows} == want
+
+
 def test_chances_follow_the_weights(spark):
     docs = [(k, "one two three four", "a" if k % 2 else "b", 0.9 if k % 4 < 2 else 0.1) for k in range(4000)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string, q double")
