@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 import uuid
 
 import pytest
@@ -13,7 +14,7 @@ from tideline.plans.models import RAW_OBSERVATIONS
 from tideline.session import new_folder
 from tideline.streaming import landing
 from tideline.streaming.landing import OBSERVATION_PAGES, append_once, missing_rows
-from tideline.streaming.page_sets import land_page_sets
+from tideline.streaming.page_sets import land_page_sets, whole_sets
 
 D, TS, UTC = dt.date, dt.datetime, dt.timezone.utc
 
@@ -122,3 +123,56 @@ def test_missing_rows_count_copies(spark, stream):
     found = missing_rows(rows, spark.table(stream.name)).collect()
     assert sorted(r.series_id for r in found) == ["x", "x", "y"]
     assert missing_rows(rows.limit(0), spark.table(stream.name)).isEmpty()
+
+
+def one_by_one(pages, limit):
+    """The pages of a key that count, and whether they are whole, taken one after another."""
+    held = {}
+    for offset, at, size, payload in pages:
+        old = held.get(offset)
+        if old is None or (at, payload or "") > (old[0], old[2] or ""):
+            held[offset] = at, size, payload
+    newest = None
+    for offset in sorted(held):
+        if newest is not None and held[offset][0] < newest:
+            del held[offset]
+        else:
+            newest = held[offset][0]
+    order = sorted(held)
+    sizes = [held[k][1] for k in order]
+    whole = order == [k * limit for k in range(len(order))] and min(sizes[:-1], default=limit) >= limit and sizes[-1] < limit
+    return [(k, *held[k], whole) for k in order]
+
+
+def test_sets_of_random_pages(spark):
+    rng = random.Random(3)
+    pages = []
+    for key in [None, *(str(k) for k in range(400))]:
+        for _ in range(rng.randint(1, 6)):
+            size = rng.choice((0, 1, 3, 3, 3, 4))
+            payload = rng.choice((None, "", "a", "b\U0001f600", "b\uffee")) if size == 0 else f"{size}{rng.choice('ab')}"
+            pages.append((key, rng.choice((0, 0, 3, 3, 6, 6, 9, -3, 4)), rng.randint(1, 3), size, payload))
+    df = spark.createDataFrame(pages, "series_id string, page_offset long, at long, size long, payload string")
+    found = whole_sets(df.repartition(3), "series_id", page_limit=3)
+    got = sorted((str(r[0]), r[1], r[2], r[3], r[4] or "", r[5]) for r in found.collect())
+    want = []
+    for key in {p[0] for p in pages}:
+        counted = one_by_one([p[1:] for p in pages if p[0] == key], 3)
+        want += [(str(key), k, at, size, payload or "", whole) for k, at, size, payload, whole in counted]
+    assert got == sorted(want)
+    assert {True, False} == {w[-1] for w in want}
+    plan = whole_sets(df, "series_id", page_limit=3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan and "Pandas" not in plan
+
+
+def test_a_batch_that_is_run_again_keeps_what_waits(spark, stream, monkeypatch):
+    stream.arrive(("a", 0, 3, 1), ("c", 0, 3, 1))
+    with monkeypatch.context() as m, pytest.raises(Exception, match="driver lost"):
+        m.setattr(landing, "append_rows", lambda *args, **options: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        stream.arrive(("a", 3, 1, 1), ("b", 0, 3, 1))
+    stream.arrive()
+    assert stream.held() == {"a": (4, 4.0)}
+    stream.arrive(("b", 3, 2, 1), ("c", 3, 0, 1))
+    assert stream.held() == {"a": (4, 4.0), "b": (5, 5.0), "c": (3, 3.0)}
+    with pytest.raises(Exception, match="page_offset"):
+        stream.arrive(("d", 0, 1, 1), ("d", None, 0, 1))
