@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_tables import definition
 from tideline.sources import files as S
-from tideline.sources.definitions import read_definitions, write_definitions
-from tideline.sources.files import open_store, read_files, write_files
+from tideline.sources.definitions import read_definitions, remove_definitions, write_definitions
+from tideline.sources.files import open_store, read_files, remove_files, write_files
+from tideline.workload import documents
 
 NAMES = ["a.md", "_b.md", ".c.md", "d 100%+é#?.md", "_x/.y/e.md", "empty.md", "f.txt"]
 
@@ -79,3 +82,45 @@ def test_definitions_there_and_back(spark, tmp_path):
     for kind, name in (("agent", "a/b"), ("skill", ".."), ("tool", "a"), ("agent", None)):
         with pytest.raises(ValueError, match="cannot be written"):
             write_definitions(spark.createDataFrame([(kind, name, "x")], "kind string, name string, content string"), again)
+
+
+def test_definitions_are_removed_in_tasks(spark, tmp_path):
+    for path in ("agents/_a.md", "agents/b.md", "agents/b.txt", "skills/.s/SKILL.md", "skills/.s/more/x.txt", "skills/t/SKILL.md"):
+        definition(tmp_path, f".claude/{path}", "x")
+    found = read_definitions(spark, str(tmp_path)).where("name <> 't'").cache()
+    for _ in range(2):
+        remove_definitions(found, str(tmp_path))
+    found.unpersist()
+    left = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file())
+    assert left == [".claude/agents/b.txt", ".claude/skills/t/SKILL.md"]
+    assert not (tmp_path / ".claude/skills/.s").exists()
+
+
+@pytest.mark.parametrize("path", [None, "../a", "a/../..", "", "."])
+def test_paths_that_cannot_be_removed(spark, tmp_path, path):
+    (tmp_path / "a").write_text("x")
+    with pytest.raises(ValueError, match="cannot be removed"):
+        remove_files(spark.createDataFrame([("a",), (path,)], "path string"), str(tmp_path))
+    assert (tmp_path / "a").exists()
+
+
+def test_the_tree_is_read_once_and_leaves_no_files_to_the_driver(spark, tmp_path, monkeypatch):
+    rows = [(k, f"Some. text, {k}", "en", "web", 12) for k in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    calls = []
+
+    def split(df, *args):
+        calls.append(bool(df.inputFiles()))
+        return split_groups(df, *args)
+
+    def remove(session, folder):
+        calls.append([str(p) for p in Path(folder.removeprefix("file:")).rglob("*") if p.is_file() and p.suffix != ".crc"])
+        remove_folder(session, folder)
+
+    split_groups, remove_folder = documents.split_groups, documents.remove_folder
+    monkeypatch.setattr(documents, "split_groups", split)
+    monkeypatch.setattr(documents, "remove_folder", remove)
+    assert documents.definition_tree(spark, str(tmp_path)).count() == 40
+    assert calls == [True, []]

@@ -16,7 +16,7 @@ from tideline.functions.documents import (
     front_matter_fields,
     front_matter_parts,
 )
-from tideline.sources.files import read_files, write_files
+from tideline.sources.files import read_files, remove_files, write_files
 
 
 def read_definitions(spark: SparkSession, project: str, root: str = DEFINITION_ROOT) -> DataFrame:
@@ -58,6 +58,12 @@ def write_definitions(files: DataFrame, project: str, root: str = DEFINITION_ROO
     write_files(files.select(plain.alias("path"), "content"), f"{project.rstrip('/')}/{root}")
 
 
+def remove_definitions(files: DataFrame, project: str) -> None:
+    """Remove the definitions ``files (kind, path)`` that ``read_definitions`` found: an agent's file, a skill's whole folder."""
+    entry = F.when(F.col("kind") == "skill", F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
+    remove_files(files, project, entry)
+
+
 def parse_definitions(files: DataFrame, content: str = "content") -> DataFrame:
     """Adds description, tools, skills and sections taken from each document."""
     parts = files.withColumn("_parts", front_matter_parts(content))

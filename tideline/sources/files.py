@@ -106,6 +106,11 @@ def read_files(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
     return spark.read.format("whole_files").options(path=qualified(spark, folder), suffix=suffix).load()
 
 
+def _astray(path: str) -> Column:
+    """Whether a path is NULL, names no file or leads out of its folder."""
+    return F.col(path).isNull() | F.exists(F.split(path, "/"), lambda part: part.isin("", ".", ".."))
+
+
 def write_files(files: DataFrame, folder: str, path: Column | str = "path", content: Column | str = "content") -> None:
     """One file below ``folder`` for each row; a task that is run again writes the same files again.
 
@@ -115,8 +120,7 @@ def write_files(files: DataFrame, folder: str, path: Column | str = "path", cont
     spark = files.sparkSession
     rows = files.select(F.col(path).alias("path") if isinstance(path, str) else path.alias("path"),
                         (F.col(content) if isinstance(content, str) else content).cast("binary").alias("content"))
-    astray = F.col("path").isNull() | F.exists(F.split("path", "/"), lambda part: part.isin("", ".", ".."))
-    wrong = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | astray).limit(10)
+    wrong = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | _astray("path")).limit(10)
     found = [r["path"] for r in wrong.collect()]
     if found:
         raise ValueError(f"paths that cannot be written, or that several rows have: {found}")
@@ -137,3 +141,29 @@ def write_files(files: DataFrame, folder: str, path: Column | str = "path", cont
             yield batch.select(["path"]).slice(0, 0)
 
     rows.mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+
+
+def remove_files(files: DataFrame, folder: str, path: Column | str = "path") -> None:
+    """Remove the file below ``folder`` that each row names, or the folder with all that is in it, in tasks.
+
+    What is gone already is passed over, as a task may be run again. A path that is NULL, names no file or
+    leads out of the folder is an error, found before anything is removed.
+    """
+    rows = files.select((F.col(path) if isinstance(path, str) else path).alias("path"))
+    found = [r["path"] for r in rows.where(_astray("path")).limit(10).collect()]
+    if found:
+        raise ValueError(f"paths that cannot be removed: {found}")
+    target = qualified(files.sparkSession, folder)
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = open_store(target)
+        for batch in batches:
+            for name in batch.column("path").to_pylist():
+                kind = store.get_file_info(f"{base}/{name}").type
+                if kind == fs.FileType.Directory:
+                    store.delete_dir(f"{base}/{name}")
+                elif kind == fs.FileType.File:
+                    store.delete_file(f"{base}/{name}")
+            yield batch.slice(0, 0)
+
+    rows.mapInArrow(remove, "path string").write.format("noop").mode("overwrite").save()
