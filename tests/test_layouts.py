@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 
 from tideline.operators.incremental import incremental_tail, merge_upsert, watermarks
 from tideline.operators.latest import latest_per_key, top_n_per_key
+from tideline.operators import versions
 from tideline.operators.versions import next_versions
 from tideline.plans.layers import MODELS, create_raw_tables, model_rows, run_layers
 from tideline.plans.models import RAW_OBSERVATIONS, RAW_WEATHER
+from tideline.plans import registry
 from tideline.plans.registry import registry_table, sync_definitions
 from tideline.session import shared_folder, subfolders
 from tideline.sources.definitions import read_definitions
@@ -202,6 +204,34 @@ def test_a_sync_reads_no_recorded_text(spark, prefix):
     assert rows(found, "name", "version") == [("a", 2)]
 
 
+def test_texts_are_not_put_in_order(spark, prefix, monkeypatch):
+    seen = []
+
+    def watched(module, name):
+        call = getattr(module, name)
+
+        def run(df, *args):
+            seen.append((name, "content" in df.columns))
+            return call(df, *args)
+
+        monkeypatch.setattr(module, name, run)
+
+    watched(versions, "split_groups")
+    watched(versions, "materialise")
+    watched(registry, "materialise")
+    files = spark.createDataFrame([("agent", f"a{i}", f"text {i}", None) for i in range(9)], "kind string, name string, content string, error string")
+    for appended in (9, 3):
+        seen.clear()
+        later = F.when(F.col("name") < "a3", F.concat("content", F.lit("more"))).otherwise(F.col("content"))
+        batch = files if appended == 9 else files.withColumn("content", later)
+        assert rows(sync_definitions(spark, batch, prefix))[0] == ("agent", 9, appended, 0)
+        assert sorted(set(seen)) == [("materialise", False), ("materialise", True), ("split_groups", False)]
+        assert seen.count(("materialise", True)) == 1, "texts are written once, beside the table"
+    found = rows(spark.table(registry_table("agent", prefix)), "name", "version", "content")
+    want = [(f"a{i}", 1, f"text {i}") for i in range(9)] + [(f"a{i}", 2, f"text {i}more") for i in range(3)]
+    assert found == sorted(want, key=repr)
+
+
 def test_loads_without_an_order_are_an_error(spark, prefix):
     history = spark.createDataFrame([], "name string, content string, version long, snapshotted_at timestamp")
     loads = spark.createDataFrame([("a", c, i) for i, c in enumerate(("x", "y", "x"))], "name string, content string, at long")

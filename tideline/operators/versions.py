@@ -12,10 +12,13 @@ from tideline.functions.documents import NO_CHANGE, TOO_FEW, lines_of, unified_d
 from tideline.functions.scalars import utc
 from tideline.operators.latest import latest_per_key, top_n_per_key
 from tideline.operators.ordering import CHUNK, number_rows, previous_row, split_groups
+from tideline.session import materialise
 
 #: The column that a history may keep its contents' digests in, so that no text is read to compare.
 DIGEST = "content_sha256"
 
+_DIGEST, _ROW = "_digest", "_row"
+
 HISTORY_COLUMNS = ["version", "snapshotted_at", "notes", "performance_tag"]
 
 
@@ -33,6 +36,18 @@ def next_versions(
     are compared by digest, and only digests are ranked and carried along; a history with a column
     ``content_sha256`` has them on record.  Different loads of one name without an order are an error.
     """
+    loads = written_loads(current)
+    return with_versions(loads, version_steps(loads, history, order_by), now)
+
+
+def written_loads(current: DataFrame) -> DataFrame:
+    """``current`` with digests and row numbers, written once: steps are found from these, texts stay where they are."""
+    numbered = current.withColumns({_DIGEST: _digest("content"), _ROW: F.monotonically_increasing_id()})
+    return materialise(numbered, "loads")
+
+
+def version_steps(loads: DataFrame, history: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """The row number and ``version`` of each of ``written_loads`` that ``next_versions`` keeps; no text is read."""
     recorded = F.col(DIGEST) if DIGEST in history.columns else _digest("content")
     last = latest_per_key(
         history.select("name", "snapshotted_at", "version", recorded.alias("_recorded")),
@@ -40,23 +55,30 @@ def next_versions(
         "snapshotted_at",
         ["version"],
     ).select("name", F.col("version").alias("_version"), "_recorded")
-    at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    order = list(order_by) or ["_digest"]
-    loads = split_groups(current.withColumn("_digest", _digest("content")), ["name"], order)
+    order = list(order_by) or [_DIGEST]
+    narrow = list(dict.fromkeys(["name", *order, _DIGEST, _ROW]))
+    loads = split_groups(loads.select(*narrow), ["name"], order)
     if not order_by:
-        several = loads.groupBy("name").agg(F.min("_digest").alias("a"), F.max("_digest").alias("b")).where("a <> b")
+        several = loads.groupBy("name").agg(F.min(_DIGEST).alias("a"), F.max(_DIGEST).alias("b")).where("a <> b")
         if not several.isEmpty():
             raise ValueError("several loads of one name have no order; give order_by")
-    loads = previous_row(loads, ["name"], order, ["_digest"], "_prev").join(last, "name", "left")
+    loads = previous_row(loads, ["name"], order, [_DIGEST], "_prev").join(last, "name", "left")
     before = F.when(F.col("_prev").isNotNull(), F.col("_prev._digest")).otherwise(F.col("_recorded"))
     known = F.col("_prev").isNotNull() | F.col("_version").isNotNull()
-    changed = loads.where(~(known & F.col("_digest").eqNullSafe(before)))
-    return (
-        number_rows(changed, ["name"], order, "_step")
-        .withColumn("version", F.coalesce(F.col("_version"), F.lit(0)).cast("long") + F.col("_step"))
-        .withColumn("snapshotted_at", at)
-        .drop("_version", "_recorded", "_digest", "_prev", "_step", CHUNK)
-    )
+    changed = loads.where(~(known & F.col(_DIGEST).eqNullSafe(before)))
+    version = F.coalesce(F.col("_version"), F.lit(0)).cast("long") + F.col("_step")
+    return number_rows(changed, ["name"], order, "_step").select(_ROW, version.alias("version"))
+
+
+def with_versions(loads: DataFrame, steps: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    """The loads that ``steps`` names, with their version and time.
+
+    A text is shuffled here only, by its row number and so evenly, and not at all where the steps are few.
+    """
+    at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    columns = [c for c in loads.columns if c not in (_DIGEST, _ROW, "version", "snapshotted_at")]
+    found = loads.select(*columns, _ROW).join(steps, _ROW)
+    return found.select(*columns, "version", at.alias("snapshotted_at"))
 
 
 def _digest(content: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import blank_to_null
-from tideline.operators.versions import DIGEST, next_versions
+from tideline.operators.versions import DIGEST, version_steps, with_versions, written_loads
 from tideline.session import discard, materialise
 from tideline.sources.definitions import parse_definitions, read_definitions
 from tideline.sources.tables import append_rows, ensure_table
@@ -97,23 +97,24 @@ def sync_definitions(
 
     Files that cannot be read are counted and left out; the others go on.  The
     report has one row per kind: files checked, versions appended, files with
-    errors.  Files are read once; versions are counted as they are written.
+    errors.  Files are read once and written once; digests alone tell which of them are new versions.
     """
     ensure_registry(spark, prefix, root)
-    files = materialise(files.select("kind", "name", "content", "error"), "definitions")
+    files = written_loads(files.select("kind", "name", "content", "error"))
     reports = []
     try:
         for kind in KINDS:
             of_kind = files.where(F.col("kind") == kind)
             history = spark.table(registry_table(kind, prefix))
-            readable = of_kind.where(F.col("error").isNull()).select("name", "content")
+            readable = of_kind.where(F.col("error").isNull()).drop("kind", "error")
+            # Written, as the history that they are found from grows by them.
+            steps = materialise(version_steps(readable, history), "changed")
             # Parsed after the comparison, so unchanged documents are not taken apart.
-            changed = parse_definitions(next_versions(readable, history, now))
-            changed = materialise(changed.withColumn("notes", F.lit(notes).cast("string")), "changed")
-            append_versions(changed, kind, prefix)
+            changed = parse_definitions(with_versions(readable, steps, now))
+            append_versions(changed.withColumn("notes", F.lit(notes).cast("string")), kind, prefix)
             checked, errors = of_kind.agg(F.count(F.lit(1)), F.count("error")).first()
-            reports.append((kind, checked, changed.count(), errors))
-            discard(changed)
+            reports.append((kind, checked, steps.count(), errors))
+            discard(steps)
     finally:
         discard(files)
     return spark.createDataFrame(reports, "kind string, checked long, appended long, errors long")
