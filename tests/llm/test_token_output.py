@@ -62,6 +62,15 @@ def test_packing(ids, block, data):
     assert S.unpack(segment, first, end).tolist() == ids[first:end]
 
 
+@pytest.mark.parametrize("width", range(33))
+def test_blocks_of_every_width(width):
+    rng = np.random.default_rng(width)
+    values = rng.integers(0, 1 << width, 300).astype(np.uint32)
+    values[:2] = 0, (1 << width) - 1
+    for size in (7, 100, 300):
+        assert S.unpack(S.pack(values[:size], share=1.0, block=64)).tolist() == values[:size].tolist()
+
+
 def test_outliers_do_not_widen_a_block():
     few = np.full(1024, 7, dtype=np.uint32)
     few[:20] = 2**31

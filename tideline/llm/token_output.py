@@ -84,12 +84,16 @@ def unpack(segment: bytes, first: int = 0, end: int | None = None) -> np.ndarray
     for (size, width), parts in of_width.items():
         # Blocks of one size and width are unpacked together.
         packed = (size * width + 7) // 8
-        raw = np.frombuffer(b"".join(segment[at : at + packed] for _, _, at, _ in parts), dtype=np.uint8)
-        bits = np.zeros((len(parts), size, 16 if width <= 16 else 32), dtype=np.uint8)
-        if width:
-            read = np.unpackbits(raw.reshape(len(parts), packed), axis=1, count=size * width, bitorder="little")
-            bits[:, :, :width] = read.reshape(len(parts), size, width)
-        rest = np.packbits(bits, axis=2, bitorder="little").view("<u2" if width <= 16 else "<u4")[:, :, 0].astype(np.uint32)
+        # Zeros behind each block, as a number is cut out of the whole bytes it may lie over.
+        over = (width + 14) // 8
+        raw = np.zeros((len(parts), packed + over), dtype=np.uint8)
+        raw[:, :packed] = np.frombuffer(b"".join(segment[at : at + packed] for _, _, at, _ in parts), dtype=np.uint8).reshape(len(parts), packed)
+        first_bit = np.arange(size) * width
+        byte, wide = first_bit >> 3, np.uint32 if width <= 25 else np.uint64
+        rest = np.zeros((len(parts), size), dtype=wide)
+        for k in range(over):
+            rest |= raw[:, byte + k].astype(wide) << wide(8 * k)
+        rest = ((rest >> (first_bit & 7).astype(wide)) & wide((1 << width) - 1)).astype(np.uint32)
         for (row, low, at, n_out), values in zip(parts, rest, strict=True):
             out = np.frombuffer(segment, dtype="<u4", count=2 * n_out, offset=at + packed)
             values[out[:n_out]] = out[n_out:]
